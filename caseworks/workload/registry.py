@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseworks.plans.marts import INTERMEDIATE, MARTS
-from caseworks.workload import domain
+from caseworks.workload import check_queries, domain, operator_queries
 from caseworks.workload.mart_checks import mart_sql
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,14 +26,20 @@ def portable(df: DataFrame) -> DataFrame:
     return df.select(*[plain(name, kind) for name, kind in df.dtypes])
 
 
+def _portable(build: Query) -> Query:
+    return lambda spark, sf_dir: portable(build(spark, sf_dir))
+
+
 def _mart(name: str) -> Query:
     build = (MARTS | INTERMEDIATE)[name]
-    return lambda spark, sf_dir: portable(build(domain.source(spark, sf_dir)))
+    return lambda spark, sf_dir: build(domain.source(spark, sf_dir))
 
 
 def queries() -> dict[str, Query]:
-    return {name: _mart(name) for name in MARTS | INTERMEDIATE}
+    built = {name: _mart(name) for name in MARTS | INTERMEDIATE}
+    built |= operator_queries.QUERIES | check_queries.QUERIES
+    return {name: _portable(build) for name, build in built.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return mart_sql()
+    return mart_sql() | operator_queries.CHECKS | check_queries.CHECKS

@@ -54,12 +54,12 @@ def connect(sf_dir: str):
 def main() -> int:
     args = sys.argv[1:]
     sf_dir = args[0] if args else "/root/testdata/sf0.01"
-    wanted = args[1:]
+    wanted = [n for a in args[1:] for n in registry.queries() if n.startswith(a)]
     spark = local_session()
     con = connect(sf_dir)
     checks, bad = registry.oracle_sql(), 0
     for name, query in registry.queries().items():
-        if wanted and name not in wanted:
+        if args[1:] and name not in wanted:
             continue
         started = time.time()
         try:
