@@ -13,14 +13,28 @@ def as_datetime_text(value: Column | str) -> Column:
     return F.substring(as_column(value).cast("timestamp_ntz").cast("string"), 1, 19)
 
 
-def _utc_seconds(text: Column) -> Column:
-    return F.unix_seconds(F.concat(text, F.lit("+00:00")).cast("timestamp"))
+EPOCH = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
+
+
+def clock_seconds(value: Column | str) -> Column:
+    """Seconds of a zone-less timestamp since 1970, fractions cut off: a compact form to group and rank by."""
+    since = as_column(value).cast("timestamp_ntz") - F.expr(EPOCH)
+    return since.cast("interval second").cast("bigint")
+
+
+def seconds_as_datetime_text(seconds: Column | str) -> Column:
+    """'yyyy-MM-dd HH:mm:ss' of :func:`clock_seconds`."""
+    return (F.expr(EPOCH) + F.expr("INTERVAL '1' SECOND") * as_column(seconds)).cast("string")
+
+
+def seconds_as_date(seconds: Column | str) -> Column:
+    days = F.floor(as_column(seconds) / 86400).cast("int")
+    return F.date_add(F.lit("1970-01-01").cast("date"), days)
 
 
 def whole_minutes(start: Column | str, end: Column | str) -> Column:
-    """Completed minutes from one 'yyyy-MM-dd HH:mm:ss' text to another, cut towards zero."""
-    seconds = _utc_seconds(as_column(end)) - _utc_seconds(as_column(start))
-    return F.when(seconds < 0, F.ceil(seconds / 60)).otherwise(F.floor(seconds / 60))
+    """Completed minutes between two :func:`clock_seconds`, cut towards zero."""
+    return ((as_column(end) - as_column(start)) / 60).cast("bigint")
 
 
 def clock_minutes(clock: Column | str) -> Column:
@@ -34,8 +48,3 @@ def month_number(day: Column | str) -> Column:
     """202501 for a day in January 2025."""
     day = as_column(day)
     return (F.year(day) * 100 + F.month(day)).cast("bigint")
-
-
-def month_number_of_text(text: Column | str) -> Column:
-    """202501 for a text starting with '2025-01'."""
-    return F.replace(F.left(as_column(text), F.lit(7)), F.lit("-"), F.lit("")).cast("bigint")

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from caseworks.functions.times import month_number_of_text, whole_minutes
+from caseworks.functions.times import month_number, seconds_as_date, seconds_as_datetime_text, whole_minutes
 from caseworks.plans import flags
 
 SLOT_KEYS = [
-    "id_benef", "date_deb", "date_fin", "type", "typage", "referent", "id_referent", "site", "id_site",
-    "presence", "precision_rdv",
+    "id_benef", "date_deb", "date_fin", "type", "typage", "referent", "id_referent", "site", "id_site", "_code",
+    "precision_rdv",
 ]
 BENEF_ATTRIBUTES = ["lot", "organisme", "statut", "situation", "suivi"]
 PUBLIC_SLOT_COLUMNS = [
@@ -22,27 +22,39 @@ BENEF_SLOT_COLUMNS = [
 ]
 # A beneficiary's appointments with one counsellor on one day: the unit ranks are built from.
 DAY_KEYS = ["id_benef", "_counsellor", "_day"]
+NO_DAY = -(10**9)
+
+
+def _planned_minutes() -> Column:
+    return whole_minutes("date_deb", "date_fin")
 
 
 def _worked_minutes() -> Column:
-    attended = F.col("presence") == flags.ATTENDANCE_LABELS[1]
-    return F.when(attended, whole_minutes("date_deb", "date_fin")).otherwise(F.lit(0).cast("bigint"))
+    return F.when(F.col("_code") == flags.PRESENT_CODE, _planned_minutes()).otherwise(F.lit(0).cast("bigint"))
 
 
-def _with_presence(rdv: DataFrame) -> DataFrame:
-    return rdv.withColumn("presence", flags.attendance_label(F.col("present")))
+def _coded(rdv: DataFrame) -> DataFrame:
+    return rdv.withColumn("_code", flags.attendance_code(F.col("present")))
+
+
+def _labelled(rows: DataFrame) -> DataFrame:
+    """Published forms of what grouping and shuffling keep compact: labels, lot parts and texts."""
+    return flags.with_lot_parts(rows).withColumns(
+        {
+            "tps_travail_ref": _worked_minutes(),
+            "presence": flags.attendance_label(F.col("_code")),
+            "date_deb": seconds_as_datetime_text("date_deb"),
+            "date_fin": seconds_as_datetime_text("date_fin"),
+        }
+    )
 
 
 def attendees_per_slot(rdv: DataFrame, benef: DataFrame) -> DataFrame:
     """How many beneficiaries share a slot; the beneficiary is not part of the grouping."""
-    seen = (
-        _with_presence(rdv)
-        .join(benef.select("id_benef", "lot", "organisme"), "id_benef", "left")
-        .withColumn("tps_travail_ref", _worked_minutes())
-    )
-    keys = [c for c in PUBLIC_SLOT_COLUMNS if c not in ("nb_de_personne_presente", "marche", "lot_sans_action")]
+    keys = [c for c in SLOT_KEYS if c not in ("id_benef", "precision_rdv")] + ["lot", "organisme"]
+    seen = _coded(rdv).join(benef.select("id_benef", "lot", "organisme"), "id_benef", "left")
     counted = seen.groupBy(*keys).agg(F.count("id_benef").alias("nb_de_personne_presente"))
-    return flags.with_lot_parts(counted).select(*PUBLIC_SLOT_COLUMNS)
+    return _labelled(counted).select(*PUBLIC_SLOT_COLUMNS)
 
 
 def slots(rdv: DataFrame) -> DataFrame:
@@ -51,7 +63,7 @@ def slots(rdv: DataFrame) -> DataFrame:
     Grouping on every slot key first spreads a beneficiary with very many rows over all tasks;
     grouping behind the join on ``id_benef`` would bring them into one.
     """
-    return _with_presence(rdv).groupBy(*SLOT_KEYS).agg(F.count("id_benef").alias("_rows"))
+    return _coded(rdv).groupBy(*SLOT_KEYS).agg(F.count("id_benef").alias("_rows"))
 
 
 def benef_attributes(benef: DataFrame) -> DataFrame:
@@ -60,9 +72,7 @@ def benef_attributes(benef: DataFrame) -> DataFrame:
 
 def _counted(slot_rows: DataFrame) -> DataFrame:
     rows = F.col("_rows") * F.coalesce("_copies", F.lit(1))
-    return flags.with_lot_parts(slot_rows).withColumns(
-        {"nb_de_personne_presente": rows, "tps_travail_ref": _worked_minutes()}
-    )
+    return _labelled(slot_rows.withColumn("nb_de_personne_presente", rows))
 
 
 def benef_slots(rdv: DataFrame, benef: DataFrame) -> DataFrame:
@@ -84,7 +94,7 @@ def known_slots(rdv: DataFrame) -> DataFrame:
     return slots(rdv.filter(F.col("id_benef") != 0)).withColumns(
         {
             "_counsellor": F.coalesce(F.concat(F.lit("="), "referent"), F.lit("")),
-            "_day": F.coalesce(F.substring("date_deb", 1, 10), F.lit("")),
+            "_day": F.coalesce(F.floor(F.col("date_deb") / 86400), F.lit(NO_DAY)),
         }
     )
 
@@ -127,17 +137,17 @@ def ranked_slots(known: DataFrame, per_day: DataFrame, facts: DataFrame) -> Data
     place = F.col("_before") + F.col("_place")
     number, copies = F.coalesce("_pair", F.lit(1)), F.coalesce("_pairs", F.lit(1))
     exit_rank = (number - 1) * F.col("_total") + place
-    planned = whole_minutes("date_deb", "date_fin")
-    return _counted(placed).withColumns(
+    timed = placed.withColumns(
         {
-            "tps_travail_prevu": planned,
-            "tps_travail_reel_heure": F.col("tps_travail_ref") / 60,
-            "tps_travail_prevu_heure": planned / 60,
+            "tps_travail_prevu": _planned_minutes(),
+            "tps_travail_prevu_heure": _planned_minutes() / 60,
+            "tps_travail_reel_heure": _worked_minutes() / 60,
             "rang_entree": (place - 1) * copies + number,
             "rang_sortie": F.when(F.col("date_fin_prest").isNotNull(), exit_rank),
-            "annee_mois_sort": month_number_of_text("date_deb"),
+            "annee_mois_sort": month_number(seconds_as_date("date_deb")),
         }
     )
+    return _counted(timed)
 
 
 RANK_COLUMNS = [

@@ -36,6 +36,7 @@ BONUS_START = "2021-01-01"
 ATTENDANCE_LABELS = {1: "present", 0: "absent", 2: "annulé"}
 ATTENDANCE_MISSING = "a catégoriser"
 ATTENDANCE_OTHER = ""
+PRESENT_CODE, OTHER_CODE = 1, -1
 
 
 def status() -> Column:
@@ -119,6 +120,11 @@ def lasting_return_or_bonus(bonus_day: Column) -> Column:
     return one_if((F.col("retour_emploi") == 1) | counted, otherwise=0)
 
 
+def attendance_code(code: Column) -> Column:
+    """The known codes and NULL as they are, every other code as one."""
+    return F.when(code.isNull() | code.isin(*ATTENDANCE_LABELS), code.cast("int")).otherwise(OTHER_CODE)
+
+
 def attendance_label(code: Column) -> Column:
     label = F.when(code.isNull(), ATTENDANCE_MISSING)
     for value, name in ATTENDANCE_LABELS.items():

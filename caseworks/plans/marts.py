@@ -16,7 +16,7 @@ Source = Callable[[str], Any]
 
 PREPARE = {
     "benef": staging.beneficiaries,
-    "rdv": staging.appointments,
+    "rdv": staging.timed_appointments,
     "facture": staging.invoices,
     "business_units": staging.business_units,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caseworks.functions.times import as_datetime_text
+from caseworks.functions.times import as_datetime_text, clock_seconds, seconds_as_datetime_text
 from caseworks.schemas import (
     BENEF_COLUMNS,
     BONUS_LINE_COLUMNS,
@@ -26,9 +26,15 @@ def beneficiaries(raw: DataFrame) -> DataFrame:
 
 
 def appointments(raw: DataFrame) -> DataFrame:
+    """Appointments as published: times as text."""
+    return timed_appointments(raw).withColumns({c: seconds_as_datetime_text(c) for c in ("date_deb", "date_fin")})
+
+
+def timed_appointments(raw: DataFrame) -> DataFrame:
+    """Appointments with times as seconds; plans group and rank on these and format them last."""
     changed = {
-        "date_deb": as_datetime_text("date_deb"),
-        "date_fin": as_datetime_text("date_fin"),
+        "date_deb": clock_seconds("date_deb"),
+        "date_fin": clock_seconds("date_fin"),
         "typage": F.when(F.lower("typage").isin(*DIAGNOSTIC_KINDS), DIAGNOSTIC_LABEL).otherwise(F.col("typage")),
     }
     return raw.select(*[changed.get(c, F.col(c)).alias(c) for c in RDV_COLUMNS])

@@ -80,8 +80,11 @@ SELECT count(id_benef) AS nb_de_personne_presente, id_benef, date_deb, date_fin,
 FROM ({SEEN}) GROUP BY ALL"""
 TIE_BREAK = ", ".join(
     f"s.{c} NULLS FIRST" for c in (
-        "date_fin", "type", "typage", "id_referent", "site", "id_site", "presence", "precision_rdv",
+        "date_fin", "type", "typage", "id_referent", "site", "id_site", "code", "precision_rdv",
     )
+).replace(
+    "s.code",
+    "CASE s.presence WHEN '' THEN -1 WHEN 'absent' THEN 0 WHEN 'present' THEN 1 WHEN 'annulé' THEN 2 END",
 )
 PAIR = "PARTITION BY s.referent, s.id_benef ORDER BY"
 RANKS = f"""
