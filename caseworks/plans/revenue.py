@@ -97,7 +97,8 @@ def revenue_per_appointment(rdv: DataFrame, benef: DataFrame, facture: DataFrame
 
     # Bonuses join on the same day keys as the ranks: no further shuffle of the wide rows.
     bonuses = bonus.compiled_bonuses(sheet, benef).select("id_benef", "Montant_prime", "Date_primes")
-    per_day_bonus = per_day.select(*apt.DAY_KEYS).join(bonuses, "id_benef")
+    # Asking for the day's count, always positive, lets this branch reuse the exchange of per_day.
+    per_day_bonus = per_day.filter("_in_day > 0").select(*apt.DAY_KEYS).join(bonuses, "id_benef")
     slot_count = (F.col("_slots") * F.coalesce("_variants", F.lit(1))).cast("double")
     return ranked.join(per_day_bonus, apt.DAY_KEYS, "left").select(
         *apt.BENEF_SLOT_COLUMNS,
