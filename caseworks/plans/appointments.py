@@ -89,9 +89,14 @@ def slots_per_day(known: DataFrame) -> DataFrame:
     return known.groupBy(*DAY_KEYS).agg(F.count_if(F.col("_rows") >= 0).alias("_in_day"))
 
 
+def is_known() -> Column:
+    """Real beneficiaries; id 0 and NULL are placeholders and may hold very many rows."""
+    return F.col("id_benef") != 0
+
+
 def known_slots(rdv: DataFrame) -> DataFrame:
-    """Slots of real beneficiaries (id 0 and NULL are placeholders), with NULL-free day keys."""
-    return slots(rdv.filter(F.col("id_benef") != 0)).withColumns(
+    """Slots of real beneficiaries, with NULL-free day keys."""
+    return slots(rdv.filter(is_known())).withColumns(
         {
             "_counsellor": F.coalesce(F.concat(F.lit("="), "referent"), F.lit("")),
             "_day": F.coalesce(F.floor(F.col("date_deb") / 86400), F.lit(NO_DAY)),
@@ -104,10 +109,11 @@ def benef_pairs(benef: DataFrame) -> DataFrame:
 
     One row per id as long as ids are unique; the numbering keeps repeated ids right as well.
     """
+    known = benef.filter(is_known())
     per_id = Window.partitionBy("id_benef")
-    attributes = benef_attributes(benef).withColumn("_variants", F.count(F.lit(1)).over(per_id))
+    attributes = benef_attributes(known).withColumn("_variants", F.count(F.lit(1)).over(per_id))
     numbered = per_id.orderBy("date_fin_prest", *BENEF_ATTRIBUTES)
-    return attributes.join(benef.select("id_benef", "date_fin_prest"), "id_benef").withColumns(
+    return attributes.join(known.select("id_benef", "date_fin_prest"), "id_benef").withColumns(
         {"_pair": F.row_number().over(numbered), "_pairs": F.count(F.lit(1)).over(per_id)}
     )
 

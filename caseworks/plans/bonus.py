@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from caseworks.functions.text import token
 from caseworks.operators.joins import left_join_hot_right
 from caseworks.plans import flags, staging
+from caseworks.plans.appointments import is_known
 
 # Region marks inside the lot title, and the region given to the eastern lot.
 REGION_MARKS = ("CVL", "IDF", "GUAD")
@@ -101,7 +102,7 @@ def first_bonus(rdv: DataFrame, benef: DataFrame, sheet: DataFrame) -> DataFrame
     such a first slot. So the bonus follows from the bonus sheet and the set of ids with an
     appointment; the ranks need not be built.
     """
-    met = rdv.filter(F.col("id_benef") != 0).select("id_benef").distinct()
+    met = rdv.filter(is_known()).select("id_benef").distinct()
     return (
         compiled_bonuses(sheet, benef)
         .filter((F.col("Montant_prime") > 1) & F.col("id_benef").isNotNull())

@@ -91,7 +91,7 @@ def revenue_per_appointment(rdv: DataFrame, benef: DataFrame, facture: DataFrame
     known = apt.known_slots(rdv)
     per_day = apt.slots_per_day(known)
     per_benef = per_day.groupBy("id_benef").agg(F.sum("_in_day").alias("_slots"))
-    revenue = _owner_totals(facture, benef).groupBy("id_benef").agg(*_totals())
+    revenue = _owner_totals(facture, benef.filter(apt.is_known())).groupBy("id_benef").agg(*_totals())
     facts = per_benef.join(apt.benef_pairs(benef), "id_benef", "left").join(revenue, "id_benef", "left")
     ranked = apt.ranked_slots(known, per_day, facts)
 

@@ -73,19 +73,13 @@ def read_documents(spark: SparkSession, path: str, schema: str, whole_files: boo
     if not whole_files:
         return parse_documents(spark.read.text(path).filter(F.trim("value") != ""), schema)
     files = spark.read.text(path, wholetext=True)
-    documents = F.from_json("value", f"array<struct<{_as_struct(schema)}>>")
+    documents = F.from_json("value", T.ArrayType(T.StructType.fromDDL(schema)))
     listed = files.select(F.col("value"), documents.alias("_docs"))
     good = listed.select(F.explode("_docs").alias("_doc")).select("_doc.*").withColumn(REJECT, F.lit(None).cast("string"))
     bad = listed.filter(F.col("_docs").isNull()).select(F.col("value").alias(REJECT))
     return good.unionByName(bad, allowMissingColumns=True)
 
 
-def _as_struct(schema: str) -> str:
-    """Inner form of a DDL column list, as struct fields."""
-    kind = T.StructType.fromDDL(schema)
-    return ",".join(f"`{f.name}`:{f.dataType.simpleString()}" for f in kind.fields)
-
-
 def accepted(landed: DataFrame) -> DataFrame:
     return landed.filter(F.col(REJECT).isNull()).drop(REJECT)
 
