@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,19 +27,28 @@ def local_session(cores: str = "8", name: str = "caseworks", **settings: str) ->
     return spark
 
 
-def freeze(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the cluster's shared checkpoint folder.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named in ``spark.checkpoint.dir``, which every executor can read and write.
 
-    The folder is the one the session names in ``spark.checkpoint.dir``; only a local session
-    that names none gets a scratch folder of its own, since there driver and tasks share a disk.
+    Only a local session that names none gets a scratch folder of its own, since there driver and
+    tasks share a disk.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
+    shared = spark.conf.get(CHECKPOINT_SETTING, None)
+    if shared:
+        return shared
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder every executor can read")
+    return _scratch()
+
+
+@cache
+def _scratch() -> str:
+    return tempfile.mkdtemp(prefix="caseworks-checkpoint-")
+
+
+def freeze(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` in the shared checkpoint folder, which cuts its lineage."""
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        shared = spark.conf.get(CHECKPOINT_SETTING, None)
-        if not shared:
-            if not context.master.startswith("local"):
-                raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder every executor can read")
-            shared = tempfile.mkdtemp(prefix="caseworks-checkpoint-")
-        context.setCheckpointDir(shared)
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()

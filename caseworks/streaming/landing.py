@@ -20,21 +20,15 @@ def document_stream(spark: SparkSession, folder: str, schema: str) -> DataFrame:
 
 
 def land_new(
-    spark: SparkSession,
-    folder: str,
-    schema: str,
-    keys: Sequence[str],
-    path: str,
-    progress: str,
-    late_by: str = "7 days",
+    documents: DataFrame, keys: Sequence[str], path: str, progress: str, late_by: str = "7 days"
 ) -> StreamingQuery:
-    """Append what arrived since the last run, then stop.
+    """Append the parsed documents that arrived since the last run, then stop.
 
     A document sent again within ``late_by`` of its first copy is dropped, so the state holds that
     span only. ``progress`` is the checkpoint folder; after a lost run the next one resumes there.
     """
-    documents = document_stream(spark, folder, schema).filter(F.col(REJECT).isNull()).drop(REJECT)
-    fresh = documents.withWatermark(LANDED, late_by).dropDuplicatesWithinWatermark(list(keys))
+    good = documents.filter(F.col(REJECT).isNull()).drop(REJECT)
+    fresh = good.withWatermark(LANDED, late_by).dropDuplicatesWithinWatermark(list(keys))
     stamped = clean_fields(fresh).withColumn(STAMP, F.date_format(LANDED, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")).drop(LANDED)
     return (
         stamped.writeStream.format("parquet")

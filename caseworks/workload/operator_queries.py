@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,9 @@ from pyspark.sql import functions as F
 from caseworks.functions import text, values
 from caseworks.operators import reports, reshape, rows
 from caseworks.plans import staging
+from caseworks.session import shared_folder
 from caseworks.sources import audit, landing
+from caseworks.streaming.landing import LANDED, land_new
 from caseworks.workload import domain
 from caseworks.workload.domain import read
 
@@ -390,6 +393,41 @@ def slugify_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Staging and landing.
 
 
+@query(
+    "WITH " + domain.check_tables() + """ SELECT * REPLACE (CAST(date_facture AS VARCHAR) AS date_facture,
+      CAST(montant_HT AS DOUBLE) AS montant_HT, CAST(montant_TVA AS DOUBLE) AS montant_TVA) FROM facture"""
+)
+def stg_facture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return staging.invoices(domain.facture(spark, sf_dir))
+
+
+@query(
+    "WITH " + domain.check_tables() + """ SELECT * EXCLUDE (CIP, Date_d_entr__e) REPLACE (CAST(Date_primes AS VARCHAR)
+      AS Date_primes, CAST(Montant_prime AS DOUBLE) AS Montant_prime), CIP AS referent, Date_d_entr__e AS date_entree
+    FROM bonus_sheet"""
+)
+def stg_prime_compile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return staging.compiled_bonuses(domain.bonus_sheet(spark, sf_dir))
+
+
+@query("SELECT s_suppkey AS ID, s_name AS Libelle, s_nationkey AS IDLieu FROM supplier")
+def stg_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Placements, passed through whatever their columns."""
+    raw = read(spark, sf_dir, "supplier").selectExpr("s_suppkey AS ID", "s_name AS Libelle", "s_nationkey AS IDLieu")
+    return staging.placements(raw)
+
+
+@query(
+    """SELECT c_custkey AS ID, CASE WHEN c_custkey % 5 <> 0 THEN c_custkey % 17 END AS fr_formateur_id,
+      CASE WHEN c_custkey % 5 <> 0 THEN 'VILLE' || c_nationkey END AS fr_ville, c_custkey AS stg_stagiaire_id,
+      'VILLE' || c_nationkey AS stg_ville FROM customer"""
+)
+def stg_inscrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flattened enrolments of both companies; those without a trainer keep their row."""
+    flat = [staging.enrolments(table) for table in domain.enrolments(spark, sf_dir)]
+    return flat[0].unionByName(flat[1]).select("ID", "fr_formateur_id", "fr_ville", "stg_stagiaire_id", "stg_ville")
+
+
 @query(
     "WITH " + domain.check_tables() + ", flat AS (SELECT * FROM benef) SELECT * REPLACE (CAST(date_demarrage AS VARCHAR) "
     "AS date_demarrage, CAST(date_fin_theo AS VARCHAR) AS date_fin_theo, CAST(date_fin_prest AS VARCHAR) AS "
@@ -483,6 +521,15 @@ def load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.load_report(_landed(spark, sf_dir))
 
 
+@query(
+    """WITH t AS (SELECT conv_id % 4 AS k, count(*) FILTER ((conv_id + turn) % 7 <> 0) AS n FROM conversations GROUP BY 1)
+    SELECT count(*) FILTER (n > 0) AS success, count(*) FILTER (n = 0) AS failed, CAST(sum(n) AS BIGINT) AS total_records
+    FROM t"""
+)
+def load_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.load_totals(audit.load_report(_landed(spark, sf_dir)))
+
+
 @query(
     """SELECT '{"conv_id": ' || conv_id AS _corrupt_record FROM conversations WHERE (conv_id + turn) % 7 = 0"""
 )
@@ -499,3 +546,20 @@ def latest_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The newest accepted document of each conversation and role after repeated loads."""
     good = landing.accepted(_landed(spark, sf_dir)).select("conv_id", "role", "text", landing.STAMP)
     return landing.latest(good, ["conv_id", "role"])
+
+
+@query("SELECT conv_id AS _id, turn, role, length(text) AS n_chars FROM conversations WHERE (conv_id + turn) % 7 <> 0")
+def stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversation turns sent twice as JSON text, landed once each by a stream."""
+    path = f"{sf_dir}/conversations.parquet"
+    turns = spark.readStream.schema(read(spark, sf_dir, "conversations").schema).parquet(f"{path}*")
+    whole = F.to_json(F.struct(F.col("conv_id").alias("$id"), "turn", "role", "text"))
+    lines = turns.select(
+        F.col("_metadata.file_modification_time").alias(LANDED),
+        F.when((F.col("conv_id") + F.col("turn")) % 7 == 0, F.left(whole, F.lit(8))).otherwise(whole).alias("value"),
+        F.explode(F.array(F.lit(1), F.lit(2))).alias("copy"),
+    ).drop("copy")
+    documents = landing.parse_documents(lines, "`$id` bigint, turn bigint, role string, text string")
+    folder = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    land_new(documents, ["$id", "turn"], f"{folder}/table", f"{folder}/progress").awaitTermination()
+    return spark.read.parquet(f"{folder}/table").select("_id", "turn", "role", F.length("text").alias("n_chars"))

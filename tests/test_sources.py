@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from caseworks.plans import attendance, staging
 from caseworks.schemas import SESSION_SCHEMA
 from caseworks.sources import audit, files, landing, relational
-from caseworks.streaming.landing import land_new
+from caseworks.streaming.landing import document_stream, land_new
 
 
 def session_doc(number: int, trainers: int = 1, slots: int = 2, agreement=None, **more):
@@ -156,7 +156,7 @@ def test_stream_lands_each_document_once(spark, tmp_path):
         os.utime(folder / name)
 
     def run():
-        query = land_new(spark, str(folder), schema, ["company", "ID"], out, progress)
+        query = land_new(document_stream(spark, str(folder), schema), ["company", "ID"], out, progress)
         assert query.awaitTermination(120)
         return sorted(r.ID for r in spark.read.parquet(out).collect())
 

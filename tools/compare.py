@@ -55,7 +55,7 @@ def main() -> int:
     args = sys.argv[1:]
     sf_dir = args[0] if args else "/root/testdata/sf0.01"
     wanted = [n for a in args[1:] for n in registry.queries() if n.startswith(a)]
-    spark = local_session()
+    spark = local_session("8", "compare", **{"spark.driver.memory": "12g", "spark.driver.maxResultSize": "8g"})
     con = connect(sf_dir)
     checks, bad = registry.oracle_sql(), 0
     for name, query in registry.queries().items():
