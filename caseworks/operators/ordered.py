@@ -27,8 +27,7 @@ def distinct_with_neighbours(df: DataFrame, group_by: Sequence[str], order_by: S
     """
     keys = [*group_by, *order_by]
     distinct = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = freeze(distinct.repartitionByRange(parts, *keys).withColumn("_range", F.spark_partition_id()))
+    ranged = freeze(distinct.repartitionByRange(*keys).withColumn("_range", F.spark_partition_id()))
 
     here = F.struct(*[F.col(k) for k in keys])
     rows = ranged.withColumn("_key", here)

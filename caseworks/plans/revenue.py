@@ -39,26 +39,29 @@ def invoice_delay(facture: DataFrame, benef: DataFrame) -> DataFrame:
     )
 
 
-def invoice_owners(benef: DataFrame) -> DataFrame:
-    """Whom revenue is reported on: the distinct steering rows, once per row the id has.
+def distinct_owners(benef: DataFrame) -> DataFrame:
+    """Whom revenue is reported on: the distinct steering rows.
 
     Bonus lines repeat steering rows without changing these columns, so they need no join here.
     """
-    distinct = flags.classified(benef).select(*OWNER_KEYS).distinct()
-    return distinct.join(benef.select("id_benef"), "id_benef", "left")
+    return flags.classified(benef).select(*OWNER_KEYS).distinct()
+
+
+def invoice_owners(benef: DataFrame) -> DataFrame:
+    """Owners with an id, once per row the id has, as an invoice meets each of them."""
+    return distinct_owners(benef).join(benef.select("id_benef"), "id_benef")
 
 
 def revenue_lines(facture: DataFrame, benef: DataFrame) -> DataFrame:
     """One row per owner and invoice; owners without an invoice stay."""
-    distinct = flags.classified(benef).select(*OWNER_KEYS).distinct()
     bills = facture.select("id_benef", *INVOICE_FIELDS)
     matched = bills.join(invoice_owners(benef), "id_benef")
-    unmatched = distinct.join(bills.select("id_benef").distinct(), "id_benef", "left_anti")
+    unmatched = distinct_owners(benef).join(bills.select("id_benef").distinct(), "id_benef", "left_anti")
     return matched.unionByName(unmatched, allowMissingColumns=True).select(*OWNER_KEYS, *INVOICE_FIELDS)
 
 
 def _owner_totals(facture: DataFrame, benef: DataFrame) -> DataFrame:
-    """Owners with invoice totals; invoices are summed per id before they meet their owner."""
+    """Owners with an id and their totals; invoices are summed per id before they meet their owner."""
     totals = facture.groupBy("id_benef").agg(
         F.max("date_facture").alias("date_facture"),
         F.sum("montant_HT").alias("_ht"),
@@ -79,7 +82,10 @@ def _totals() -> list[Column]:
 def revenue_with_bonus(facture: DataFrame, benef: DataFrame, sheet: DataFrame) -> DataFrame:
     """Revenue totals per owner beside each of the beneficiary's bonuses."""
     keys = [c for c in OWNER_KEYS if c != "region"]
-    totals = _owner_totals(facture, benef).groupBy(*keys).agg(*_totals())
+    # Owners without an id have no invoice. Beside the join, not in it, they are not all in one task.
+    nameless = distinct_owners(benef).filter(F.col("id_benef").isNull())
+    owners = _owner_totals(facture, benef).unionByName(nameless, allowMissingColumns=True)
+    totals = owners.groupBy(*keys).agg(*_totals())
     bonuses = bonus.compiled_bonuses(sheet, benef).filter(F.col("id_benef").isNotNull())
     return left_join_hot_right(totals, bonuses.select("id_benef", "Montant_prime", "Date_primes"), "id_benef").select(
         *keys, "date_facture", "region", "CA_HT_total", "CA_TVA_total", "Montant_prime", "Date_primes"
