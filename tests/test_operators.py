@@ -143,7 +143,28 @@ def test_hot_joins_equal_plain_ones(spark):
     assert rows(joins.full_join_hot_left(left, right, "k").select("k", "l", "r")) == rows(plain)
 
 
-def test_neighbours_equal_a_global_window(spark):
+@pytest.fixture(params=["one range", "all ranges", "merged ranges"])
+def range_setting(spark, request):
+    """Adaptive execution merges small ranges: into one, not at all, or into a few."""
+    settings = {
+        "one range": {},
+        "all ranges": {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "16"},
+        "merged ranges": {
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "5KB",
+            "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "100b",
+            "spark.sql.shuffle.partitions": "16",
+        },
+    }[request.param]
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield request.param
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_neighbours_equal_a_global_window(spark, range_setting):
     data = [(g, v) for g in ("a", "b", None) for v in (1, 2, 2, 2, 5, 9, None)] + [("hot", i % 700) for i in range(3000)]
     df = spark.createDataFrame(data, "g string, v int")
     got = {
@@ -154,6 +175,8 @@ def test_neighbours_equal_a_global_window(spark):
     assert got[("a", None)] == (1, None, 1)
     assert got[(None, 9)] == (1, 5, None)
     assert all(got[("hot", i)][1:] == (i - 1 if i else None, i + 1 if i < 699 else None) for i in range(700))
+    ranges = df.distinct().repartitionByRange("g", "v").select(F.spark_partition_id()).distinct().count()
+    assert {"one range": ranges == 1, "all ranges": ranges > 10, "merged ranges": 1 < ranges < 16}[range_setting], ranges
 
 
 def test_repeat_rows_in_blocks(spark):
