@@ -64,7 +64,7 @@ def surrogate_key(columns: Sequence[Column | str], null_as_empty: bool = False)
 def width_bucket(value: Column | str, low: Column | float, high: Column | float, buckets: Column | int) -> Column:
     """Bucket number by ceiling, one more when the value is a whole multiple of the bin width.
 
-    Values above ``high`` go to ``buckets + 1`` before that correction, as in the warehouse macro,
+    Values above ``high`` go to ``buckets + 1`` before that correction,
     so this differs from Spark's ``width_bucket`` on multiples of the width outside the range.
     """
     x = as_column(value)
