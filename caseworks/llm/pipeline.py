@@ -1,0 +1,23 @@
+"""Stages of the corpus pipeline. Each takes (spark, docs, sf_dir) and returns a DataFrame."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from caseworks.llm import mixing
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Mixing sources to target weights: each document as often as it is taken."""
+    return mixing.mixed(docs)
+
+
+STAGES = [("mixing", mix_sources)]
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for _, stage in STAGES:
+        docs = stage(spark, docs, sf_dir)
+    return docs
