@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from caseworks.llm import chat, mixing, rules
+from caseworks.llm import chat, langid, lines, minhash, mixing, passages, pieces, rules, topk
 from caseworks.llm.support import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,11 +19,19 @@ def _over(name: str, build: Callable[[DataFrame], DataFrame]) -> Query:
 QUERIES: dict[str, Query] = {
     "op1_source_mixing": _over("documents", mixing.op1_source_mixing),
     "op2_prefix_targets": _over("conversations", chat.op2_prefix_targets),
+    "op3_minhash_near_dedup": _over("documents", minhash.op3_minhash_near_dedup),
+    "op5_language_id": _over("documents", langid.op5_language_id),
+    "op6_line_dedup": _over("documents", lines.op6_line_dedup),
     "op7_quality_rules": _over("documents", rules.op7_quality_rules),
+    "op8_substring_dedup": _over("documents", passages.op8_substring_dedup),
+    "op9_merge_dropout": _over("documents", pieces.op9_merge_dropout),
+    "op10_exact_top_k": _over("embeddings", topk.op10_exact_top_k),
 }
 
 CHECKS: dict[str, str] = {
     "op1_source_mixing": mixing.SQL,
     "op2_prefix_targets": chat.SQL,
+    "op6_line_dedup": lines.SQL,
     "op7_quality_rules": rules.sql(),
+    "op10_exact_top_k": topk.SQL,
 }
