@@ -34,6 +34,7 @@ from caseworks.llm.support import settled
 WORDS = 5
 SIMILAR = 75  # percent
 BINS, BAND = 128, 4
+FEW_IDS = 500_000  # ids of 8 bytes that are sent to every task; with more the join shuffles
 # (fewest shingles, most shingles, salted copies of each)
 CLASSES = ((1, 64, 64), (49, 512, 8), (385, None, 1))
 _U = np.uint64
@@ -212,5 +213,22 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     return rows.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def deduplicated(documents: DataFrame) -> DataFrame:
+    """``documents`` without those that have a similar one with a smaller doc_id; of rows that share a doc_id the
+    one with the smallest text stays."""
+    verdicts = settled(near_duplicates(documents))
+    gone = settled(verdicts.filter("doc_id != component_id").select("doc_id").distinct())
+    again = verdicts.filter("doc_id = component_id").groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    again = settled(again)
+    left_out = gone.unionAll(again)
+    left_out = F.broadcast(left_out) if left_out.count() <= FEW_IDS else left_out
+    rest = documents.join(left_out, "doc_id", "left_anti")
+    if not again.isEmpty():
+        place = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
+        first = documents.join(again, "doc_id", "left_semi").withColumn("_place", place).filter("_place = 1").drop("_place")
+        rest = rest.unionByName(first)
+    return rest.select(*[F.col(f"`{c}`") for c in documents.columns])
+
+
 def op3_minhash_near_dedup(documents: DataFrame) -> DataFrame:
     return near_duplicates(documents.select("doc_id", "text"))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from caseworks.llm import chat, langid, lines, minhash, mixing, passages, pieces, rules, topk
+from caseworks.llm import chat, langid, lines, minhash, mixing, passages, pieces, rules, topk, wrapper
 from caseworks.llm.support import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,7 @@ QUERIES: dict[str, Query] = {
     "op1_source_mixing": _over("documents", mixing.op1_source_mixing),
     "op2_prefix_targets": _over("conversations", chat.op2_prefix_targets),
     "op3_minhash_near_dedup": _over("documents", minhash.op3_minhash_near_dedup),
+    "op4_wrapper_extraction": _over("pages", wrapper.op4_wrapper_extraction),
     "op5_language_id": _over("documents", langid.op5_language_id),
     "op6_line_dedup": _over("documents", lines.op6_line_dedup),
     "op7_quality_rules": _over("documents", rules.op7_quality_rules),

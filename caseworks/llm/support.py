@@ -31,13 +31,18 @@ def _own_folder() -> str:
     return tempfile.mkdtemp(prefix="caseworks-llm-")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named in ``spark.checkpoint.dir``, which driver and executors share. Only a session without that
+    setting, as in tests, gets a folder of its own."""
+    return spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
+
+
 def settled(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared checkpoint folder, so that later steps neither recompute it nor depend
-    on the executors that made it. Spark removes the files once the frame is no longer referenced, if
-    ``spark.cleaner.referenceTracking.cleanCheckpoints`` is on. Only a session without
-    ``spark.checkpoint.dir``, as in tests, gets a folder of its own.
+    """``df`` written to the shared folder, so that later steps neither recompute it nor depend on the executors
+    that made it. Spark removes the files once the frame is no longer referenced, if
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` is on.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or _own_folder())
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
