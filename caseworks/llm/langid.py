@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from caseworks.llm.flat_text import buffers
+from caseworks.llm.support import packed, unpacked
 
 SAMPLE = 64
 LONGEST = 20_000
@@ -85,8 +86,8 @@ def classified(model: tuple[tuple[str, bytes], ...], raw: bytes) -> tuple[str, f
     return model[best][0], 1 - sizes[best] / min(rest) if rest else 1.0
 
 
-def identified(documents: DataFrame, model: dict[str, bytes]) -> DataFrame:
-    """``documents`` with the struct ``language`` (lang, score, rejected)."""
+def identified(documents: DataFrame, model: dict[str, bytes], into: str = "language") -> DataFrame:
+    """``documents`` with the struct ``into`` (lang, score, rejected); other columns are kept."""
     shared = documents.sparkSession.sparkContext.broadcast(tuple(model.items()))
 
     @F.arrow_udf("struct<lang:string,score:double>")
@@ -98,10 +99,10 @@ def identified(documents: DataFrame, model: dict[str, bytes]) -> DataFrame:
             langs[i], scores[i] = classified(shared.value, data[ends[i] : ends[i + 1]].tobytes())
         return pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores)], ["lang", "score"])
 
-    own = [c for c in documents.columns if c.lower() != "language"]
-    rows = documents.select(*[F.col(f"`{c}`") for c in own], told(letters(F.col("text"))).alias("language"))
-    reject = (F.col("language.score") < NARROW) | (F.col("language.lang") == UNKNOWN)
-    return rows.withColumn("language", F.struct("language.lang", "language.score", reject.alias("rejected")))
+    own = [c for c in documents.columns if c.lower() != into.lower()]
+    rows = packed(documents, told(letters(F.col("text").cast("string"))).alias("told"))
+    reject = (F.col("told.score") < NARROW) | (F.col("told.lang") == UNKNOWN)
+    return rows.select(*unpacked(own), F.struct("told.lang", "told.score", reject.alias("rejected")).alias(into))
 
 
 def op5_language_id(documents: DataFrame) -> DataFrame:

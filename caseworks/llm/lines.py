@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caseworks.llm.flat_text import buffers, lists
-from caseworks.llm.support import settled
+from caseworks.llm.support import packed, settled
 
 RUN = 3
 _BLANK = b" \t\x0b\x0c\r"
@@ -95,12 +95,12 @@ def repeated_lines(documents: DataFrame) -> DataFrame:
     return gone.groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_set("number")).alias("gone"))
 
 
-def deduplicated(documents: DataFrame) -> DataFrame:
-    """``documents`` with the repeated lines taken out of ``text``, and ``lines_removed`` (bigint)."""
+def deduplicated(documents: DataFrame, removed: str = "lines_removed") -> DataFrame:
+    """``documents`` with the repeated lines taken out of ``text``, and their number in the column ``removed``."""
     gone = settled(repeated_lines(documents)).withColumnsRenamed({"doc_id": "_id", "text_key": "_key"})
-    own = [c for c in documents.columns if c.lower() != "lines_removed"]
-    rows = documents.select(
-        F.struct(*[F.col(f"`{c}`") for c in own]).alias("_own"),
+    own = [c for c in documents.columns if c.lower() != removed.lower()]
+    rows = packed(
+        documents,
         F.col("doc_id").cast("bigint").alias("_doc_id"),
         _key(F.col("text").cast("string")).alias("_text_key"),
     )
@@ -110,10 +110,10 @@ def deduplicated(documents: DataFrame) -> DataFrame:
     text = F.array_join(F.transform(left, lambda i: F.get("_lines", i)), "\n")
     rest = F.when(F.col("gone").isNull(), F.col("_own.text")).otherwise(F.when(text.rlike(r"[^ \x09-\x0D]"), text).otherwise(""))
     rows = rows.withColumn("_rest", rest)
-    removed = F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone"))
+    number = F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone"))
     return rows.select(
         *[F.col("_rest").alias(c) if c.lower() == "text" else F.col(f"_own.`{c}`") for c in own],
-        removed.cast("bigint").alias("lines_removed"),
+        number.cast("bigint").alias(removed),
     )
 
 

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from caseworks.llm.components import components
 from caseworks.llm.flat_text import Slice, buffers, constants, lists, mix, run_hashes, signed, slices
 from caseworks.llm.ids import bit_map, possible
-from caseworks.llm.support import settled
+from caseworks.llm.support import packed, settled
 
 WORDS = 5
 SIMILAR = 75  # percent
@@ -224,9 +224,9 @@ def deduplicated(documents: DataFrame) -> DataFrame:
     left_out = F.broadcast(left_out) if left_out.count() <= FEW_IDS else left_out
     rest = documents.join(left_out, "doc_id", "left_anti")
     if not again.isEmpty():
-        place = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-        first = documents.join(again, "doc_id", "left_semi").withColumn("_place", place).filter("_place = 1").drop("_place")
-        rest = rest.unionByName(first)
+        place = F.row_number().over(Window.partitionBy("_own.doc_id").orderBy("_own.text")).alias("_place")
+        first = packed(documents.join(again, "doc_id", "left_semi")).select("_own", place).filter("_place = 1")
+        rest = rest.unionByName(first.select("_own.*"))
     return rest.select(*[F.col(f"`{c}`") for c in documents.columns])
 
 

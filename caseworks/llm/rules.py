@@ -5,7 +5,8 @@ projection: no shuffle, no state, nothing that grows with the corpus. Repeated t
 by sorting the window hashes of one text, so a very long text costs n log n, not n squared.
 
 NULL and empty texts have no words and fail the base rule. Rows are judged one by one: repeated rows get
-equal verdicts, an empty table gives an empty result, and other columns (of any name) are passed through.
+equal verdicts, an empty table gives an empty result, and other columns (of any name but those of the result) are
+passed through.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caseworks.llm.support import GAP, words
+from caseworks.llm.support import packed, unpacked, words
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 3
@@ -60,10 +61,10 @@ def _repeat_words(grams: str) -> Column:
     return F.sort_array(F.transform(F.filter(g, lambda x, i: same(x, i - 1) | same(x, i + 1)), lambda x: x["p"]))
 
 
-def measured(df: DataFrame, text: str = "text") -> DataFrame:
-    """``df`` with one struct column ``_q`` of counts and ratios. Each step is its own projection, so that no
+def measured(df: DataFrame) -> DataFrame:
+    """``df`` (with ``text``) and one struct column ``_q`` of counts and ratios. Each step is its own projection, so that no
     array is computed twice."""
-    t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    t = F.coalesce("text", F.lit(""))
     lines = F.filter(F.split(t, "\n"), lambda x: x.rlike(r"[^ \x09-\x0D]"))
     step = df.withColumns({
         "_words": words(t),
@@ -132,12 +133,13 @@ def judged(df: DataFrame, rules: Sequence[Rule] = THRESHOLDS, text: str = "text"
     The base rule fails texts under 50 words, or with more than half of their words in repeated windows.
     """
     own = [c for c in df.columns if c.lower() not in ("quality", "base_failed", "broken_rules", "kept")]
-    rows = measured(df, text).select(*[F.col(f"`{c}`") for c in own], F.col("_q").alias("quality"))
+    rows = measured(packed(df, F.col(f"`{text}`").cast("string").alias("text"))).select("_own", F.col("_q").alias("quality"))
     rows = rows.withColumns({
         "base_failed": (F.col("quality.n_words") < 50) | (100 * F.col("quality.n_repeat_words") > 50 * F.col("quality.n_words")),
         "broken_rules": verdict(rules, "quality"),
     })
-    return rows.withColumn("kept", ~F.col("base_failed") & (F.size("broken_rules") == 0))
+    rows = rows.withColumn("kept", ~F.col("base_failed") & (F.size("broken_rules") == 0))
+    return rows.select(*unpacked(own), "quality", "base_failed", "broken_rules", "kept")
 
 
 def op7_quality_rules(documents: DataFrame) -> DataFrame:

@@ -26,6 +26,16 @@ def word_count(text: Column) -> Column:
     return F.size(words(text)).cast("bigint")
 
 
+def packed(df: DataFrame, *more: Column | str) -> DataFrame:
+    """All columns of ``df`` in one struct ``_own``, beside the columns an operator needs. Whatever names ``df`` has,
+    they meet none of the operator's own."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_own"), *more)
+
+
+def unpacked(names: list[str]) -> list[Column]:
+    return [F.col(f"_own.`{c}`") for c in names]
+
+
 @cache
 def _own_folder() -> str:
     return tempfile.mkdtemp(prefix="caseworks-llm-")

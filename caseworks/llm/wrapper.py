@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caseworks.llm.support import settled
+from caseworks.llm.support import packed, settled, unpacked
 
 PARTS = 16
 DEEPEST = 150  # elements nested deeper add no level of their own; their texts stay
@@ -338,7 +338,7 @@ def _aligned_rows(batches):
 def wrappers(pages: DataFrame) -> DataFrame:
     """host and ``pattern`` (the wrapper) of every host."""
     kind = "host string, pattern string"
-    found = pages.select("url", "html").mapInArrow(_patterns, kind)
+    found = pages.select(F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html")).mapInArrow(_patterns, kind)
     found = found.groupBy("host", "pattern").agg(F.count(F.lit(1)).alias("n"))
     part = F.pmod(F.xxhash64("pattern"), F.lit(PARTS))
     found = found.withColumn("part", part).repartition("host", "part")
@@ -351,8 +351,9 @@ def extracted(pages: DataFrame) -> DataFrame:
     known = settled(wrappers(pages)).withColumnRenamed("host", "_host")
     known = F.broadcast(known) if known.count() <= FEW_HOSTS else known
     own = [c for c in pages.columns if c.lower() != "main_text"]
-    host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), _HOST.pattern, 1))
-    rows = pages.select(*[F.col(f"`{c}`") for c in own], host.alias("_at")).join(known, F.col("_at") == F.col("_host"), "left")
+    host = F.lower(F.regexp_extract(F.coalesce(F.col("url").cast("string"), F.lit("")), _HOST.pattern, 1))
+    rows = packed(pages, F.col("html").cast("string").alias("html"), host.alias("_at"))
+    rows = rows.join(known, F.col("_at") == F.col("_host"), "left")
 
     @F.arrow_udf("string")
     def text(page: pa.Array, pattern: pa.Array) -> pa.Array:
@@ -364,7 +365,7 @@ def extracted(pages: DataFrame) -> DataFrame:
             out.append(main_text(own_page, good[wrapper]))
         return pa.array(out, pa.string())
 
-    return rows.select(*[F.col(f"`{c}`") for c in own], text("html", "pattern").alias("main_text"))
+    return rows.select(*unpacked(own), text("html", "pattern").alias("main_text"))
 
 
 def op4_wrapper_extraction(pages: DataFrame) -> DataFrame:

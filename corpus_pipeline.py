@@ -19,13 +19,13 @@ from caseworks.llm.support import shared_folder
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Language ID by compression, learned from the labels of ``docs``; rejected documents go."""
-    rows = langid.identified(docs, langid.learned(docs))
-    return rows.filter("NOT language.rejected").select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = langid.identified(docs, langid.learned(docs), into="_language_verdict")
+    return rows.filter("NOT _language_verdict.rejected").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Line dedup; a document left without a word goes, and ``n_chars`` follows the text."""
-    rows = lines.deduplicated(docs).filter("NOT (lines_removed > 0 AND text = '')")
+    rows = lines.deduplicated(docs, removed="_lines_removed").filter("NOT (_lines_removed > 0 AND text = '')")
     return rows.select(
         *[F.length("text").cast("bigint").alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns]
     )
