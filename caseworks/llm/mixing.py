@@ -22,13 +22,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from caseworks.llm.support import settled, word_count
+from caseworks.llm.support import packed, settled, unpacked, word_count
 
 SEED = "mix-1"
 MOST_COPIES = 3
 TILT = 0.5  # share of the room around the rate that the length tilt may use
 HALF_LENGTH = 500  # words at which the length score is half of its maximum
 BUCKETS = 1024
+FEW_SOURCES = 10_000  # rows of about 100 bytes; with more sources the joins shuffle
 
 
 def _length_score(size: str) -> Column:
@@ -88,9 +89,11 @@ def _placed(rows: DataFrame, seed: str) -> DataFrame:
     return rows.withColumn("b2", F.least(F.floor((spread - F.col("b1")) * BUCKETS), F.lit(BUCKETS - 1)))
 
 
-def _with_source(rows: DataFrame, per_source: DataFrame, how: str = "inner") -> DataFrame:
-    """``rows`` joined with one row per source, NULL sources included."""
+def _with_source(rows: DataFrame, per_source: DataFrame, how: str = "inner", small: bool = False) -> DataFrame:
+    """``rows`` joined with one row per source, NULL sources included. ``small``: the sources were counted and are
+    at most ``FEW_SOURCES``, so they are sent to every task and ``rows`` stay where they are."""
     other = per_source.withColumnRenamed("source", "_source")
+    other = F.broadcast(other) if small else other
     return rows.join(other, F.col("source").eqNullSafe(F.col("_source")), how).drop("_source")
 
 
@@ -105,19 +108,19 @@ def _crossing(sums: DataFrame, bucket: str) -> DataFrame:
     return reached.groupBy("source").agg(F.min(found).alias("_c")).select("source", f"_c.{bucket}", "_c.left")
 
 
-def _edges(sized: DataFrame, targets: DataFrame, seed: str) -> DataFrame:
+def _edges(sized: DataFrame, targets: DataFrame, seed: str, small: bool) -> DataFrame:
     """``targets`` with ``edge``, the last (buckets, place, doc_id, size) that each source takes."""
-    rows = _placed(_with_source(sized, targets), seed)
+    rows = _placed(_with_source(sized, targets, small=small), seed)
     rows = rows.select("source", "target", "doc_id", "size", "whole", "b1", "b2", "place")
     first = rows.groupBy("source", "b1").agg(
         F.sum("size").alias("words"), F.sum(F.col("whole") * F.col("size")).alias("sure"), F.first("target").alias("target")
     )
     every = Window.partitionBy("source")
     at1 = _crossing(first.withColumn("left", F.first("target").over(every) - F.sum("sure").over(every)), "b1")
-    inner = _with_source(rows, at1.withColumnRenamed("b1", "at1")).filter("b1 = at1")
+    inner = _with_source(rows, at1.withColumnRenamed("b1", "at1"), small=small).filter("b1 = at1")
     second = inner.groupBy("source", "b1", "b2").agg(F.sum("size").alias("words"), F.first("left").alias("left"))
     at2 = _crossing(second, "b2")
-    last = _with_source(inner.drop("left"), at2.withColumnRenamed("b2", "at2")).filter("b2 = at2")
+    last = _with_source(inner.drop("left"), at2.withColumnRenamed("b2", "at2"), small=small).filter("b2 = at2")
     order = Window.partitionBy("source").orderBy("place", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
     last = last.withColumn("up_to", F.sum("size").over(order))
     # A row is taken while that brings the words nearer to the target. With no row of the last bucket taken,
@@ -130,6 +133,21 @@ def _edges(sized: DataFrame, targets: DataFrame, seed: str) -> DataFrame:
     return _with_source(targets, edge, "left")
 
 
+def _copies(documents: DataFrame, seed: str) -> DataFrame:
+    """``_own`` (the row), doc_id, size, source_size, target and copies of every row."""
+    size = word_count(F.col("text").cast("string")).alias("size")
+    key = F.col("doc_id").cast("bigint").alias("doc_id")
+    sized = settled(documents.select(key, F.col("source").cast("string").alias("source"), size))
+    targets = settled(source_targets(sized))
+    small = targets.count() <= FEW_SOURCES
+    edges = settled(_edges(sized, targets, seed, small))
+    rows = packed(documents, key, F.col("source").cast("string").alias("source"), size)
+    rows = _placed(_with_source(rows, edges, "left", small), seed)
+    picked = F.coalesce(F.struct("b1", "b2", "place", "doc_id", "size") <= F.col("edge"), F.lit(False))
+    copies = F.when(F.col("size") > 0, F.col("whole") + picked.cast("bigint")).otherwise(0)
+    return rows.select("_own", "doc_id", "size", "source_size", "target", copies.alias("copies"))
+
+
 def copies_per_row(documents: DataFrame, seed: str = SEED) -> DataFrame:
     """``documents`` with ``size``, ``source_size``, ``target`` and ``copies`` (0 to 3) of each row.
 
@@ -137,24 +155,14 @@ def copies_per_row(documents: DataFrame, seed: str = SEED) -> DataFrame:
     names are replaced; all others are kept whatever their names.
     """
     added = ("size", "source_size", "target", "copies")
-    documents = documents.drop(*[c for c in documents.columns if c.lower() in added])
-    own = documents.columns
-    size = word_count(F.col("text")).alias("size")
-    sized = settled(documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "source", size))
-    targets = settled(source_targets(sized))
-    edges = settled(_edges(sized, targets, seed))
-    rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("_own"), F.col("doc_id").cast("bigint").alias("doc_id"), "source", size)
-    rows = _placed(_with_source(rows, edges, "left"), seed)
-    picked = F.coalesce(F.struct("b1", "b2", "place", "doc_id", "size") <= F.col("edge"), F.lit(False))
-    copies = F.when(F.col("size") > 0, F.col("whole") + picked.cast("bigint")).otherwise(0).alias("copies")
-    return rows.select(*[F.col(f"_own.`{c}`") for c in own], "size", "source_size", "target", copies)
+    own = [c for c in documents.columns if c.lower() not in added]
+    return _copies(documents, seed).select(*unpacked(own), *added)
 
 
 def mixed(documents: DataFrame, seed: str = SEED) -> DataFrame:
     """The mix itself: each document as often as it is taken, with the columns of ``documents``."""
-    rows = copies_per_row(documents, seed).filter("copies > 0")
-    rows = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
-    return rows.select(*[F.col(f"`{c}`") for c in documents.columns])
+    copy = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))).alias("_copy")
+    return _copies(documents, seed).filter("copies > 0").select("_own", copy).select(*unpacked(documents.columns))
 
 
 def op1_source_mixing(documents: DataFrame) -> DataFrame:
