@@ -108,10 +108,11 @@ def read_turns(text: Column) -> Column:
 
 def op2_prefix_targets(conversations: DataFrame) -> DataFrame:
     """Digests per conversation, read back from its examples alone."""
-    added = conversations.sparkSession.createDataFrame(
-        [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")],
-        "conv_id bigint, turn bigint, role string, text string",
-    )
+    said = F.explode(F.array(*[
+        F.struct(F.lit(-1).cast("bigint").alias("conv_id"), F.lit(turn).cast("bigint").alias("turn"), F.lit(role).alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
+        for turn, role in enumerate(("user", "assistant"))
+    ])).alias("row")
+    added = conversations.sparkSession.range(1).select(said).select("row.*")
     rows = examples(conversations.select("conv_id", "turn", "role", "text").unionByName(added))
     span = F.substring("text", (F.col("loss_start") + 1).cast("int"), (F.col("loss_end") - F.col("loss_start")).cast("int"))
     rows = rows.withColumn("loss", F.struct("example", unescaped(span).alias("text")))
