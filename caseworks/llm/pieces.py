@@ -9,7 +9,8 @@ Characters without a piece become byte pieces, and so does a literal meta symbol
 
 No piece reaches over the start of a word, so a text is cut into chunks there and the agenda runs per chunk. The
 variant of a chunk is one of ``VARIANTS``, drawn by a keyed hash of document and place in the text. Results per
-(chunk, variant) are kept in a table of bounded size per worker, which only saves time.
+(chunk, variant) are kept in a table of bounded size per worker, and the chunks of a batch that are not in it are
+solved together, one agenda step of every chunk at a time; both only save time.
 
 NULL gives NULL and an empty text no pieces. The draw depends on doc_id (NULL is one value) and place, so reruns
 and repeated rows agree. An empty table gives an empty result; other columns are not read.
@@ -37,7 +38,10 @@ LITERAL_META = "\udc81"  # stands for a meta symbol of the text; no text holds a
 RATE = 0.1
 SEED = 1
 VARIANTS = 4
-REMEMBERED = 200_000
+REMEMBERED = 600_000  # results per worker, and as many of the generation before
+SHORT = 48  # longest chunk that is solved together with others
+BATCH_CHARS = 1 << 20
+_NONE = np.int64(2**62)
 _M64 = (1 << 64) - 1
 
 
@@ -71,55 +75,65 @@ class Encoder:
         self.v = vocabulary
         self.limit = int(rate * 65536)
         self.seed, self.variants = seed, variants if rate else 1
-        longer = [p for p in vocabulary.pieces if len(p) > 1]
+        pieces = vocabulary.pieces
+        longer = [p for p in pieces if len(p) > 1]
         if any(META in p.lstrip(META) for p in longer):
             self.chunks = re.compile(r"(?s).+")  # pieces cross words: a text is one chunk
         elif any("\n" in p for p in longer):
             self.chunks = re.compile(f"{META}+[^{META}]*|[^{META}]+")
         else:
             self.chunks = re.compile(f"{META}+[^{META}\n]*|\n+|[^{META}\n]+")
+        # Merge order: 0 for the best score, equal scores are equal.
+        self.order = np.unique(-np.array(vocabulary.scores), return_inverse=True)[1].astype(np.int64)
+        self.single = np.full(0x110000, -1, dtype=np.int64)
+        for piece, number in pieces.items():
+            if len(piece) == 1:
+                self.single[ord(piece)] = number
+        # (left, right) -> joint piece, as sorted keys.
+        joints = sorted(
+            (pieces[p[:i]] << 32 | pieces[p[i:]], pieces[p]) for p in longer for i in range(1, len(p)) if p[:i] in pieces and p[i:] in pieces
+        )
+        self.joint_keys = np.array([k for k, _ in joints] + [_NONE], dtype=np.int64)
+        self.joint_pieces = np.array([j for _, j in joints] + [-1], dtype=np.int64)
+        self.singles = frozenset(p for p in pieces if len(p) == 1)
         self.known: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
-        self.older: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
+        self.older = self.known
+
+    def _key(self, chunk: str, variant: int) -> int:
+        return xxhash.xxh3_64_intdigest(chunk.encode("utf-8", "surrogatepass"), seed=self.seed * 1024 + variant)
 
     def pieces_of(self, chunk: str, variant: int) -> list[int]:
         """The agenda for one chunk."""
-        pieces, scores, limit = self.v.pieces, self.v.scores, self.limit
+        pieces, order, limit = self.v.pieces, self.order, self.limit
         symbols: list[str] = list(chunk)
         n = len(symbols)
         following, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        agenda: list[tuple[float, int, int, int]] = []
+        agenda: list[tuple[int, int, int, int]] = []
         for i in range(n - 1):
             piece = pieces.get(symbols[i] + symbols[i + 1])
             if piece is not None:
-                agenda.append((-scores[piece], i, piece, 2))
+                agenda.append((int(order[piece]), i, piece, 2))
         heapq.heapify(agenda)
-        key = xxhash.xxh3_64_intdigest(chunk.encode("utf-8", "surrogatepass"), seed=self.seed * 1024 + variant) if limit else 0
+        key = self._key(chunk, variant)
         while agenda:
             _, left, piece, width = heapq.heappop(agenda)
             right = following[left]
             # Out of date if either symbol has been merged since.
             if right >= n or not symbols[left] or len(symbols[left]) + len(symbols[right]) != width:
                 continue
-            if limit:
-                draw = (key ^ (piece * 0x9E3779B97F4A7C15 + left * 0xC2B2AE3D27D4EB4F)) & _M64
-                draw = ((draw ^ (draw >> 29)) * 0xBF58476D1CE4E5B9) & _M64
-                if (draw >> 40) & 0xFFFF < limit:
-                    continue
+            if limit and skipped(key, piece, left) < limit:
+                continue
             symbols[left] += symbols[right]
             symbols[right] = ""
             after = following[left] = following[right]
             if after < n:
                 before[after] = left
-                joint = symbols[left] + symbols[after]
-                piece = pieces.get(joint)
-                if piece is not None:
-                    heapq.heappush(agenda, (-scores[piece], left, piece, len(joint)))
-            previous = before[left]
-            if previous >= 0:
-                joint = symbols[previous] + symbols[left]
-                piece = pieces.get(joint)
-                if piece is not None:
-                    heapq.heappush(agenda, (-scores[piece], previous, piece, len(joint)))
+            for start, end in ((left, after), (before[left], left)):
+                if start >= 0 and end < n:
+                    joint = symbols[start] + symbols[end]
+                    piece = pieces.get(joint)
+                    if piece is not None:
+                        heapq.heappush(agenda, (int(order[piece]), start, piece, len(joint)))
         ids: list[int] = []
         for symbol in symbols:
             if symbol:
@@ -131,35 +145,138 @@ class Encoder:
                     ids.extend(self.v.byte_ids[b] for b in raw.encode())
         return ids
 
-    def _missed(self, chunk: str, variant: int) -> bytes:
-        found = self.older[variant].get(chunk)
-        if found is None:
-            found = np.array(self.pieces_of(chunk, variant), dtype=np.int32).tobytes()
-        if len(chunk) <= 64:
-            if len(self.known[variant]) >= REMEMBERED // self.variants:
-                self.older[variant], self.known[variant] = self.known[variant], {}
-            self.known[variant][chunk] = found
+    def _joint(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        key = left << 32 | right
+        at = np.searchsorted(self.joint_keys, key)
+        return np.where(self.joint_keys[at] == key, self.joint_pieces[at], -1)
+
+    def _solve_together(self, wanted: list[tuple[int, str]]) -> list[bytes]:
+        """The agendas of short chunks whose characters are all pieces: each round takes every chunk's best candidate."""
+        lengths = np.array([len(chunk) for _, chunk in wanted])
+        points = np.frombuffer("".join([chunk for _, chunk in wanted]).encode("utf-32-le"), dtype=np.uint32)
+        symbol, owner = self.single[points], np.repeat(np.arange(len(wanted)), lengths)
+        place = np.arange(len(points)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        keys = np.array([self._key(chunk, variant) for variant, chunk in wanted], dtype=np.uint64)
+
+        def candidates(at: np.ndarray) -> None:
+            """Looks up what the symbols at these places make with the next one."""
+            at = at[(at >= 0) & (at < len(symbol) - 1)]
+            at = at[owner[at] == owner[at + 1]]
+            found = self._joint(symbol[at], symbol[at + 1])
+            piece[at] = found
+            rank[at] = np.where(found >= 0, self.order[found] << 32 | place[at], _NONE)
+
+        piece, rank = np.full(len(symbol), -1), np.full(len(symbol), _NONE)
+        candidates(np.arange(len(symbol)))
+        done_owner, done_symbol = [], []
+        while len(symbol):
+            starts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+            best = np.minimum.reduceat(rank, starts)
+            sizes = np.diff(np.concatenate([starts, [len(symbol)]]))
+            open_ = np.repeat(best != _NONE, sizes)
+            if not open_.all():
+                done_owner.append(owner[~open_])
+                done_symbol.append(symbol[~open_])
+                best = np.repeat(best, sizes)[open_]
+                symbol, owner, place, piece, rank = (x[open_] for x in (symbol, owner, place, piece, rank))
+                if not len(symbol):
+                    break
+            else:
+                best = np.repeat(best, sizes)
+            at = np.flatnonzero(rank == best)
+            if self.limit:
+                skip = skipped(keys[owner[at]], piece[at].view(np.uint64), place[at].view(np.uint64)) < np.uint64(self.limit)
+                rank[at[skip]] = _NONE
+                at = at[~skip]
+            symbol[at] = piece[at]
+            last = np.ones(len(symbol), dtype=bool)
+            last[at + 1] = False
+            at = (np.cumsum(last) - 1)[at]
+            symbol, owner, place, piece, rank = (x[last] for x in (symbol, owner, place, piece, rank))
+            piece[at], rank[at] = -1, _NONE
+            before = at[at > 0] - 1
+            before = before[owner[before] == owner[before + 1]]
+            piece[before], rank[before] = -1, _NONE
+            candidates(np.concatenate([at, before]))
+        owner = np.concatenate(done_owner)
+        ids = np.concatenate(done_symbol)[np.argsort(owner, kind="stable")].astype(np.int32).tobytes()
+        ends = 4 * np.cumsum(np.bincount(owner, minlength=len(wanted)))
+        return [ids[a:b] for a, b in zip([0, *ends.tolist()], ends.tolist())]
+
+    def _learn(self, missing: list[tuple[int, str]]) -> dict[tuple[int, str], bytes]:
+        """Solves chunks that are not in the table, and enters them."""
+        if sum(map(len, self.known)) + len(missing) > REMEMBERED:
+            self.older, self.known = self.known, [{} for _ in range(self.variants)]
+        found, together = {}, []
+        for pair in missing:
+            variant, chunk = pair
+            ids = self.older[variant].get(chunk)
+            if ids is not None:
+                found[pair] = ids
+            elif len(chunk) <= SHORT and self.singles.issuperset(chunk):
+                together.append(pair)
+            else:
+                found[pair] = np.array(self.pieces_of(chunk, variant), dtype=np.int32).tobytes()
+        if together:
+            found.update(zip(together, self._solve_together(together)))
+        for (variant, chunk), ids in found.items():
+            if len(chunk) <= SHORT:
+                self.known[variant][chunk] = ids
         return found
 
-    def encode(self, text: str, key: int) -> bytes:
-        """The ids of a text as 32-bit numbers; ``key`` is the document's own draw."""
+    def encode_all(self, texts: list[str | None], keys: list[int]) -> list[bytes]:
+        """The ids of each text as 32-bit numbers; ``keys`` are the documents' own draws."""
+        out: list[bytes] = []
+        at = 0
+        while at < len(texts):
+            rows, missing, chars = [], set(), 0
+            while at < len(texts) and (not rows or chars < BATCH_CHARS):
+                text = texts[at] or ""
+                drawn, chunks = self._cut(text, keys[at])
+                known = [self.known[v].get(c) for v, c in zip(drawn, chunks)]
+                gaps = [(i, (drawn[i], chunks[i])) for i, ids in enumerate(known) if ids is None]
+                missing.update(pair for _, pair in gaps)
+                rows.append((known, gaps))
+                chars += len(text)
+                at += 1
+            new = self._learn(list(missing)) if missing else {}
+            for known, gaps in rows:
+                for i, pair in gaps:
+                    known[i] = new[pair]
+                out.append(b"".join(known))
+        return out
+
+    def _cut(self, text: str, key: int) -> tuple[list[int], list[str]]:
+        """The chunks of a text and the variant drawn for each."""
         if not text:
-            return b""
+            return [], []
         if META in text:
             text = text.replace(META, LITERAL_META)
         chunks = self.chunks.findall(META + text.replace(" ", META))
         if self.variants == 1:
-            drawn = [0] * len(chunks)
-        else:
-            drawn = (mix(np.arange(len(chunks), dtype=np.uint64) + np.uint64(key)) % np.uint64(self.variants)).tolist()
-        known, missed = self.known, self._missed
-        return b"".join([known[v].get(c) or missed(c, v) for c, v in zip(chunks, drawn)])
+            return [0] * len(chunks), chunks
+        drawn = mix(np.arange(len(chunks), dtype=np.uint64) + np.uint64(key)) % np.uint64(self.variants)
+        return drawn.tolist(), chunks
+
+    def encode(self, text: str, key: int) -> bytes:
+        return self.encode_all([text], [key])[0]
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of the ids, without the space that every text starts with."""
         return b"".join(map(self.v.bytes_of.__getitem__, ids.tolist()))[1:].decode()
 
 
+def skipped(key, piece, left):
+    """The keyed draw of a candidate, 0 to 65535; for numbers or for arrays of unsigned 64-bit numbers."""
+    if isinstance(piece, int):
+        draw = (key ^ (piece * 0x9E3779B97F4A7C15 + left * 0xC2B2AE3D27D4EB4F)) & _M64
+        draw = ((draw ^ (draw >> 29)) * 0xBF58476D1CE4E5B9) & _M64
+        return (draw >> 40) & 0xFFFF
+    draw = key ^ (piece * np.uint64(0x9E3779B97F4A7C15) + left * np.uint64(0xC2B2AE3D27D4EB4F))
+    draw = (draw ^ (draw >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return (draw >> np.uint64(40)) & np.uint64(0xFFFF)
+
+
 _ENCODERS: dict[tuple, Encoder] = {}
 
 
@@ -183,8 +300,8 @@ def encoded(documents: DataFrame, vocabulary: Vocabulary, rate: float = RATE, se
     def run(batches):
         tool = _encoder(shared.value, rate, seed)
         for batch in batches:
-            texts, ids = batch.column("text").to_pylist(), batch.column("doc_id").to_pylist()
-            raw = [b"" if t is None else tool.encode(t, document_key(i, seed)) for t, i in zip(texts, ids)]
+            keys = [document_key(i, seed) for i in batch.column("doc_id").to_pylist()]
+            raw = tool.encode_all(batch.column("text").to_pylist(), keys)
             counts = np.array([len(r) // 4 for r in raw], dtype=np.int64)
             flat = np.frombuffer(b"".join(raw), dtype=np.int32)
             pieces = lists(flat, counts, pa.int32())
