@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
@@ -30,25 +30,17 @@ def local_session(cores: str = "8", name: str = "caseworks", **settings: str) ->
 def shared_folder(spark: SparkSession) -> str:
     """The folder named in ``spark.checkpoint.dir``, which every executor can read and write.
 
-    Only a local session that names none gets a scratch folder of its own, since there driver and
-    tasks share a disk.
+    A session that names none, as in tests, gets one folder of its own.
     """
-    shared = spark.conf.get(CHECKPOINT_SETTING, None)
-    if shared:
-        return shared
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder every executor can read")
-    return _scratch()
+    return spark.conf.get(CHECKPOINT_SETTING, None) or _own_folder()
 
 
 @cache
-def _scratch() -> str:
-    return tempfile.mkdtemp(prefix="caseworks-checkpoint-")
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="caseworks-")
 
 
-def freeze(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder, which cuts its lineage."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Remove a folder that this package wrote, in whatever store it lies."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

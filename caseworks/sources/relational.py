@@ -6,7 +6,7 @@ themselves are unverified.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,8 +23,12 @@ def read_options(
     bounds: tuple[int, int] | None = None,
     parts: int = 1,
 ) -> dict[str, str]:
-    """Options of one table read; a numeric key and its bounds split it into ``parts`` queries."""
-    options = {"url": url, "dbtable": table, "fetchsize": "10000", **login}
+    """Options of one table read; a numeric key and its bounds split it into ``parts`` queries.
+
+    Rows are fetched by cursor, as the fetch size alone has no effect on some drivers: without it a task would hold
+    the whole result.
+    """
+    options = {"url": url, "dbtable": table, "fetchsize": "10000", "useCursorFetch": "true", **login}
     if key and bounds and parts > 1:
         low, high = bounds
         options |= {
@@ -50,12 +54,26 @@ def read_table(
     return spark.read.format("jdbc").options(**read_options(url, table, login, key, bounds, parts)).load()
 
 
+def table_key(table: str, keys: Mapping[str, str], small: Collection[str]) -> str | None:
+    """The key a table is split by. Only tables named as small are read by one task."""
+    if table not in keys and table not in small:
+        raise ValueError(f"{table} needs a numeric key to be read in parts, or must be named as small")
+    return keys.get(table)
+
+
 def snapshot(
-    spark: SparkSession, url: str, login: Mapping[str, str], path: str, keys: Mapping[str, str] | None = None, parts: int = 1
+    spark: SparkSession,
+    url: str,
+    login: Mapping[str, str],
+    path: str,
+    keys: Mapping[str, str],
+    parts: int,
+    small: Collection[str] = (),
 ) -> dict[str, int]:
     """Replace every table under ``path`` by its present state; row counts by table."""
     counts = {}
-    for table in list_tables(spark, url, login):
-        rows = read_table(spark, url, table, login, (keys or {}).get(table), parts)
+    split = {table: table_key(table, keys, small) for table in list_tables(spark, url, login)}
+    for table, key in split.items():
+        rows = read_table(spark, url, table, login, key, parts)
         counts[table] = replace(stamp(rows), f"{path}/{table}").get["rows"]
     return counts

@@ -1,40 +1,44 @@
-"""Incremental landing: new JSON files are appended once, repeated documents dropped."""
+"""Incremental landing: every new document is appended once, rejects are kept, the newest copy wins on read."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from caseworks.sources.landing import REJECT, STAMP, clean_fields, parse_documents
+from caseworks.sources.landing import REJECT, STAMP, accepted, clean_fields, parse_documents, rejected
 
 LANDED = "_landed_at"
+# The file source leaves out files older than this, counted from the newest file. A century: none.
+OLDEST_FILE = "36500d"
+BATCH = "_batch"
 
 
 def document_stream(spark: SparkSession, folder: str, schema: str) -> DataFrame:
-    """Documents of every file that arrives, one per line, with the time their file landed."""
-    lines = spark.readStream.text(folder).select("value", F.col("_metadata.file_modification_time").alias(LANDED))
+    """Documents of every file that arrives, one per line, with the time of their file."""
+    files = spark.readStream.option("maxFileAge", OLDEST_FILE).text(folder)
+    lines = files.select("value", F.col("_metadata.file_modification_time").alias(LANDED))
     return parse_documents(lines.filter(F.trim("value") != ""), schema)
 
 
-def land_new(
-    documents: DataFrame, keys: Sequence[str], path: str, progress: str, late_by: str = "7 days"
-) -> StreamingQuery:
-    """Append the parsed documents that arrived since the last run, then stop.
+def land_new(documents: DataFrame, path: str, rejects: str, progress: str) -> StreamingQuery:
+    """Append the documents that arrived since the last run, then stop.
 
-    A document sent again within ``late_by`` of its first copy is dropped, so the state holds that
-    span only. ``progress`` is the checkpoint folder; after a lost run the next one resumes there.
+    Every copy is landed, whatever the time of its file: a late file or a corrected resend is one more copy, and
+    ``latest`` picks the newest per key on read. Text that does not parse goes to ``rejects`` as it came. Each
+    batch writes its own folder anew, so a batch that is run again after a failure leaves nothing twice.
+    ``progress`` is the checkpoint folder; the next run resumes there.
     """
-    good = documents.filter(F.col(REJECT).isNull()).drop(REJECT)
-    fresh = good.withWatermark(LANDED, late_by).dropDuplicatesWithinWatermark(list(keys))
-    stamped = clean_fields(fresh).withColumn(STAMP, F.date_format(LANDED, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")).drop(LANDED)
+
+    def land(batch: DataFrame, number: int) -> None:
+        moment = F.date_format(LANDED, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+        good = clean_fields(accepted(batch).withColumn(STAMP, moment).drop(LANDED))
+        good.write.mode("overwrite").parquet(f"{path}/{BATCH}={number}")
+        rejected(batch).write.mode("overwrite").text(f"{rejects}/{BATCH}={number}")
+
     return (
-        stamped.writeStream.format("parquet")
-        .option("path", path)
+        documents.writeStream.foreachBatch(land)
         .option("checkpointLocation", progress)
-        .outputMode("append")
         .trigger(availableNow=True)
         .start()
     )

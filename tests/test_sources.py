@@ -144,25 +144,36 @@ def test_jdbc_reads_are_split_by_key():
     split = relational.read_options("jdbc:mysql://host/db", "dt_rdv", login, "id_rdv", (1, 900), 8)
     assert split["partitionColumn"] == "id_rdv" and split["upperBound"] == "900" and split["numPartitions"] == "8"
     assert "numPartitions" not in relational.read_options("jdbc:mysql://host/db", "dt_rdv", login)
+    assert split["useCursorFetch"] == "true"
+    assert relational.table_key("dt_rdv", {"dt_rdv": "id_rdv"}, ()) == "id_rdv"
+    assert relational.table_key("lot", {}, ["lot"]) is None
+    with pytest.raises(ValueError):
+        relational.table_key("dt_rdv", {}, ["lot"])
 
 
-def test_stream_lands_each_document_once(spark, tmp_path):
-    folder, out, progress = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "progress")
+def test_stream_keeps_late_corrected_and_broken_documents(spark, tmp_path):
+    folder, out, progress, rejects = tmp_path / "in", *(str(tmp_path / n) for n in ("out", "progress", "rejects"))
     folder.mkdir()
-    schema = "`$id` string, ID string, company int"
+    schema = "`$id` string, ID string, company int, note string"
 
-    def arrive(name, *ids):
-        (folder / name).write_text("\n".join(json.dumps({"$id": "1", "ID": i, "company": 2}) for i in ids) + "\n{broken\n")
-        os.utime(folder / name)
+    def arrive(name, at, *documents):
+        lines = [json.dumps({"$id": "1", "ID": i, "company": 2, "note": note}) for i, note in documents]
+        (folder / name).write_text("\n".join(lines) + "\n{broken\n")
+        os.utime(folder / name, (at, at))
 
     def run():
-        query = land_new(document_stream(spark, str(folder), schema), ["company", "ID"], out, progress)
+        query = land_new(document_stream(spark, str(folder), schema), out, rejects, progress)
         assert query.awaitTermination(120)
-        return sorted(r.ID for r in spark.read.parquet(out).collect())
-
-    arrive("one.json", "S1", "S2", "S1")
-    assert run() == ["S1", "S2"]
-    arrive("two.json", "S2", "S3")
-    assert run() == ["S1", "S2", "S3"]
-    assert run() == ["S1", "S2", "S3"]
-    assert {"_id", "ID", "company", "_extracted_at"} == set(spark.read.parquet(out).columns)
+        newest = landing.latest(spark.read.parquet(out), ["company", "ID"])
+        return sorted((r.ID, r.note) for r in newest.collect())
+
+    day = 86400
+    arrive("one.json", 100 * day, ("S1", "first"), ("S2", "first"), ("S1", "first"))
+    assert run() == [("S1", "first"), ("S2", "first")]
+    arrive("two.json", 101 * day, ("S2", "corrected"), ("S3", "first"))
+    arrive("late.json", 70 * day, ("S2", "outdated"), ("S4", "late"))
+    assert run() == [("S1", "first"), ("S2", "corrected"), ("S3", "first"), ("S4", "late")]
+    assert run() == [("S1", "first"), ("S2", "corrected"), ("S3", "first"), ("S4", "late")]
+    assert spark.read.parquet(out).count() == 7
+    assert [r.value for r in spark.read.text(rejects).collect()] == ["{broken"] * 3
+    assert {"_id", "ID", "company", "note", "_extracted_at", "_batch"} == set(spark.read.parquet(out).columns)
