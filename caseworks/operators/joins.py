@@ -7,12 +7,21 @@ a left join and on no side of a full join. These forms keep every hot side where
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+LEAST_HASH = -(2**63)
 
 
 def left_join_hot_right(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """LEFT JOIN on ``key`` as an inner join plus the left rows without a match."""
+    """LEFT JOIN on ``key`` as an inner join plus the left rows without a match.
+
+    Both parts read the same columns of both sides, so each side is built and shuffled once: the hash, which is
+    never less than the least one, only keeps the right side's other columns in the second part.
+    """
     matched = left.join(right, key)
-    unmatched = left.join(right.select(key).distinct(), key, "left_anti")
+    others = [F.col(f"_right.`{c}`") for c in right.columns if c != key]
+    same = (F.col(f"_left.`{key}`") == F.col(f"_right.`{key}`")) & (F.xxhash64(*others, F.lit(0)) >= F.lit(LEAST_HASH))
+    unmatched = left.alias("_left").join(right.alias("_right"), same, "left_anti")
     return matched.unionByName(unmatched, allowMissingColumns=True)
 
 

@@ -1,20 +1,39 @@
 """Neighbour values in one global order, without a single-task window.
 
 ``lag``/``lead`` over a whole table, or over a group that holds much of it, would run in one task.
-Here the distinct keys are range-partitioned, neighbours are looked up inside each range, and only
-the edge of each range, one row per partition, is passed on.
+Here the distinct keys are dealt into ranges, neighbours are looked up inside each range, and only
+the edges of each range are passed on.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from caseworks.session import freeze
+COPIES_PER_BLOCK = 100_000
+# The order is cut at a fixed sample of so many keys; a power of two.
+RANGES = 4096
 
-COPIES_PER_ROW = 100_000
+
+def _ranged(distinct: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``distinct`` with the struct ``_key`` and the number of its range, ``_range``.
+
+    The cuts are the ``RANGES`` keys with the smallest hashes, so they follow from the data alone and two reads of
+    the plan agree on them. They are one row, sent to every task, and nothing runs before the result is asked for.
+    A row finds its range by bisection.
+    """
+    key = F.struct(*[F.col(k) for k in keys])
+    sample = distinct.select(key.alias("_key")).orderBy(F.xxhash64("_key"), "_key").limit(RANGES)
+    cuts = sample.agg(F.array_sort(F.collect_list("_key")).alias("_cuts"))
+    steps = F.array(*[F.lit(RANGES >> i) for i in range(RANGES.bit_length())])
+
+    def further(at: Column, step: Column) -> Column:
+        return F.when(F.get("_cuts", at + step - 1) <= key, at + step).otherwise(at)
+
+    place = F.aggregate(steps, F.lit(0), further)
+    return distinct.join(F.broadcast(cuts)).select(*distinct.columns, key.alias("_key"), place.alias("_range"))
 
 
 def distinct_with_neighbours(df: DataFrame, group_by: Sequence[str], order_by: Sequence[str]) -> DataFrame:
@@ -22,17 +41,13 @@ def distinct_with_neighbours(df: DataFrame, group_by: Sequence[str], order_by: S
 
     ``previous``/``following`` hold the order columns of the neighbouring distinct row of the same
     group, NULL at its ends. NULLs sort first and NULL groups equal each other. Equal rows are counted
-    before the shuffle, so a single value with very many rows is one row here. The ranges are frozen,
-    since their bounds are sampled and must not differ between the two places that read them.
+    before the shuffle, so a single value with very many rows is one row here.
     """
     keys = [*group_by, *order_by]
     distinct = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
-    ranged = freeze(distinct.repartitionByRange(*keys).withColumn("_range", F.spark_partition_id()))
-
-    here = F.struct(*[F.col(k) for k in keys])
-    rows = ranged.withColumn("_key", here)
+    rows = _ranged(distinct, keys)
     edges = rows.groupBy("_range").agg(F.min("_key").alias("_low"), F.max("_key").alias("_high"))
-    # One row per partition, so a window over all of them stays small.
+    # One row per range, so a window over all of them stays small.
     in_order = Window.orderBy("_range")
     edges = edges.select(
         "_range", F.lag("_high").over(in_order).alias("_before"), F.lead("_low").over(in_order).alias("_after")
@@ -53,18 +68,15 @@ def distinct_with_neighbours(df: DataFrame, group_by: Sequence[str], order_by: S
     )
 
 
-def repeat_rows(df: DataFrame, times: str, block: int = COPIES_PER_ROW) -> DataFrame:
-    """Each row ``times`` times. Rows with more than one block of copies are spread out first."""
+def repeat_rows(df: DataFrame, times: str, block: int = COPIES_PER_BLOCK) -> DataFrame:
+    """Each row ``times`` times. Copies are made in blocks that are dealt out first, so that a row with
+    very many copies is not repeated by one task."""
     starts = F.sequence(F.lit(0).cast("bigint"), F.col(times) - 1, F.lit(block).cast("bigint"))
     blocks = (
         df.filter(F.col(times) > 0)
         .withColumn("_start", F.explode(starts))
         .withColumn("_size", F.least(F.lit(block).cast("bigint"), F.col(times) - F.col("_start")))
+        .repartition("_start", *df.columns)
     )
-    few = blocks.filter(F.col(times) <= block)
-    many = blocks.filter(F.col(times) > block).repartition("_start", *df.columns)
-
-    def expand(rows: DataFrame) -> DataFrame:
-        return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_size")))).select(*df.columns)
-
-    return expand(few).unionAll(expand(many))
+    copy = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_size")))
+    return blocks.withColumn("_copy", copy).select(*df.columns)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from typing import Any
@@ -151,19 +152,35 @@ def union_relations(
 
 
 def matching_tables(spark: SparkSession, pattern: str, exclude: str = "", database: str | None = None) -> list[str]:
-    """Catalogue tables whose name fits a LIKE pattern, compared without regard to case."""
-    names = spark.createDataFrame([(t.name,) for t in spark.catalog.listTables(database)], "name string")
-    fits = names.filter(F.col("name").ilike(pattern) & ~F.col("name").ilike(exclude))
-    return [row.name for row in fits.distinct().orderBy("name").collect()]
+    """Catalogue tables whose name fits a LIKE pattern, compared without regard to case.
+
+    With a database, only its own tables count; temporary views belong to none.
+    """
+    wanted, unwanted = like_pattern(pattern), like_pattern(exclude)
+    names = {t.name for t in spark.catalog.listTables(database) if not (database and t.isTemporary)}
+    return sorted(name for name in names if wanted.fullmatch(name) and not unwanted.fullmatch(name))
+
+
+def like_pattern(pattern: str) -> re.Pattern[str]:
+    """A LIKE pattern (%, _ and backslash) as a regular expression that ignores case."""
+    signs = {"%": ".*", "_": "."}
+    parts = re.findall(r"\\.|.", pattern, re.DOTALL)
+    return re.compile("".join(signs.get(p) or re.escape(p[-1]) for p in parts), re.IGNORECASE | re.DOTALL)
 
 
 def union_matching(
-    spark: SparkSession, pattern: str, exclude: str = "", database: str | None = None, **options: Any
+    spark: SparkSession,
+    pattern: str,
+    exclude: str = "",
+    database: str | None = None,
+    exclude_columns: Sequence[str] = (),
+    **options: Any,
 ) -> DataFrame:
     """:func:`union_relations` over every catalogue table that fits ``pattern`` but not ``exclude``."""
     prefix = f"{database}." if database else ""
     found = matching_tables(spark, pattern, exclude, database)
-    return union_relations({name: spark.table(f"{prefix}`{name}`") for name in found}, **options)
+    tables = {name: spark.table(f"{prefix}`{name}`") for name in found}
+    return union_relations(tables, exclude=exclude_columns, **options)
 
 
 def union_prefixed(spark: SparkSession, prefix: str, exclude: str = "", **options: Any) -> DataFrame:

@@ -95,16 +95,23 @@ def column_values(
     return ranked.limit(max_records) if max_records is not None else ranked
 
 
-def column_value_list(df: DataFrame | None, column: str, max_records: int, default: Sequence | None = None, **options) -> list:
-    """At most ``max_records`` values as a Python list, for use as pivot columns.
+def column_value_list(
+    df: DataFrame | None, column: str, most: int | None = None, default: Sequence | None = None, **options
+) -> list:
+    """All distinct values as a Python list, for use as pivot columns. NULL is no value.
 
-    ``default`` stands in for a table that does not exist or gives no value.
+    With ``most``, more values than that are an error and none is left out. ``default`` stands in for a
+    table that does not exist or gives no value.
     """
     if df is None:
         if default is None:
             raise ValueError("no table and no default values")
         return list(default)
-    found = [row.value for row in column_values(df, column, max_records=max_records, **options).collect()]
+    limit = None if most is None else most + 1
+    known = df.filter(as_column(column).isNotNull())
+    found = [row.value for row in column_values(known, column, max_records=limit, **options).collect()]
+    if most is not None and len(found) > most:
+        raise ValueError(f"{column} has more than {most} values")
     return found or list(default or [])
 
 

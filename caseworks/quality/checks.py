@@ -14,6 +14,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from caseworks.functions.text import slugify_name
 from caseworks.functions.values import as_column, strip
@@ -153,7 +154,10 @@ def equality(
     exclude_columns: Columns | None = None,
     precision: int | None = None,
 ) -> DataFrame:
-    """Distinct rows of one table that the other lacks, tagged a_minus_b or b_minus_a."""
+    """Distinct rows of one table that the other lacks, tagged a_minus_b or b_minus_a.
+
+    With ``precision``, decimals and floating numbers are rounded first; whole numbers are left as they are.
+    """
     if compare_columns and exclude_columns:
         raise ValueError("give either compare_columns or exclude_columns, not both")
     names = list(compare_columns or columns_except(df, exclude_columns or ()))
@@ -162,13 +166,13 @@ def equality(
         if {c.lower() for c in names} != theirs:
             raise ValueError("the tables have different columns; name those to compare or to leave out")
 
-    numeric = ("decimal", "double", "float", "tinyint", "smallint", "int", "bigint")
+    rounded = (T.DecimalType, T.DoubleType, T.FloatType)
 
     def side(source: DataFrame) -> DataFrame:
-        kinds = {name.lower(): kind for name, kind in source.dtypes}
+        kinds = {field.name.lower(): field.dataType for field in source.schema}
 
         def value(name: str) -> Column:
-            if precision is None or not kinds[name.lower()].startswith(numeric):
+            if precision is None or not isinstance(kinds[name.lower()], rounded):
                 return quoted(name).alias(name)
             return F.round(quoted(name).cast("decimal(38,9)"), precision).alias(name)
 

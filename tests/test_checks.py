@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from decimal import Decimal
 
 import pytest
 from conftest import rows
@@ -58,26 +59,33 @@ def test_fewer_rows_than(spark):
 
 
 def test_equality(spark):
-    a = table(spark, "col_a int, col_b int, col_c int", (1, 1, 3), (1, 2, 1), (2, 3, None))
-    b = table(spark, "col_a int, col_b int, col_c int", (1, 1, 2), (1, 2, 2), (2, 3, None))
+    a = table(spark, "slot int, site string, hours int", (8, "Quai", 5), (9, "Quai", None), (9, None, 4), (10, "Gare", 2))
+    b = table(spark, "slot int, site string, hours int", (8, "Quai", 6), (9, "Quai", None), (9, None, 4), (10, "Gare", 3))
     assert checks.equality(a, a).count() == 0
     assert sorted(r.which_diff for r in checks.equality(a, b).collect()) == ["a_minus_b"] * 2 + ["b_minus_a"] * 2
-    assert checks.equality(a, b, compare_columns=["col_a", "col_b"]).count() == 0
-    assert checks.equality(a, b, exclude_columns=["COL_C"]).count() == 0
-    assert checks.equality(a.drop("col_c"), a, exclude_columns=["col_c"]).count() == 0
+    assert checks.equality(a, b, compare_columns=["slot", "site"]).count() == 0
+    assert checks.equality(a, b, exclude_columns=["HOURS"]).count() == 0
+    assert checks.equality(a.drop("hours"), a, exclude_columns=["hours"]).count() == 0
     with pytest.raises(ValueError):
-        checks.equality(a.drop("col_c"), a)
+        checks.equality(a.drop("hours"), a)
     with pytest.raises(ValueError):
-        checks.equality(a, a, ["col_a"], ["col_b"])
+        checks.equality(a, a, ["slot"], ["site"])
 
 
 def test_equality_precision(spark):
-    a = table(spark, "id string, x double, skip string", ("p", 62.3888186, "1"), ("q", 81.2511656, "1"))
-    b = table(spark, "id string, x double, skip string", ("p", 62.3888187, "2"), ("q", 81.2511657, "2"))
-    assert checks.equality(a, b, exclude_columns=["skip"], precision=4).count() == 0
-    assert checks.equality(a, b, compare_columns=["id", "x"], precision=4).count() == 0
-    assert checks.equality(a, b, exclude_columns=["skip"], precision=8).count() == 4
-    assert checks.equality(a, b, precision=4).count() == 4
+    schema = "id bigint, pay double, tax decimal(12,5), note string"
+    a = table(spark, schema, (70001, 1250.1004, Decimal("3.10001"), "x"), (70002, 0.25, Decimal("1.5"), "x"))
+    b = table(spark, schema, (70001, 1250.1003, Decimal("3.10002"), "y"), (70002, 0.25, Decimal("1.5"), "y"))
+    assert checks.equality(a, b, exclude_columns=["note"], precision=3).count() == 0
+    assert checks.equality(a, b, compare_columns=["id", "pay"], precision=3).count() == 0
+    assert checks.equality(a, b, exclude_columns=["note"], precision=5).count() == 2
+    assert checks.equality(a, b, precision=3).count() == 4
+
+
+def test_equality_precision_leaves_whole_numbers_and_intervals(spark):
+    df = spark.sql("SELECT 70001L AS id, 3 AS n, INTERVAL '1 02:03' DAY TO MINUTE AS span, 1.25D AS x")
+    kinds = dict(checks.equality(df, df, precision=2).dtypes)
+    assert (kinds["id"], kinds["n"], kinds["span"]) == ("bigint", "int", "interval day to minute")
 
 
 def test_expression_is_true(spark):

@@ -56,13 +56,22 @@ def test_deduplicate_limits_rows_before_the_shuffle(spark, capsys):
 
 
 def test_column_values(spark):
-    df = spark.createDataFrame([(v, c) for v, c in zip("abcdefggggg", ["l", "r", "l", "r", "l", "r", "l", "r", "l", "r", "l"])], "f string, c string")
-    assert [r.value for r in row_ops.column_values(df, "f", max_records=2).collect()] == ["g", "a"]
-    assert row_ops.column_value_list(df, "f", 10, where="c = 'l'", order_by=[F.asc("value")]) == ["a", "c", "e", "g"]
-    assert row_ops.column_value_list(df, "f", 10, default=["none"], where="c = 'z'") == ["none"]
-    assert row_ops.column_value_list(None, "f", 10, default=["d"]) == ["d"]
+    data = [("north", 1), ("south", 1), ("south", 2), ("west", 2), ("west", 2), ("west", 1), (None, 1)]
+    df = spark.createDataFrame(data, "region string, year int")
+    assert [r.value for r in row_ops.column_values(df, "region", max_records=2).collect()] == ["west", "south"]
+    assert row_ops.column_value_list(df, "region", where="year = 1", order_by=[F.asc("value")]) == ["north", "south", "west"]
+    assert row_ops.column_value_list(df, "region", default=["none"], where="year = 9") == ["none"]
+    assert row_ops.column_value_list(None, "region", default=["d"]) == ["d"]
     with pytest.raises(ValueError):
-        row_ops.column_value_list(None, "f", 10)
+        row_ops.column_value_list(None, "region")
+
+
+def test_column_value_list_never_cuts(spark):
+    df = spark.range(400).withColumn("k", F.col("id") % 150)
+    assert len(row_ops.column_value_list(df, "k")) == 150
+    assert len(row_ops.column_value_list(df, "k", most=150)) == 150
+    with pytest.raises(ValueError):
+        row_ops.column_value_list(df, "k", most=149)
 
 
 def test_monthly_periods(spark):
@@ -74,13 +83,14 @@ def test_monthly_periods(spark):
 
 
 def test_pivot(spark):
-    df = spark.createDataFrame([("S", "red"), ("S", "blue"), ("S", "blue's"), ("M", "red")], "size string, color string")
-    cells = reshape.pivot_columns("color", ["red", "blue", "blue's"], slug_names=True)
-    got = df.groupBy("size").agg(*cells)
-    assert got.columns == ["size", "red", "blue", "blues"]
-    assert rows(got) == [("M", 1, 0, 0), ("S", 1, 1, 1)]
-    named = df.groupBy("size").agg(*reshape.pivot_columns("color", ["blue's"], prefix="n ", suffix="!"))
-    assert named.columns == ["size", "n blue's!"]
+    visits = [("Lyon", "phone"), ("Lyon", "phone"), ("Lyon", "l'atelier"), ("Metz", "office")]
+    df = spark.createDataFrame(visits, "town string, place string")
+    cells = reshape.pivot_columns("place", ["phone", "office", "l'atelier"], slug_names=True)
+    got = df.groupBy("town").agg(*cells)
+    assert got.columns == ["town", "phone", "office", "latelier"]
+    assert rows(got) == [("Lyon", 2, 0, 1), ("Metz", 0, 1, 0)]
+    named = df.groupBy("town").agg(*reshape.pivot_columns("place", ["l'atelier"], prefix="n ", suffix="!"))
+    assert named.columns == ["town", "n l'atelier!"]
 
 
 def test_star_names_are_case_insensitive_and_unaliased_without_affix(spark):
@@ -92,19 +102,19 @@ def test_star_names_are_case_insensitive_and_unaliased_without_affix(spark):
 
 
 def test_null_empty_strings(spark):
-    df = spark.createDataFrame([("a", "", 1), ("", "b", 2)], "x string, y string, z int")
-    assert rows(reshape.null_empty_strings(df)) == [(None, "b", 2), ("a", None, 1)]
+    df = spark.createDataFrame([("lot", "", 7), ("", "site", 8), (" ", None, 9)], "x string, y string, z int")
+    assert rows(reshape.null_empty_strings(df)) == [(None, "site", 8), (" ", None, 9), ("lot", None, 7)]
 
 
 def test_union_relations(spark):
-    one = spark.createDataFrame([(1, "n1", "pi"), (2, "n2", "e")], "id int, name string, favorite_number string")
-    two = spark.createDataFrame([(1, "green", 7)], "id int, favorite_color string, favorite_number int")
+    one = spark.createDataFrame([(11, "Quai", "B3"), (12, "Gare", "A1")], "id int, site string, lot string")
+    two = spark.createDataFrame([(11, 0.5, 4)], "id int, load double, lot int")
     got = reshape.union_relations({"one": one, "two": two})
-    assert got.columns == ["_dbt_source_relation", "id", "name", "favorite_number", "favorite_color"]
-    assert rows(got) == [("one", 1, "n1", "pi", None), ("one", 2, "n2", "e", None), ("two", 1, None, "7", "green")]
-    bare = reshape.union_relations({"one": one, "two": two}, exclude=["NAME"], source_column_name=None, where="id = 1")
-    assert bare.columns == ["id", "favorite_number", "favorite_color"]
-    assert rows(bare) == [(1, "7", "green"), (1, "pi", None)]
+    assert got.columns == ["_dbt_source_relation", "id", "site", "lot", "load"]
+    assert rows(got) == [("one", 11, "Quai", "B3", None), ("one", 12, "Gare", "A1", None), ("two", 11, None, "4", 0.5)]
+    bare = reshape.union_relations({"one": one, "two": two}, exclude=["SITE"], source_column_name=None, where="id = 11")
+    assert bare.columns == ["id", "lot", "load"]
+    assert rows(bare) == [(11, "4", 0.5), (11, "B3", None)]
     retyped = reshape.union_relations({"one": one, "two": two}, include=["ID"], column_override={"id": "string"})
     assert retyped.dtypes[1] == ("id", "string")
     with pytest.raises(ValueError):
@@ -114,11 +124,31 @@ def test_union_relations(spark):
 
 
 def test_union_matching_and_prefixed(spark):
-    for day in (1, 2, 3):
-        spark.createDataFrame([(day, "play")], "user_id int, event string").createOrReplaceTempView(f"log_2018010{day}")
-    found = reshape.union_matching(spark, "LOG\\_%", exclude="%3", source_column_name=None)
-    assert rows(found) == [(1, "play"), (2, "play")]
-    assert reshape.union_prefixed(spark, "log_2018", source_column_name=None).count() == 3
+    for week in (7, 8, 9):
+        spark.createDataFrame([(week, "slot")], "week int, kind string").createOrReplaceTempView(f"plan_w{week}")
+    found = reshape.union_matching(spark, "PLAN\\_%", exclude="%9", source_column_name=None)
+    assert rows(found) == [(7, "slot"), (8, "slot")]
+    assert reshape.union_prefixed(spark, "plan_w", source_column_name=None).count() == 3
+
+
+def test_union_matching_in_a_database_skips_views(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS union_test")
+    try:
+        spark.createDataFrame([(1,)], "k int").write.mode("overwrite").saveAsTable("union_test.part_a")
+        spark.createDataFrame([(2,)], "k int").createOrReplaceTempView("part_b")
+        found = reshape.union_matching(spark, "part%", database="union_test")
+        assert rows(found) == [("part_a", 1)]
+    finally:
+        spark.sql("DROP DATABASE union_test CASCADE")
+        spark.catalog.dropTempView("part_b")
+
+
+@pytest.mark.parametrize(
+    ("pattern", "name", "fits"),
+    [("a_c", "abc", True), ("a\\_c", "abc", False), ("a\\_c", "A_C", True), ("a%", "abc", True), ("a.c", "abc", False), ("", "", True)],
+)
+def test_like_pattern(pattern, name, fits):
+    assert bool(reshape.like_pattern(pattern).fullmatch(name)) is fits
 
 
 def test_unpivot_keeps_nulls_and_writes_booleans_as_text(spark):
