@@ -22,7 +22,7 @@ BENEF_SLOT_COLUMNS = [
 ]
 # A beneficiary's appointments with one counsellor on one day: the unit ranks are built from.
 DAY_KEYS = ["id_benef", "_counsellor", "_day"]
-NO_DAY = -(10**9)
+NO_DAY, NO_DAY_SPAN = -(10**9), 10**8
 
 
 def _planned_minutes() -> Column:
@@ -95,11 +95,16 @@ def is_known() -> Column:
 
 
 def known_slots(rdv: DataFrame) -> DataFrame:
-    """Slots of real beneficiaries, with NULL-free day keys."""
+    """Slots of real beneficiaries, with NULL-free day keys.
+
+    Slots without a start come before all days. They are ordered by their end first, so they are dealt by the day of
+    their end; what has neither is one slot per set of its other columns.
+    """
+    undated = F.coalesce(F.floor(F.col("date_fin") / 86400), F.lit(-NO_DAY_SPAN))
     return slots(rdv.filter(is_known())).withColumns(
         {
             "_counsellor": F.coalesce(F.concat(F.lit("="), "referent"), F.lit("")),
-            "_day": F.coalesce(F.floor(F.col("date_deb") / 86400), F.lit(NO_DAY)),
+            "_day": F.coalesce(F.floor(F.col("date_deb") / 86400), NO_DAY + undated),
         }
     )
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from caseworks.operators.joins import full_join_hot_left, left_join_hot_right
@@ -39,35 +39,39 @@ def invoice_delay(facture: DataFrame, benef: DataFrame) -> DataFrame:
     )
 
 
-def distinct_owners(benef: DataFrame) -> DataFrame:
-    """Whom revenue is reported on: the distinct steering rows.
+def owners(benef: DataFrame) -> DataFrame:
+    """Whom revenue is reported on: the distinct steering rows, with the number of rows their id has (``_rows``).
 
-    Bonus lines repeat steering rows without changing these columns, so they need no join here.
+    Bonus lines repeat steering rows without changing these columns, so they need no join here. Rows without an id
+    have no common number and are not gathered for one.
     """
-    return flags.classified(benef).select(*OWNER_KEYS).distinct()
+    rows = flags.classified(benef).groupBy(*OWNER_KEYS).agg(F.count(F.lit(1)).alias("_own"))
+    nameless = F.when(F.col("id_benef").isNull(), F.xxhash64(*OWNER_KEYS))
+    return rows.withColumn("_rows", F.sum("_own").over(Window.partitionBy("id_benef", nameless))).drop("_own")
 
 
-def invoice_owners(benef: DataFrame) -> DataFrame:
-    """Owners with an id, once per row the id has, as an invoice meets each of them."""
-    return distinct_owners(benef).join(benef.select("id_benef"), "id_benef")
+def _once_per_row(matched: DataFrame) -> DataFrame:
+    """An owner meets an invoice once per row its id has."""
+    return matched.withColumn("_row", F.explode(F.sequence(F.lit(1).cast("bigint"), "_rows"))).drop("_row", "_rows")
 
 
 def revenue_lines(facture: DataFrame, benef: DataFrame) -> DataFrame:
     """One row per owner and invoice; owners without an invoice stay."""
-    bills = facture.select("id_benef", *INVOICE_FIELDS)
-    matched = bills.join(invoice_owners(benef), "id_benef")
-    unmatched = distinct_owners(benef).join(bills.select("id_benef").distinct(), "id_benef", "left_anti")
-    return matched.unionByName(unmatched, allowMissingColumns=True).select(*OWNER_KEYS, *INVOICE_FIELDS)
+    bills = facture.select("id_benef", *INVOICE_FIELDS).withColumn("_billed", F.lit(True))
+    rows = left_join_hot_right(owners(benef), bills, "id_benef")
+    times = F.when(F.col("_billed"), F.col("_rows")).otherwise(F.lit(1).cast("bigint"))
+    return _once_per_row(rows.withColumn("_rows", times)).select(*OWNER_KEYS, *INVOICE_FIELDS)
 
 
 def _owner_totals(facture: DataFrame, benef: DataFrame) -> DataFrame:
-    """Owners with an id and their totals; invoices are summed per id before they meet their owner."""
+    """Owners and their totals; invoices are summed per id before they meet their owner."""
     totals = facture.groupBy("id_benef").agg(
         F.max("date_facture").alias("date_facture"),
         F.sum("montant_HT").alias("_ht"),
         F.sum("montant_TVA").alias("_tva"),
     )
-    return invoice_owners(benef).join(totals, "id_benef", "left")
+    times = F.col("_rows").cast("decimal(18,0)")
+    return owners(benef).join(totals, "id_benef", "left").withColumns({"_ht": F.col("_ht") * times, "_tva": F.col("_tva") * times})
 
 
 def _totals() -> list[Column]:
@@ -82,10 +86,7 @@ def _totals() -> list[Column]:
 def revenue_with_bonus(facture: DataFrame, benef: DataFrame, sheet: DataFrame) -> DataFrame:
     """Revenue totals per owner beside each of the beneficiary's bonuses."""
     keys = [c for c in OWNER_KEYS if c != "region"]
-    # Owners without an id have no invoice. Beside the join, not in it, they are not all in one task.
-    nameless = distinct_owners(benef).filter(F.col("id_benef").isNull())
-    owners = _owner_totals(facture, benef).unionByName(nameless, allowMissingColumns=True)
-    totals = owners.groupBy(*keys).agg(*_totals())
+    totals = _owner_totals(facture, benef).groupBy(*keys).agg(*_totals())
     bonuses = bonus.compiled_bonuses(sheet, benef).filter(F.col("id_benef").isNotNull())
     return left_join_hot_right(totals, bonuses.select("id_benef", "Montant_prime", "Date_primes"), "id_benef").select(
         *keys, "date_facture", "region", "CA_HT_total", "CA_TVA_total", "Montant_prime", "Date_primes"

@@ -144,7 +144,7 @@ BONUS_SHEET = _fill(
     {
         "Lot": "'LOT' || CAST(user_id % 6 AS STRING)",
         "Site": "'SITE' || CAST(user_id % 7 AS STRING)",
-        "LC": "CASE WHEN event_id % 41 <> 0 THEN 'CMD' || CAST(event_id % 1400 AS STRING) END",
+        "LC": "CASE WHEN event_id % 41 <> 0 THEN 'CMD' || CAST(FLOOR(event_id / 3.0) * 4 AS BIGINT) END",
         "CIP": "'REF' || CAST(user_id % 20 AS STRING)",
         "Date_primes": "CASE WHEN event_id % 17 <> 0 THEN {days_back} END",
         "Montant_prime": "CAST(value AS DECIMAL(18,2))",
@@ -163,7 +163,7 @@ def _bonus_file(number: int) -> dict[str, str]:
     return _fill(
         BONUS_LINE_COLUMNS,
         {
-            "LC": "CASE WHEN event_id % 43 <> 0 THEN 'CMD' || CAST(event_id % 1300 AS STRING) END",
+            "LC": "CASE WHEN event_id % 43 <> 0 THEN 'CMD' || CAST(FLOOR(event_id / 4.0) * 6 AS BIGINT) END",
             "Numero de commande": "'N' || CAST(event_id AS STRING)",
             "Numéro du lot": "'1' || CAST(user_id % 10 AS STRING)",
             "Intitulé du lot": f"CASE WHEN event_id % 13 = 0 THEN 'Lot 9 AUTRE' ELSE '{LOT_TITLES[number]}' END",
@@ -201,6 +201,15 @@ ENTITIES = _fill(
     },
 )
 
+# Decimals are compared exactly, as the text of a whole number of billionths.
+EXACT_SCALE = 9
+
+
+def exact(column: str) -> str:
+    """The check SQL form of a decimal."""
+    return f"CAST(CAST(CAST({column} AS DECIMAL(28,{EXACT_SCALE})) * {10**EXACT_SCALE} AS HUGEINT) AS VARCHAR)"
+
+
 def dialect(text: str, engine: str) -> str:
     """Fill the marks in which Spark and DuckDB differ."""
     start = {

@@ -10,9 +10,9 @@ from caseworks.workload import domain
 
 
 def finish(sql: str, days: str = "", money: str = "", tables: bool = True) -> str:
-    """Days as text and money as doubles, as the queries return them; the raw tables as WITH list."""
+    """Days as text and money in its exact form, as the queries return them; the raw tables as WITH list."""
     casts = [f"CAST({c} AS VARCHAR) AS {c}" for c in days.split()]
-    casts += [f"CAST({c} AS DOUBLE) AS {c}" for c in money.split()]
+    casts += [f"{domain.exact(c)} AS {c}" for c in money.split()]
     star = f"* REPLACE ({', '.join(casts)})" if casts else "*"
     head = f"WITH {domain.check_tables()} " if tables else ""
     return f"{head}SELECT {star} FROM ({sql}) AS checked"
@@ -144,8 +144,8 @@ FROM lines l JOIN (VALUES (0), (1)) AS k(copy) ON k.copy = 0 OR l.turn % 4 = 3 W
 STAMP = "strftime({}, '%Y-%m-%d %H:%M:%S')"
 
 
-def _enrolment_sql() -> str:
-    """All enrolment columns: those the mapping fills, NULL for the others."""
+def enrolment_sql(without_trainer: bool = False) -> str:
+    """All enrolment columns: those the mapping fills, NULL for the others. Rows without a trainer only if asked for."""
     from caseworks.schemas import ENROLMENT_FIELDS
 
     key = "CAST(c_nationkey AS VARCHAR)"
@@ -166,8 +166,10 @@ def _enrolment_sql() -> str:
             f"{person}_numero_rue": "CAST(c_custkey % 100 AS VARCHAR)", f"{person}_ville": f"'VILLE' || {key}",
             f"{person}_pays": "'FR'",
         }
+    if without_trainer:
+        known |= {c: f"CASE WHEN c_custkey % 5 <> 0 THEN {expr} END" for c, expr in known.items() if c.startswith("fr_")}
     columns = ", ".join(f"{known.get(c, 'CAST(NULL AS VARCHAR)')} AS {c}" for c in ENROLMENT_FIELDS)
-    return f"SELECT {columns} FROM customer WHERE c_custkey % 5 <> 0"
+    return f"SELECT {columns} FROM customer" + ("" if without_trainer else " WHERE c_custkey % 5 <> 0")
 
 
 def mart_sql() -> dict[str, str]:
@@ -268,11 +270,11 @@ def mart_sql() -> dict[str, str]:
             """SELECT BRANCHE, CODE_BU, BU_LIBELLE, ANNEE, MOIS, TYPE, RUBRIQUE_LIBELLE AS CODE_RUBRIQUE,
               CODE_RUBRIQUE AS RUBRIQUE_LIBELLE, VALEUR FROM business_units"""
         ),
-        "inscrite_union": finish(_enrolment_sql(), tables=False),
+        "inscrite_union": finish(enrolment_sql(), tables=False),
         "prime_union_region": finish(
-            """SELECT * REPLACE (CAST("Date de debut" AS VARCHAR) AS "Date de debut",
+            f"""SELECT * REPLACE (CAST("Date de debut" AS VARCHAR) AS "Date de debut",
               CAST("Date détection prime" AS VARCHAR) AS "Date détection prime",
-              CAST("Montant facturé" AS DOUBLE) AS "Montant facturé") FROM bonus_files"""
+              {domain.exact('"Montant facturé"')} AS "Montant facturé") FROM bonus_files"""
         ),
         "prime_clean": finish(CLEAN, days="Date_primes", money="Montant_prime"),
         "pilotage_flags": finish(STEERED, days=f"{days} date_fin_theo date_detection_prime"),

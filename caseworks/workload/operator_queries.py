@@ -3,19 +3,21 @@
 from __future__ import annotations
 
 import datetime as dt
-import uuid
+import zlib
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseworks.functions import text, values
 from caseworks.operators import reports, reshape, rows
 from caseworks.plans import staging
-from caseworks.session import shared_folder
+from caseworks.session import remove_folder, shared_folder
 from caseworks.sources import audit, landing
 from caseworks.streaming.landing import LANDED, land_new
 from caseworks.workload import domain
 from caseworks.workload.domain import read
+from caseworks.workload.mart_checks import enrolment_sql
 
 QUERIES: dict = {}
 CHECKS: dict[str, str] = {}
@@ -163,11 +165,34 @@ def nullcheck_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders per priority and status; the statuses are looked up first."""
     orders = read(spark, sf_dir, "orders")
-    found = rows.column_value_list(orders, "o_orderstatus", max_records=100)
+    found = rows.column_value_list(orders, "o_orderstatus")
     return orders.groupBy("o_orderpriority").agg(*reshape.pivot_columns("o_orderstatus", sorted(found)))
 
 
-BRANDS = ["Brand#1", "Brand#2", "Brand#3", "Brand#4", "no such brand"]
+BRANDS = [f"Brand#{n}" for n in range(1, 26)] + ["no such brand"]
+
+
+@query(
+    """SELECT o_orderstatus, """
+    + ", ".join(f"count(*) FILTER (o_custkey % 150 = {n}) AS c{n}" for n in range(150))
+    + " FROM orders GROUP BY 1"
+)
+def pivot_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders per status and each of 150 customer groups, looked up first; every group gets its column."""
+    orders = read(spark, sf_dir, "orders").withColumn("part", F.col("o_custkey") % 150)
+    cells = reshape.pivot_columns("part", sorted(rows.column_value_list(orders, "part")), prefix="c")
+    return orders.groupBy("o_orderstatus").agg(*cells)
+
+
+@query(
+    """SELECT event_type, count(*) FILTER (value >= 50) AS high, count(*) FILTER (value < 50) AS low FROM events GROUP BY 1"""
+)
+def pivot_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events per kind and level of their value; an event without a value counts in no column."""
+    events = read(spark, sf_dir, "events").withColumn(
+        "level", F.when(F.col("value") >= 50, "high").when(F.col("value") < 50, "low")
+    )
+    return events.groupBy("event_type").agg(*reshape.pivot_columns("level", sorted(rows.column_value_list(events, "level"))))
 
 
 @query(
@@ -187,13 +212,13 @@ def pivot_slug(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "SELECT p_size, "
-    + ", ".join(f"count(DISTINCT CASE WHEN p_brand <> '{b}' THEN p_type END) AS \"not {b}\"" for b in BRANDS[:3])
+    + ", ".join(f"count(DISTINCT CASE WHEN p_brand <> '{b}' THEN p_type END) AS \"not {b}\"" for b in BRANDS)
     + " FROM part GROUP BY 1"
 )
 def pivot_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct part types per size outside each brand."""
     cells = reshape.pivot_columns(
-        "p_brand", BRANDS[:3], agg="count", cmp="<>", prefix="not ", then_value=F.col("p_type"), else_value=None,
+        "p_brand", BRANDS, agg="count", cmp="<>", prefix="not ", then_value=F.col("p_type"), else_value=None,
         distinct=True,
     )
     return read(spark, sf_dir, "part").groupBy("p_size").agg(*cells)
@@ -234,17 +259,41 @@ def union_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _event_views(spark: SparkSession, sf_dir: str, build) -> DataFrame:
+    """What ``build`` makes of one view per kind of event; the views are dropped once the plan stands."""
+    events = read(spark, sf_dir, "events")
+    kinds = ("click", "view", "signup", "purchase", "error")
+    for kind in kinds:
+        columns = ["event_id", "user_id"] + (["value"] if kind == "view" else [])
+        events.filter(F.col("event_type") == kind).select(*columns).createOrReplaceTempView(f"visits_{kind}")
+    try:
+        return build()
+    finally:
+        for kind in kinds:
+            spark.catalog.dropTempView(f"visits_{kind}")
+
+
 @query(
     """SELECT 'visits_' || event_type AS source_table, event_id, user_id, CASE event_type WHEN 'view' THEN value END AS value
-    FROM events WHERE event_type IN ('click', 'view', 'signup')"""
+    FROM events WHERE event_type <> 'error'"""
 )
 def union_matching(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Union of the catalogue's event tables that fit a pattern, but for one."""
-    events = read(spark, sf_dir, "events")
-    for kind in ("click", "view", "signup", "error"):
-        columns = ["event_id", "user_id"] + (["value"] if kind == "view" else [])
-        events.filter(F.col("event_type") == kind).select(*columns).createOrReplaceTempView(f"visits_{kind}")
-    return reshape.union_matching(spark, "VISITS\\_%", exclude="visits_err%", source_column_name="source_table")
+
+    def build() -> DataFrame:
+        return reshape.union_matching(spark, "VISITS\\_%", exclude="visits_err%", source_column_name="source_table")
+
+    return _event_views(spark, sf_dir, build)
+
+
+@query("SELECT 'visits_' || event_type AS source_table, event_id, user_id FROM events")
+def union_prefixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Union of the catalogue's tables whose names start alike, without a column only one of them has."""
+
+    def build() -> DataFrame:
+        return reshape.union_prefixed(spark, "visits", source_column_name="source_table", exclude_columns=["value"])
+
+    return _event_views(spark, sf_dir, build)
 
 
 @query(
@@ -394,38 +443,33 @@ def slugify_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    "WITH " + domain.check_tables() + """ SELECT * REPLACE (CAST(date_facture AS VARCHAR) AS date_facture,
-      CAST(montant_HT AS DOUBLE) AS montant_HT, CAST(montant_TVA AS DOUBLE) AS montant_TVA) FROM facture"""
+    "WITH " + domain.check_tables() + f""" SELECT * REPLACE (CAST(date_facture AS VARCHAR) AS date_facture,
+      {domain.exact("montant_HT")} AS montant_HT, {domain.exact("montant_TVA")} AS montant_TVA) FROM facture"""
 )
 def stg_facture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staging.invoices(domain.facture(spark, sf_dir))
 
 
 @query(
-    "WITH " + domain.check_tables() + """ SELECT * EXCLUDE (CIP, Date_d_entr__e) REPLACE (CAST(Date_primes AS VARCHAR)
-      AS Date_primes, CAST(Montant_prime AS DOUBLE) AS Montant_prime), CIP AS referent, Date_d_entr__e AS date_entree
+    "WITH " + domain.check_tables() + f""" SELECT * EXCLUDE (CIP, Date_d_entr__e) REPLACE (CAST(Date_primes AS VARCHAR)
+      AS Date_primes, {domain.exact("Montant_prime")} AS Montant_prime), CIP AS referent, Date_d_entr__e AS date_entree
     FROM bonus_sheet"""
 )
 def stg_prime_compile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staging.compiled_bonuses(domain.bonus_sheet(spark, sf_dir))
 
 
-@query("SELECT s_suppkey AS ID, s_name AS Libelle, s_nationkey AS IDLieu FROM supplier")
+@query("SELECT * FROM supplier")
 def stg_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Placements, passed through whatever their columns."""
-    raw = read(spark, sf_dir, "supplier").selectExpr("s_suppkey AS ID", "s_name AS Libelle", "s_nationkey AS IDLieu")
-    return staging.placements(raw)
+    return staging.placements(read(spark, sf_dir, "supplier"))
 
 
-@query(
-    """SELECT c_custkey AS ID, CASE WHEN c_custkey % 5 <> 0 THEN c_custkey % 17 END AS fr_formateur_id,
-      CASE WHEN c_custkey % 5 <> 0 THEN 'VILLE' || c_nationkey END AS fr_ville, c_custkey AS stg_stagiaire_id,
-      'VILLE' || c_nationkey AS stg_ville FROM customer"""
-)
+@query(enrolment_sql(without_trainer=True))
 def stg_inscrite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flattened enrolments of both companies; those without a trainer keep their row."""
+    """Flattened enrolments of both companies, all columns; those without a trainer keep their row."""
     flat = [staging.enrolments(table) for table in domain.enrolments(spark, sf_dir)]
-    return flat[0].unionByName(flat[1]).select("ID", "fr_formateur_id", "fr_ville", "stg_stagiaire_id", "stg_ville")
+    return flat[0].unionByName(flat[1])
 
 
 @query(
@@ -548,18 +592,49 @@ def latest_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landing.latest(good, ["conv_id", "role"])
 
 
-@query("SELECT conv_id AS _id, turn, role, length(text) AS n_chars FROM conversations WHERE (conv_id + turn) % 7 <> 0")
+def _streamed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Land the turns as JSON text by streams: all of them, then corrected copies of every fifth, then copies of every
+    third from files of an older time. Gives the landed documents and the rejects; each run replaces the last."""
+    folder = f"{shared_folder(spark)}/stream-landing-{zlib.crc32(sf_dir.encode()):08x}"
+    remove_folder(spark, folder)
+    path, schema = f"{sf_dir}/conversations.parquet", read(spark, sf_dir, "conversations").schema
+
+    def run(number: int, moment: Column, text: Column, keep: Column) -> None:
+        turns = spark.readStream.schema(schema).parquet(f"{path}*").filter(keep).withColumn("text", text)
+        whole = F.to_json(F.struct(F.col("conv_id").alias("$id"), "turn", "role", "text"))
+        broken = F.when((F.col("conv_id") + F.col("turn")) % 7 == 0, F.left(whole, F.lit(8))).otherwise(whole)
+        lines = turns.select(moment.alias(LANDED), broken.alias("value"))
+        documents = landing.parse_documents(lines, "`$id` bigint, turn bigint, role string, text string")
+        run_folder = f"{folder}/run{number}"
+        land_new(documents, f"{run_folder}/table", f"{run_folder}/rejects", f"{run_folder}/progress").awaitTermination()
+
+    first, older = F.lit("2024-05-01 06:00:00").cast("timestamp"), F.lit("2024-04-01 06:00:00").cast("timestamp")
+    run(0, first, F.col("text"), F.lit(True))
+    run(1, first + F.expr("INTERVAL 1 HOUR"), F.concat(F.lit("corrected "), F.col("text")), F.col("turn") % 5 == 0)
+    run(2, older, F.concat(F.lit("late "), F.col("text")), F.col("turn") % 3 == 0)
+    landed = [spark.read.parquet(f"{folder}/run{number}/table") for number in range(3)]
+    kept = [spark.read.text(f"{folder}/run{number}/rejects") for number in range(3)]
+    return reduce(DataFrame.unionByName, landed), reduce(DataFrame.unionByName, kept)
+
+
+@query(
+    """SELECT conv_id AS _id, turn, role, CASE WHEN turn % 5 = 0 THEN 'corrected ' || text ELSE text END AS text,
+      1 + (turn % 5 = 0)::INT + (turn % 3 = 0)::INT AS copies
+    FROM conversations WHERE (conv_id + turn) % 7 <> 0"""
+)
 def stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversation turns sent twice as JSON text, landed once each by a stream."""
-    path = f"{sf_dir}/conversations.parquet"
-    turns = spark.readStream.schema(read(spark, sf_dir, "conversations").schema).parquet(f"{path}*")
-    whole = F.to_json(F.struct(F.col("conv_id").alias("$id"), "turn", "role", "text"))
-    lines = turns.select(
-        F.col("_metadata.file_modification_time").alias(LANDED),
-        F.when((F.col("conv_id") + F.col("turn")) % 7 == 0, F.left(whole, F.lit(8))).otherwise(whole).alias("value"),
-        F.explode(F.array(F.lit(1), F.lit(2))).alias("copy"),
-    ).drop("copy")
-    documents = landing.parse_documents(lines, "`$id` bigint, turn bigint, role string, text string")
-    folder = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
-    land_new(documents, ["$id", "turn"], f"{folder}/table", f"{folder}/progress").awaitTermination()
-    return spark.read.parquet(f"{folder}/table").select("_id", "turn", "role", F.length("text").alias("n_chars"))
+    """Conversation turns landed by a stream with resends and a late file: the newest copy and the number of copies."""
+    landed, _ = _streamed(spark, sf_dir)
+    copies = landed.groupBy("_id", "turn").agg(F.count(F.lit(1)).cast("int").alias("copies"))
+    newest = landing.latest(landed.select("_id", "turn", "role", "text", landing.STAMP), ["_id", "turn"])
+    return newest.select("_id", "turn", "role", "text").join(copies, ["_id", "turn"])
+
+
+@query(
+    """SELECT left(to_json({'$id': conv_id}), 8) AS value, sum(1 + (turn % 5 = 0)::INT + (turn % 3 = 0)::INT)::BIGINT AS n
+    FROM conversations WHERE (conv_id + turn) % 7 = 0 GROUP BY 1"""
+)
+def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the stream could not parse, kept as it came."""
+    _, kept = _streamed(spark, sf_dir)
+    return kept.groupBy("value").agg(F.count(F.lit(1)).alias("n"))

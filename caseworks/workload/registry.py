@@ -8,20 +8,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseworks.plans.marts import INTERMEDIATE, MARTS
-from caseworks.workload import check_queries, domain, operator_queries
+from caseworks.workload import check_queries, domain, operator_queries, source_queries
 from caseworks.workload.mart_checks import mart_sql
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def portable(df: DataFrame) -> DataFrame:
-    """Days as text and decimals as doubles, so that every client reads the same values."""
+    """Days and decimals as text, so that every client reads the same values and compares them exactly."""
 
     def plain(name: str, kind: str):
         column = F.col(f"`{name}`")
         if kind == "date":
             return column.cast("string").alias(name)
-        return column.cast("double").alias(name) if kind.startswith("decimal") else column
+        if not kind.startswith("decimal"):
+            return column
+        scale = domain.EXACT_SCALE
+        return (column.cast(f"decimal(28,{scale})") * F.lit(10**scale)).cast("decimal(38,0)").cast("string").alias(name)
 
     return df.select(*[plain(name, kind) for name, kind in df.dtypes])
 
@@ -37,9 +40,9 @@ def _mart(name: str) -> Query:
 
 def queries() -> dict[str, Query]:
     built = {name: _mart(name) for name in MARTS | INTERMEDIATE}
-    built |= operator_queries.QUERIES | check_queries.QUERIES
+    built |= operator_queries.QUERIES | check_queries.QUERIES | source_queries.QUERIES
     return {name: _portable(build) for name, build in built.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return mart_sql() | operator_queries.CHECKS | check_queries.CHECKS
+    return mart_sql() | operator_queries.CHECKS | check_queries.CHECKS | source_queries.CHECKS
