@@ -144,6 +144,43 @@ FROM lines l JOIN (VALUES (0), (1)) AS k(copy) ON k.copy = 0 OR l.turn % 4 = 3 W
 STAMP = "strftime({}, '%Y-%m-%d %H:%M:%S')"
 
 
+# Every column of the flattened attendance: text, numbers and dates as the source's nested fields give them.
+ATTENDANCE = f"""
+WITH lines AS ({SESSION_LINES}), met AS ({TRAINERS}), agreed AS (SELECT *, conv_id % 3 <> 1 AS agreement FROM met)
+SELECT '[]' AS materiels, line AS seance_libelle, 'L' || (i % 5) AS seance_libelle_court, CAST(i AS VARCHAR) AS seance_internal_id,
+  '' AS module_prevu, CAST(i % 3 AS VARCHAR) AS type_seance, 'TYPE' || (i % 3) AS libelle_type_seance,
+  lpad(CAST(length(line) % 8 AS VARCHAR), 2, '0') || ':' || lpad(CAST(length(line) % 60 AS VARCHAR), 2, '0') || ':00' AS duree_seance,
+  '09:00:00' AS heure_debut, '17:00:00' AS heure_fin_seance, i % 2 = 1 AS distancielle, 'NON' AS personnalisee,
+  true AS seance_action_principale, CAST(NULL AS VARCHAR) AS signature, '' AS type_absence_libelle,
+  CASE WHEN i % 4 = 0 THEN CAST(i AS BIGINT) END AS type_absence_id,
+  CASE i % 2 WHEN 0 THEN '00:30:00' ELSE '00:00:00' END AS duree_absence,
+  CAST(NULL AS VARCHAR) AS debut_absence, CAST(NULL AS VARCHAR) AS fin_absence,
+  conv_id * 10 + turn AS inscription_id, '1' AS inscription_internal_id, 'REGION' AS type_region, '11' AS code_region,
+  'PARCOURS' || (conv_id % 4) AS libelle_parcours, 'P' || (conv_id % 4) AS libelle_court_parcours,
+  'PG' AS libelle_parcours_groupe, 'PG' || (conv_id % 6) AS libelle_court_parcours_groupe,
+  'CA' || (conv_id % 9) AS code_analytique_parcours, conv_id % 6 AS id_parcours_groupe,
+  '2024-01-02' AS date_entree, '2024-12-31' AS date_sortie, conv_id AS stagiaire_id, '2' AS stagiaire_internal_id,
+  conv_id + 5 AS stagiaire_individu_id, 'ST' || conv_id AS stagiaire_reference, 'Mme' AS stagiaire_civilite,
+  'NOM' || conv_id AS stagiaire_nom, 'PRENOM' || turn AS stagiaire_prenom,
+  CASE WHEN agreement THEN conv_id END AS convention_id, CASE WHEN agreement THEN '7' END AS convention_internal_id,
+  CAST(NULL AS BIGINT) AS convention_id_societe, CASE WHEN agreement THEN 'CONV' END AS convention_libelle,
+  CAST(NULL AS VARCHAR) AS convention_libelle2, CAST(NULL AS VARCHAR) AS convention_reference,
+  CAST(NULL AS VARCHAR) AS convention_numero_interne, CAST(NULL AS VARCHAR) AS convention_numero_financeur,
+  CASE WHEN agreement THEN turn END AS client_id, CAST(NULL AS VARCHAR) AS client_internal_id,
+  CASE WHEN agreement THEN 'CLIENT' END AS client_nom, CAST(NULL AS VARCHAR) AS client_reference,
+  CAST(NULL AS BIGINT) AS financeur_id, CAST(NULL AS VARCHAR) AS financeur_internal_id,
+  CASE WHEN agreement THEN 'FIN' END AS financeur_nom, CAST(NULL AS VARCHAR) AS financeur_reference,
+  '[]' AS salles, conv_id % 12 AS id_lieu, turn % 2 = 0 AS visibilite_stagiaire, 'ACTION ' || role AS libelle_action,
+  conv_id AS id_action, '17:00:00' AS source_fin, 'S' || (conv_id % 10) AS source_libelle_court, '07:00:00' AS source_duree,
+  'LIEU' || (conv_id % 12) AS source_libelle_lieu, 'SESSION ' || conv_id AS source_libelle, trainer AS intervenant_id,
+  CAST(3 + copy AS VARCHAR) AS intervenant_internal_id, 'R' || (copy + 1) AS intervenant_reference, 'M' AS intervenant_civilite,
+  'TRAINER' || trainer AS intervenant_nom, CASE copy WHEN 0 THEN 'A' ELSE 'B' END AS intervenant_prenom,
+  CAST(NULL AS VARCHAR) AS intervenant_signature, '09:00:00' AS source_debut, conv_id % 40 AS id_module,
+  {STAMP.format("TIMESTAMP '2024-01-01' + to_days(CAST(conv_id % 365 AS INTEGER)) + to_hours(turn)")} AS date_date,
+  conv_id || '-' || turn AS source_id, 'Presence_Soc_' || (conv_id % 3 + 2) AS source_table
+FROM agreed"""
+
+
 def enrolment_sql(without_trainer: bool = False) -> str:
     """All enrolment columns: those the mapping fills, NULL for the others. Rows without a trainer only if asked for."""
     from caseworks.schemas import ENROLMENT_FIELDS

@@ -17,7 +17,7 @@ from caseworks.sources import audit, landing
 from caseworks.streaming.landing import LANDED, land_new
 from caseworks.workload import domain
 from caseworks.workload.domain import read
-from caseworks.workload.mart_checks import enrolment_sql
+from caseworks.workload.mart_checks import ATTENDANCE, enrolment_sql
 
 QUERIES: dict = {}
 CHECKS: dict[str, str] = {}
@@ -500,6 +500,13 @@ def stg_entites(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staging.entities(domain.entities(spark, sf_dir))
 
 
+@query(ATTENDANCE)
+def stg_presence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flattened attendance of all three companies, every column."""
+    flat = [staging.attendance(raw, name) for name, raw in domain.sessions(spark, sf_dir).items()]
+    return reduce(DataFrame.unionByName, flat)
+
+
 @query(
     """WITH lines AS (SELECT conv_id, turn, role, len(string_split(text, chr(10))) AS n FROM conversations
       WHERE role <> 'system')
