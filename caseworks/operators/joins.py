@@ -15,13 +15,16 @@ LEAST_HASH = -(2**63)
 def left_join_hot_right(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """LEFT JOIN on ``key`` as an inner join plus the left rows without a match.
 
-    Both parts read the same columns of both sides, so each side is built and shuffled once: the hash, which is
-    never less than the least one, only keeps the right side's other columns in the second part.
+    Both parts read the same rows and columns of both sides, so each side is built and shuffled once. For that the
+    keys are compared null-safe (the right side has no NULL), which filters neither side, and the second part keeps
+    the right side's other columns by a hash over both sides that is never less than the least one.
     """
-    matched = left.join(right, key)
-    others = [F.col(f"_right.`{c}`") for c in right.columns if c != key]
-    same = (F.col(f"_left.`{key}`") == F.col(f"_right.`{key}`")) & (F.xxhash64(*others, F.lit(0)) >= F.lit(LEAST_HASH))
-    unmatched = left.alias("_left").join(right.alias("_right"), same, "left_anti")
+    others = [c for c in right.columns if c != key]
+    one, two = left.alias("_left"), right.filter(F.col(f"`{key}`").isNotNull()).alias("_right")
+    same = F.col(f"_left.`{key}`").eqNullSafe(F.col(f"_right.`{key}`"))
+    matched = one.join(two, same).select("_left.*", *[F.col(f"_right.`{c}`") for c in others])
+    any_hash = F.xxhash64(F.col(f"_left.`{key}`"), *[F.col(f"_right.`{c}`") for c in others]) >= F.lit(LEAST_HASH)
+    unmatched = one.join(two, same & any_hash, "left_anti")
     return matched.unionByName(unmatched, allowMissingColumns=True)
 
 
