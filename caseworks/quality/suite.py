@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
+from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +37,13 @@ class Check:
     error_if: str = "!= 0"
     severity: str = "error"
 
+    @classmethod
+    def on(
+        cls, name: str, df: DataFrame, build: Callable[[DataFrame], DataFrame], where: Column | str | None = None, **rules: Any
+    ) -> Check:
+        """A check of a table, or of those of its rows that meet ``where``."""
+        return cls(name, build(df if where is None else df.filter(where)), **rules)
+
 
 def _status(warn_if: str, error_if: str, severity: str) -> Column:
     warned = F.when(F.expr(f"failures {warn_if}"), "warn").otherwise("pass")

@@ -405,3 +405,41 @@ def suite_thresholds(spark, sf_dir):
             suite.Check("same_segments", checks.equality(segments, segments), suite.equality_failures()),
         ]
     )
+
+
+@check(
+    """SELECT 'small_parts_cheap' AS "check", count(*) FILTER (p_size <= 10 AND NOT p_retailprice <= 1500) AS failures,
+      CASE WHEN count(*) FILTER (p_size <= 10 AND NOT p_retailprice <= 1500) > 0 THEN 'warn' ELSE 'pass' END AS status FROM part
+    UNION ALL SELECT 'all_parts_cheap', count(*) FILTER (NOT p_retailprice <= 1500),
+      CASE WHEN count(*) FILTER (NOT p_retailprice <= 1500) > 0 THEN 'error' ELSE 'pass' END FROM part"""
+)
+def suite_where(spark, sf_dir):
+    """One rule on part of a table, as a warning, and on all of it."""
+    part = read(spark, sf_dir, "part")
+
+    def dear(rows):
+        return checks.accepted_range(rows, "p_retailprice", max_value=1500)
+
+    return suite.run_checks(
+        [
+            suite.Check.on("small_parts_cheap", part, dear, where="p_size <= 10", severity="warn"),
+            suite.Check.on("all_parts_cheap", part, dear),
+        ]
+    )
+
+
+@check(
+    """SELECT max(ts) AS most_recent, TIMESTAMP '2024-01-30 17:00:00' AS threshold FROM events
+    HAVING max(ts) < TIMESTAMP '2024-01-30 17:00:00' UNION ALL
+    SELECT max(ts), TIMESTAMP '2024-01-30 17:00:00' FROM events WHERE user_id % 7 = 0
+    HAVING max(ts) < TIMESTAMP '2024-01-30 17:00:00' UNION ALL
+    SELECT max(ts) - INTERVAL 10 YEAR, TIMESTAMP '2024-01-30 17:00:00' FROM events
+    HAVING max(ts) - INTERVAL 10 YEAR < TIMESTAMP '2024-01-30 17:00:00'"""
+)
+def recency_whole(spark, sf_dir):
+    """Recency of a table as a whole: as it is, of some users, and with times moved back ten years."""
+    events = read(spark, sf_dir, "events")
+    moved = events.withColumn("ts", F.col("ts") - F.expr("INTERVAL 10 YEAR"))
+    tables = (events, events.filter("user_id % 7 = 0"), moved)
+    found = [checks.recency(table, "ts", "hour", 6, now=NOW) for table in tables]
+    return found[0].unionAll(found[1]).unionAll(found[2])
