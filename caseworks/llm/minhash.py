@@ -7,12 +7,17 @@ similarity and makes the bins independent. The size classes overlap, so that two
 share one. 32 bands of 4 bins give the bucket keys: a pair of similarity 0.75 misses all buckets with a
 probability of about 5 in a million.
 
-Equal sets are one class and take part once, by their smallest doc_id. In a bucket, only its centre is compared
-with the others: the member that shares most buckets with others, which in a group of copies is their origin.
-Candidates are confirmed on the full sets. Links found so are joined to components; buckets whose members still
-lie in several components get further centres, twice as many each round, until every bucket lies in one component
-or all its members have been centres. So no bucket is capped, and pairs stay few unless a bucket really holds
-many texts that are alike in part.
+Equal sets are one class and take part once, by their smallest doc_id. The centre of a bucket is the member that
+shares most buckets with others; in a group of copies that is their origin. A document is compared, on the full sets,
+with the best centre of all its buckets, and in buckets whose members have several best centres and are not yet one
+component also with that bucket's centre. Such stars link most of a group. For two members L and M of one star that
+are still apart, let a be what each shares with the centre and r the rest of it. If their rests have nothing in
+common, their similarity is at most min(a) / (max(a) + r(L) + r(M)); pairs for which that reaches 0.75 are compared
+directly. All others must share part of their rests: at least 0.75 n - a shingles each. So the rests of the members
+are grouped by shingle, and each member keeps its rarest shared ones, as many as a partner cannot avoid (a prefix
+filter). Those small buckets get centres in turn, four times as many each round, until every bucket lies in one
+component or all its members have been centres. No bucket is capped and no link between members of a bucket is lost,
+yet pairs stay few.
 
 Results for odd rows: without text or words the set is empty and linked with nothing; fewer than five words make
 one shingle of all words. Rows without a doc_id are linked with nothing and are kept. Rows that share a doc_id
@@ -29,11 +34,12 @@ from pyspark.sql import functions as F
 from caseworks.llm.components import components
 from caseworks.llm.flat_text import Slice, buffers, constants, lists, mix, run_hashes, signed, slices
 from caseworks.llm.ids import bit_map, possible
-from caseworks.llm.support import packed, settled
+from caseworks.llm.support import in_parts, packed, settled
 
 WORDS = 5
 SIMILAR = 75  # percent
 BINS, BAND = 128, 4
+GROWTH = 4  # times as many centres per bucket in each further round
 FEW_IDS = 500_000  # ids of 8 bytes that are sent to every task; with more the join shuffles
 # (fewest shingles, most shingles, salted copies of each)
 CLASSES = ((1, 64, 64), (49, 512, 8), (385, None, 1))
@@ -129,73 +135,171 @@ def described(documents: DataFrame) -> DataFrame:
     )
 
 
-def _alike(batches):
+def _paired_sets(batch):
+    """Row range, and per row the two sorted sets, of a batch of text pairs."""
+    left, right = batch.column("text_a"), batch.column("text_b")
+    for at, to, part in slices(left, lower=True):
+        data, offsets = buffers(right[at:to])
+        other = Slice(data[offsets[0] : offsets[-1]], offsets - offsets[0], lower=True)
+        (ha, na), (hb, nb) = shingle_sets(part), shingle_sets(other)
+        ea, eb = np.cumsum(na), np.cumsum(nb)
+        yield at, to, [(ha[ea[i] - na[i] : ea[i]], hb[eb[i] - nb[i] : eb[i]]) for i in range(to - at)]
+
+
+def _compared(batches):
     for batch in batches:
-        left, right = batch.column("text_a"), batch.column("text_b")
-        for at, to, part in slices(left, lower=True):
-            data, offsets = buffers(right[at:to])
-            other = Slice(data[offsets[0] : offsets[-1]], offsets - offsets[0], lower=True)
-            (ha, na), (hb, nb) = shingle_sets(part), shingle_sets(other)
-            ea, eb = np.cumsum(na), np.cumsum(nb)
-            good = np.zeros(to - at, dtype=bool)
-            for i in range(to - at):
-                a, b = ha[ea[i] - na[i] : ea[i]], hb[eb[i] - nb[i] : eb[i]]
+        for at, to, sets in _paired_sets(batch):
+            shared = np.zeros(to - at, dtype=np.int64)
+            for i, (a, b) in enumerate(sets):
                 both = np.concatenate([a, b])
                 both.sort()
-                shared = int(np.count_nonzero(both[1:] == both[:-1]))
-                good[i] = 100 * shared >= SIMILAR * (len(both) - shared)
-            yield pa.record_batch({"a": batch.column("a")[at:to], "b": batch.column("b")[at:to]}).filter(pa.array(good))
+                shared[i] = np.count_nonzero(both[1:] == both[:-1])
+            yield pa.record_batch({
+                "a": batch.column("a")[at:to],
+                "b": batch.column("b")[at:to],
+                "shared": shared,
+                "na": pa.array([len(a) for a, _ in sets], pa.int64()),
+                "nb": pa.array([len(b) for _, b in sets], pa.int64()),
+            })
+
+
+def _rests(batches):
+    for batch in batches:
+        for at, to, sets in _paired_sets(batch):
+            rests = [np.setdiff1d(b, a, assume_unique=True) for a, b in sets]
+            owner = pa.array(np.repeat(np.arange(at, to), [len(r) for r in rests]))
+            yield pa.record_batch({
+                "a": batch.column("a").take(owner),
+                "b": batch.column("b").take(owner),
+                "shingle": signed(np.concatenate(rests)),
+            })
 
 
-def confirmed(pairs: DataFrame, documents: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough."""
+def _with_texts(pairs: DataFrame, documents: DataFrame) -> DataFrame:
+    """The pairs (a, b) with both texts."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     texts = possible(_texts(documents), "doc_id", documents.sparkSession.sparkContext.broadcast(bit_map(wanted, "id")))
-    with_b = pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-    with_both = with_b.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-    return with_both.select("a", "b", "text_a", "text_b").mapInArrow(_alike, "a bigint, b bigint")
+    with_b = pairs.select("a", "b").join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
+    with_both = in_parts(with_b, pairs.count(), each=1000).join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
+    return with_both.select("a", "b", "text_a", "text_b")
 
 
-def _members(classes: DataFrame) -> DataFrame:
-    """Rows (key, rep, size, n_shingles, weight) of the buckets with several members; ``weight`` is the sum of
-    a member's bucket sizes."""
-    rows = classes.select("rep", "n_shingles", F.explode("bands").alias("key"))
-    sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+def compared(pairs: DataFrame, documents: DataFrame) -> DataFrame:
+    """The pairs with the sizes of both sets, what they share, and whether that makes a link."""
+    rows = _with_texts(pairs, documents).mapInArrow(_compared, "a bigint, b bigint, shared bigint, na bigint, nb bigint")
+    return rows.withColumn("linked", 100 * F.col("shared") >= SIMILAR * (F.col("na") + F.col("nb") - F.col("shared")))
+
+
+def _members(rows: DataFrame) -> DataFrame:
+    """Rows (key, rep, size, weight) of the buckets with several members, from rows (key, rep); ``weight`` is the
+    sum of a member's bucket sizes."""
+    # Settled, so that the join meets it as a plain shuffle and can split a hot bucket.
+    sizes = settled(rows.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"))
     live = settled(rows.join(sizes, "key"))
     weights = live.groupBy("rep").agg(F.sum("size").alias("weight"))
-    return settled(live.join(weights, "rep").select("key", "rep", "size", "n_shingles", "weight"))
+    return settled(live.join(weights, "rep").select("key", "rep", "size", "weight"))
+
+
+def _rooted(rows: DataFrame, roots: DataFrame, node: str) -> DataFrame:
+    """``rows`` with the ``root`` of a node; a node without links is its own."""
+    own = roots.select(F.col("node").alias("_node"), F.col("root").alias("_root"))
+    rows = rows.join(own, F.col(node) == F.col("_node"), "left")
+    return rows.withColumn("root", F.coalesce("_root", node)).drop("_node", "_root")
+
+
+def _placed(members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The members with the centre of their bucket (key, rep, centre), and each member's own best centre: the one of
+    all its buckets that shares most buckets with others."""
+    centre = F.max(F.struct("weight", (-F.col("rep")).alias("low"))).alias("c")
+    rows = members.select("key", "rep").join(settled(members.groupBy("key").agg(centre)), "key")
+    best = rows.groupBy("rep").agg((-F.max("c")["low"]).alias("best"))
+    return rows.select("key", "rep", (-F.col("c.low")).alias("centre")), settled(best)
+
+
+def _split_buckets(placed: DataFrame, best: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs (a, b) of the centre and each other member, of the buckets whose members lie in several components and
+    have several best centres."""
+    rows = _rooted(placed.join(best, "rep"), roots, "rep")
+    differ = [F.min("root") != F.max("root"), F.min("best") != F.max("best")]
+    split = rows.groupBy("key").agg((differ[0] & differ[1]).alias("split")).filter("split").select("key")
+    return rows.join(settled(split), "key").filter("rep != centre").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
+
+
+def _direct(apart: DataFrame) -> DataFrame:
+    """Pairs of star members that may be alike though they share nothing outside the centre."""
+    able = apart.filter("shared >= 3 * rest")
+    one = able.filter("NOT linked").select("a", F.col("b").alias("x"), F.col("shared").alias("sx"), F.col("rest").alias("rx"), F.col("root").alias("ox"))
+    pairs = able.join(one, "a").filter(
+        "root != ox AND (linked OR b > x) AND 4 * least(shared, sx) >= 3 * (greatest(shared, sx) + rest + rx)"
+    )
+    return pairs.select(F.least("b", "x").alias("a"), F.greatest("b", "x").alias("b")).distinct()
+
+
+def _rest_buckets(apart: DataFrame, documents: DataFrame) -> DataFrame:
+    """Rows (key, rep): star members by the shingles, unknown to the centre, that they share with one another."""
+    rests = _with_texts(apart, documents).mapInArrow(_rests, "a bigint, b bigint, shingle bigint")
+    rests = settled(rests.join(apart.select("a", "b", "shared", "nb", "root"), ["a", "b"]))
+    known = rests.groupBy("a", "shingle").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("r1"), F.max("root").alias("r2"))
+    rests = rests.join(known.filter("r1 != r2").select("a", "shingle", "n"), ["a", "shingle"])
+    per = rests.groupBy("a", "b").agg(
+        F.sort_array(F.collect_set(F.struct("n", "shingle"))).alias("rest"), F.first("shared").alias("shared"), F.first("nb").alias("nb")
+    )
+    # What any partner must share of the rest, at least.
+    need = F.greatest(F.lit(1), F.ceil(F.col("nb") * SIMILAR / 100) - F.col("shared"))
+    per = per.withColumn("keep", F.size("rest") - need + 1).filter("keep > 0")
+    rarest = F.explode(F.slice("rest", F.lit(1), F.col("keep").cast("int"))).alias("s")
+    return per.select("a", F.col("b").alias("rep"), rarest).select(F.xxhash64("a", "s.shingle").alias("key"), "rep").distinct()
 
 
 def linked(classes: DataFrame, documents: DataFrame) -> DataFrame:
     """``node`` and ``root`` of the classes that are linked with another one."""
-    members = _members(classes)
-    links = tried = roots = None
-    low = 1
+    members = _members(classes.select("rep", F.explode("bands").alias("key")))
+    placed, best = _placed(members)
+    stars = settled(compared(best.filter("best != rep").select(F.col("best").alias("a"), F.col("rep").alias("b")), documents))
+    stars = in_parts(stars, stars.count())
+    roots = settled(components(stars.filter("linked").select("a", "b")))
+    further = settled(_split_buckets(placed, best, roots).join(stars.select("a", "b"), ["a", "b"], "left_anti"))
+    stars = stars.unionByName(settled(compared(in_parts(further, further.count()), documents)))
+    links = stars.filter("linked").select("a", "b")
+    roots = settled(components(links))
+    roots = in_parts(roots, roots.count())
+    apart = _rooted(stars.withColumn("rest", F.col("nb") - F.col("shared")), roots, "b")
+    open_stars = apart.groupBy("a").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).filter("r1 != r2").select("a")
+    apart = settled(apart.join(open_stars, "a"))
+    n_apart = apart.count()
+    if not n_apart:
+        return roots
+    apart = in_parts(apart, n_apart)
+    members = _members(_rest_buckets(apart, documents))
+    members = in_parts(members, members.count())
+    tried, pairs, low = stars.select("a", "b"), settled(_direct(apart)), 1
     while True:
-        rows = members
-        if roots is None:
-            rows = rows.withColumn("root", F.col("rep"))
-        else:
-            rows = rows.join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
-        apart = rows.filter(F.col("size") > low).groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2"))
-        rows = settled(rows.join(apart.filter("r1 != r2").select("key"), "key"))
-        if rows.isEmpty():
-            break
+        n_pairs = pairs.count()
+        if n_pairs:
+            pairs = in_parts(pairs, n_pairs)
+            found = settled(compared(pairs, documents).filter("linked").select("a", "b"))
+            n_found = found.count()
+            if n_found:
+                # The links between what was found so far are its roots.
+                links = in_parts(found, n_found).unionAll(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
+                roots = settled(components(links))
+                roots = in_parts(roots, roots.count())
+            tried = tried.unionAll(pairs)
+        rows = _rooted(members.filter(F.col("size") > low), roots, "rep")
+        split = rows.groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).filter("r1 != r2").select("key")
+        rows = settled(rows.join(split, "key"))
+        n_rows = rows.count()
+        if not n_rows:
+            return roots
+        rows = in_parts(rows, n_rows)
         place = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("weight"), "rep"))
-        centres = rows.withColumn("place", place).filter(F.col("place") < 2 * low).filter(F.col("place") >= low)
-        centres = centres.select("key", F.col("rep").alias("a"), F.col("weight").alias("wa"), F.col("root").alias("ra"), F.col("n_shingles").alias("na"))
-        pairs = rows.join(centres, "key").filter("root != ra AND (weight < wa OR weight = wa AND rep > a)")
-        pairs = pairs.filter(100 * F.least("na", "n_shingles") >= SIMILAR * F.greatest("na", "n_shingles"))
-        pairs = pairs.select("a", F.col("rep").alias("b")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = settled(pairs)
-        found = settled(confirmed(pairs, documents))
-        tried = pairs if tried is None else tried.unionAll(pairs)
-        links = found if links is None else links.unionAll(found)
-        roots = settled(components(links))
-        low *= 2
-    return members.select(F.col("rep").alias("node"), F.col("rep").alias("root")).limit(0) if roots is None else roots
+        centres = rows.withColumn("place", place).filter(F.col("place") < GROWTH * low).filter(F.col("place") >= low)
+        centres = centres.select("key", F.col("rep").alias("c"), F.col("weight").alias("wc"), F.col("root").alias("rc"))
+        met = rows.join(centres, "key").filter("root != rc AND (weight < wc OR weight = wc AND rep > c)")
+        met = met.select(F.col("c").alias("a"), F.col("rep").alias("b")).distinct()
+        swapped = tried.select(F.col("b").alias("a"), F.col("a").alias("b"))
+        pairs = settled(met.join(tried.unionAll(swapped), ["a", "b"], "left_anti"))
+        low *= GROWTH
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:

@@ -56,3 +56,9 @@ def settled(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
+
+
+def in_parts(df: DataFrame, rows: int, each: int = 100_000) -> DataFrame:
+    """``df`` in as many parts as its number of rows asks for, if it has more. The steps of a loop over a small frame
+    then write a few files each, not one for every part of the widest shuffle."""
+    return df.coalesce(1 + rows // each)
