@@ -6,10 +6,11 @@ broadcast and the memory of a group is fixed. A block is indexed by dimension: p
 quantised to ``STEP``. For a positive query component the impact is the distance above the block's minimum, for
 a negative one the distance below its maximum, so all contributions are positive and sums only grow.
 
-A query takes posting segments in descending contribution. What a vector can still gain is bounded by the next
-segment of every dimension and by the quantisation; as soon as all but a few vectors provably cannot reach the
-k-th best sum, the rest are rescored exactly. If no proof comes, all segments are taken and every possible
-member is rescored. The best k of each block are merged per query.
+A query takes posting segments in descending contribution, round by round down to a falling bar. Each vector sums what
+its postings bring and counts them, so what it can still gain is bounded: the bar for every dimension not yet seen,
+and the quantisation. The exact scores of the k best sums bound the answer from below. As soon as all but a small
+share of the vectors provably cannot reach that, the possible members are rescored exactly; if no proof comes, all
+segments are taken first. The best k of each block are merged per query.
 
 Vectors that are NULL or hold a NULL or non-finite component take no part, nor do rows without vec_id; a shorter
 vector counts as padded with zeros. Repeated rows are candidates each, and one query. A query never finds rows of
@@ -23,11 +24,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCK = 4096
-CHUNK = 1024
+BLOCK = 16_384
+CHUNK = 256
 STEP = 2
-ROUNDS = 12
-FEW = 64  # possible members at which rescoring is cheaper than another round
+BARS = (0.3, 0.15, 0.1, 0.07, 0.045, 0.025, 0.0)  # shares of the largest contribution, one per round
+FEW = 16  # rescoring one in so many vectors is cheaper than another round
+_ONE = 1 << 40  # a posting's count, above any sum
 
 
 class BlockIndex:
@@ -36,44 +38,62 @@ class BlockIndex:
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         self.ids, self.vectors = ids, vectors
         self.low, self.high = vectors.min(axis=0), vectors.max(axis=0)
-        self.order = np.argsort(vectors, axis=0, kind="stable").T.copy()  # by dimension, ascending
-        ranked = np.take_along_axis(vectors.T, self.order, axis=1)
-        self.up = (ranked - self.low[:, None]) // STEP  # quantised impact for positive query components
-        self.down = (self.high[:, None] - ranked) // STEP  # and for negative ones
-
-    def postings(self, d: int, positive: bool) -> tuple[np.ndarray, np.ndarray]:
-        """Rows and quantised impacts of a dimension, largest impact first."""
-        return (self.order[d][::-1], self.up[d][::-1]) if positive else (self.order[d], self.down[d])
+        order = np.argsort(vectors, axis=0, kind="stable").T.copy()  # by dimension, ascending
+        ranked = np.take_along_axis(vectors.T, order, axis=1)
+        self.postings = []
+        for d in range(len(order)):
+            # Rows and quantised impacts, largest first: for positive query components, then for negative ones.
+            up = np.ascontiguousarray(order[d][::-1]), np.ascontiguousarray((ranked[d] - self.low[d])[::-1] // STEP)
+            down = order[d], (self.high[d] - ranked[d]) // STEP
+            self.postings.append([(rows, impact, self._reach(impact)) for rows, impact in (up, down)])
+
+    @staticmethod
+    def _reach(impact: np.ndarray) -> list[int]:
+        """For each impact from 0, the number of postings with at least that impact."""
+        return np.cumsum(np.bincount(impact)[::-1])[::-1].tolist() if len(impact) else []
+
+    def _scores(self, rows: np.ndarray, query: np.ndarray) -> np.ndarray:
+        return self.vectors[rows] @ query
 
     def search(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """The k best rows of the block for one query, as (vec_id, score)."""
-        others = self.ids != query_id
-        k = min(k, int(others.sum()))
+        others = np.flatnonzero(self.ids != query_id)
+        k = min(k, len(others))
         if k == 0:
             return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-        terms = [(abs(int(q)), *self.postings(d, q > 0)) for d, q in enumerate(query.tolist()) if q]
-        sums = np.where(others, 0, -1)
-        done = [0] * len(terms)
-        top = max((w * int(impact[0]) for w, _, impact in terms), default=0)
-        members = np.flatnonzero(others)
-        for turn in range(1, ROUNDS + 1):
-            bar = top * (ROUNDS - turn) // ROUNDS
-            slack = 0
-            for t, (w, rows, impact) in enumerate(terms):
-                # All segments of this dimension whose contribution is at least the bar; at the last turn, all.
-                to = len(rows) if turn == ROUNDS else int(np.searchsorted(-impact, -(bar // w), side="right"))
-                if to > done[t]:
-                    sums[rows[done[t] : to]] += w * impact[done[t] : to]
-                    done[t] = to
-                left = int(impact[to]) * STEP + STEP - 1 if to < len(rows) else 0
-                slack += w * max(left, STEP - 1)
-            scaled = sums * STEP
-            scaled[~others] = -1
-            kth = np.partition(scaled, len(scaled) - k)[len(scaled) - k]
-            members = np.flatnonzero((scaled + slack >= kth) & others)
-            if len(members) <= max(FEW, 2 * k):
+        parts = [(d, abs(q), q > 0) for d, q in enumerate(query.tolist()) if q]
+        terms = [(w, *self.postings[d][0 if positive else 1]) for d, w, positive in parts]
+        base = sum(w * int(self.low[d]) if positive else -w * int(self.high[d]) for d, w, positive in parts)
+        weights = sum(w for w, *_ in terms)
+        top = max((w * (len(reach) - 1) for w, _, _, reach in terms), default=0)
+        packed, done, members = np.zeros(len(self.ids), dtype=np.int64), [0] * len(terms), others
+        for share in BARS:
+            bar = int(top * share)
+            active, idle = 0, 0
+            for t, (w, rows, impact, reach) in enumerate(terms):
+                # All segments of this dimension with a contribution of at least the bar.
+                level = bar // w
+                if level >= len(reach):
+                    idle += w * (len(reach) - 1)
+                    continue
+                active += 1
+                a, b = done[t], reach[level]
+                if b > a:
+                    packed[rows[a:b]] += impact[a:b] * w + _ONE
+                    done[t] = b
+            sums, seen = packed & (_ONE - 1), packed >> 40
+            if share:
+                gain = bar * (active - seen) + idle
+            else:
+                gain = 0
+            best = others[np.argpartition(-sums[others], k - 1)[:k]]
+            least = int(self._scores(best, query).min())
+            # Postings hold the impact without its remainder, which is under STEP.
+            reachable = base + STEP * (sums + gain) + (STEP - 1) * weights
+            members = others[reachable[others] >= least]
+            if len(members) * FEW <= len(others) + FEW * k:
                 break
-        scores = self.vectors[members].astype(np.int64) @ query.astype(np.int64)
+        scores = self._scores(members, query)
         best = np.lexsort((self.ids[members], -scores))[:k]
         return self.ids[members[best]], scores[best]
 
