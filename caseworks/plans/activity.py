@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from caseworks.plans import flags
 
+# Published columns of both tables.
 ACTIVITY_KEYS = [
     "id_benef", "numero_commande", "date_demarrage", "date_fin_prest", "date_fin_theo", "marche",
     "lot_sans_action", "organisme", "site", "statut", "situation", "referent",

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from caseworks.functions.times import month_number, seconds_as_date, seconds_as_datetime_text, whole_minutes
 from caseworks.plans import flags
 
+# Published columns of the appointment tables (``_code`` stands for the attendance label).
 SLOT_KEYS = [
     "id_benef", "date_deb", "date_fin", "type", "typage", "referent", "id_referent", "site", "id_site", "_code",
     "precision_rdv",

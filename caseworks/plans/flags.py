@@ -139,7 +139,10 @@ def with_lot_parts(benef: DataFrame) -> DataFrame:
 
 
 def classified(benef: DataFrame) -> DataFrame:
-    """The steering view of a beneficiary: identity, lot parts and every status flag."""
+    """The steering view of a beneficiary: identity, lot parts and every status flag.
+
+    The column names are fixed values of the published table.
+    """
     return benef.select(
         "id_benef", "nom", "ide", "agence", "conseiller", "referent", "id_ref_principal",
         "date_demarrage", "date_fin_theo", "date_fin_prest",

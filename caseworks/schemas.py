@@ -57,9 +57,8 @@ ENROLMENT_ROOT = _names("""
     Date_Sortie_Previsionnelle
 """)
 CONTACT_FIELDS = {
-    f"{kind}_{place}": f"{kind}_{place}".title()
-    for place in ("pro", "perso")
-    for kind in ("email", "telephone", "mobile")
+    "email_pro": "Email_Pro", "telephone_pro": "Telephone_Pro", "mobile_pro": "Mobile_Pro",
+    "email_perso": "Email_Perso", "telephone_perso": "Telephone_Perso", "mobile_perso": "Mobile_Perso",
 }
 ADDRESS_FIELDS = {
     "adresse_id": "ID", "adresse_internal_id": "_id", "numero_rue": "NumRue", "adresse_ligne1": "Adr1",
