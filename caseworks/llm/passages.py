@@ -190,7 +190,8 @@ def repeated_starts(firsts: DataFrame, documents: DataFrame) -> DataFrame:
         .mapInArrow(_windows, "h1 bigint, h2 bigint, doc_id bigint, text_key bigint, place int")
     )
     first = windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low != high")
-    later = windows.join(first.drop("high"), ["h1", "h2"]).filter("doc_id > low")
+    # Settled, so that the join meets it as a plain shuffle and can split a hot window.
+    later = windows.join(settled(first.drop("high")), ["h1", "h2"]).filter("doc_id > low")
     return later.groupBy("doc_id", "text_key").agg(F.collect_set("place").alias("starts"))
 
 
