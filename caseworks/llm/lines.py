@@ -81,7 +81,8 @@ def repeated_lines(documents: DataFrame) -> DataFrame:
     marks = marks.select("doc_id", "text_key", "at", F.get("lines", F.col("at")).alias("mark"))
     here = F.struct("doc_id", "at")
     shared = marks.groupBy("mark").agg(F.min(here).alias("low"), F.max(here).alias("high")).filter("low != high")
-    marks = marks.join(shared.select("mark"), "mark").groupBy("doc_id", "text_key").agg(F.collect_set("at").alias("at"))
+    # Settled, here and below, so that the join meets it as a plain shuffle and can split a hot line.
+    marks = marks.join(settled(shared.select("mark")), "mark").groupBy("doc_id", "text_key").agg(F.collect_set("at").alias("at"))
     around = F.transform("at", lambda p: F.sequence(F.greatest(p - RUN + 1, F.lit(0)), F.least(p, F.size("lines") - RUN)))
     runs = rows.dropDuplicates(["doc_id", "text_key"]).join(marks, ["doc_id", "text_key"])
     runs = runs.select("doc_id", "text_key", "lines", "numbers", F.explode(F.array_distinct(F.flatten(around))).alias("start"))
@@ -89,7 +90,7 @@ def repeated_lines(documents: DataFrame) -> DataFrame:
     runs = settled(runs)
     here = F.struct("doc_id", "start")
     first = runs.groupBy("run").agg(F.min(here).alias("first"), F.max(here).alias("final")).filter("first != final")
-    later = runs.join(first.drop("final"), "run").filter(F.struct("doc_id", "start") > F.col("first"))
+    later = runs.join(settled(first.drop("final")), "run").filter(F.struct("doc_id", "start") > F.col("first"))
     shared_lines = F.when(F.col("first.doc_id") == F.col("doc_id"), F.greatest(F.lit(0), F.col("first.start") + RUN - F.col("start"))).otherwise(0)
     gone = later.select("doc_id", "text_key", F.explode(F.slice("numbers", shared_lines + 1, RUN)).alias("number"))
     return gone.groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_set("number")).alias("gone"))
