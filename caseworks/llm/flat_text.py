@@ -1,8 +1,8 @@
 """Whole columns of texts as flat numpy arrays: words, hashes of words, hashes of runs of words.
 
 A batch of texts is one byte buffer with offsets. Words and hashes are found for all texts of a slice at once,
-so the cost is a few passes over the bytes and no Python code runs per word. Slices hold about a megabyte (a
-longer text is a slice of its own), which bounds the memory whatever the batch.
+so the cost is a few passes over the bytes and no Python code runs per word. Slices hold about half a megabyte
+(a longer text is a slice of its own), which bounds the memory whatever the batch.
 
 Hashes are polynomials modulo 2**64 over random values, so the hash of any run of words is a difference of two
 prefix sums; a mixing step makes them uniform.
@@ -11,13 +11,13 @@ prefix sums; a mixing step makes them uniform.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
+SLICE_ROWS = 8192
 _U = np.uint64
 _GAP = np.zeros(256, dtype=bool)
 _GAP[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -42,26 +42,28 @@ _BYTE_VALUES = constants(11, 256)
 _BASES = constants(12, 8) | _U(1)
 
 
-@cache
-def _powers(which: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of a base and of its inverse, for places below ``size``."""
-    base = int(_BASES[which])
-    inverse = pow(base, -1, 2**64)
-    up, down = np.full(size, _U(base)), np.full(size, _U(inverse))
-    up[0] = down[0] = 1
-    return np.cumprod(up, dtype=_U), np.cumprod(down, dtype=_U)
+_KEPT: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
-def _base_powers(which: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = 1 << max(16, int(n).bit_length())
-    if size > 1 << 23:  # a very long text: not kept
-        return _powers.__wrapped__(which, size)
-    return _powers(which, size)
+def _powers(which: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of a base and of its inverse for at least ``n`` places. One table per base is kept; it grows with the
+    slices, and the table of a very long text is not kept."""
+    if which in _KEPT and len(_KEPT[which][0]) >= n:
+        return _KEPT[which]
+    size, base = 1 << max(16, int(n).bit_length()), int(_BASES[which])
+    tables = []
+    for factor in (base, pow(base, -1, 2**64)):
+        table = np.full(size, _U(factor))
+        table[0] = 1
+        tables.append(np.cumprod(table, dtype=_U))
+    if n <= 4 * SLICE_BYTES:
+        _KEPT[which] = (tables[0], tables[1])
+    return tables[0], tables[1]
 
 
 def run_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int) -> np.ndarray:
     """Hash of ``values[start:end]`` for each pair of places, mixed."""
-    up, down = _base_powers(which, len(values) + 1)
+    up, down = _powers(which, len(values) + 1)
     sums = np.zeros(len(values) + 1, dtype=_U)
     np.cumsum(values * up[: len(values)], out=sums[1:])
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(_U))
@@ -116,7 +118,7 @@ def slices(column: pa.Array, lower: bool = False) -> Iterator[tuple[int, int, Sl
     at = 0
     while at < len(column):
         to = int(np.searchsorted(offsets, offsets[at] + SLICE_BYTES, side="right")) - 1
-        to = min(max(to, at + 1), len(column))
+        to = min(max(to, at + 1), at + SLICE_ROWS, len(column))
         own = offsets[at : to + 1]
         yield at, to, Slice(data[own[0] : own[-1]], own - own[0], lower)
         at = to
