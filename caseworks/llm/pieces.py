@@ -8,7 +8,7 @@ the rate, so one chunk is cut in different ways; a skipped candidate comes back
 Characters without a piece become byte pieces, and so does a literal meta symbol: decoding gives the exact text.
 
 No piece reaches over the start of a word, so a text is cut into chunks there and the agenda runs per chunk. The
-variant of a chunk is one of ``VARIANTS``, drawn by a keyed hash of document and place in the text. Results per
+variant of a chunk is one of ``VARIANTS`` (of two for long ones), drawn by a keyed hash of document and place in the text. Results per
 (chunk, variant) are kept in a table of bounded size per worker, and the chunks of a batch that are not in it are
 solved together, one agenda step of every chunk at a time; both only save time.
 
@@ -18,8 +18,11 @@ and repeated rows agree. An empty table gives an empty result; other columns are
 
 from __future__ import annotations
 
+import gc
+import hashlib
 import heapq
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caseworks.llm.flat_text import lists, mix
+from caseworks.llm.flat_text import buffers, lists, mix, run_hashes
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 META = "▁"
@@ -38,6 +41,7 @@ LITERAL_META = "\udc81"  # stands for a meta symbol of the text; no text holds a
 RATE = 0.1
 SEED = 1
 VARIANTS = 4
+LONG, LONG_VARIANTS = 6, 2  # chunks of more characters are mostly rare words: they are cut in two ways
 REMEMBERED = 600_000  # results per worker, and as many of the generation before
 SHORT = 48  # longest chunk that is solved together with others
 BATCH_CHARS = 1 << 20
@@ -99,8 +103,11 @@ class Encoder:
         self.known: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
         self.older = self.known
 
-    def _key(self, chunk: str, variant: int) -> int:
-        return xxhash.xxh3_64_intdigest(chunk.encode("utf-8", "surrogatepass"), seed=self.seed * 1024 + variant)
+    def _keys(self, points: np.ndarray, lengths: np.ndarray, variants: np.ndarray) -> np.ndarray:
+        """The keys of chunks for their draws, from their code points."""
+        ends = np.cumsum(lengths)
+        text = run_hashes(points.astype(np.uint64) + np.uint64(1), ends - lengths, ends, 0)
+        return mix(text ^ (variants.astype(np.uint64) + np.uint64(self.seed * 1024)))
 
     def pieces_of(self, chunk: str, variant: int) -> list[int]:
         """The agenda for one chunk."""
@@ -114,7 +121,8 @@ class Encoder:
             if piece is not None:
                 agenda.append((int(order[piece]), i, piece, 2))
         heapq.heapify(agenda)
-        key = self._key(chunk, variant)
+        points = np.array([ord(c) for c in chunk], dtype=np.uint32)
+        key = int(self._keys(points, np.array([n]), np.array([variant]))[0])
         while agenda:
             _, left, piece, width = heapq.heappop(agenda)
             right = following[left]
@@ -152,11 +160,11 @@ class Encoder:
 
     def _solve_together(self, wanted: list[tuple[int, str]]) -> list[bytes]:
         """The agendas of short chunks whose characters are all pieces: each round takes every chunk's best candidate."""
-        lengths = np.array([len(chunk) for _, chunk in wanted])
+        lengths = np.array([len(chunk) for _, chunk in wanted], dtype=np.int64)
         points = np.frombuffer("".join([chunk for _, chunk in wanted]).encode("utf-32-le"), dtype=np.uint32)
         symbol, owner = self.single[points], np.repeat(np.arange(len(wanted)), lengths)
         place = np.arange(len(points)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        keys = np.array([self._key(chunk, variant) for variant, chunk in wanted], dtype=np.uint64)
+        keys = self._keys(points, lengths, np.array([variant for variant, _ in wanted]))
 
         def candidates(at: np.ndarray) -> None:
             """Looks up what the symbols at these places make with the next one."""
@@ -203,60 +211,81 @@ class Encoder:
         ends = 4 * np.cumsum(np.bincount(owner, minlength=len(wanted)))
         return [ids[a:b] for a, b in zip([0, *ends.tolist()], ends.tolist())]
 
-    def _learn(self, missing: list[tuple[int, str]]) -> dict[tuple[int, str], bytes]:
-        """Solves chunks that are not in the table, and enters them."""
-        if sum(map(len, self.known)) + len(missing) > REMEMBERED:
+    def _learn(self, missing: list[set[str]]) -> list[dict[str, bytes]]:
+        """Solves the chunks of each variant that are not in the table, and enters them."""
+        if sum(map(len, self.known)) + sum(map(len, missing)) > REMEMBERED:
             self.older, self.known = self.known, [{} for _ in range(self.variants)]
-        found, together = {}, []
-        for pair in missing:
-            variant, chunk = pair
-            ids = self.older[variant].get(chunk)
-            if ids is not None:
-                found[pair] = ids
-            elif len(chunk) <= SHORT and self.singles.issuperset(chunk):
-                together.append(pair)
-            else:
-                found[pair] = np.array(self.pieces_of(chunk, variant), dtype=np.int32).tobytes()
+        found: list[dict[str, bytes]] = []
+        together: list[tuple[int, str]] = []
+        for variant, chunks in enumerate(missing):
+            own: dict[str, bytes] = {}
+            older, singles = self.older[variant].get, self.singles.issuperset
+            for chunk in chunks:
+                ids = older(chunk)
+                if ids is not None:
+                    own[chunk] = ids
+                elif len(chunk) <= SHORT and singles(chunk):
+                    together.append((variant, chunk))
+                else:
+                    own[chunk] = np.array(self.pieces_of(chunk, variant), dtype=np.int32).tobytes()
+            found.append(own)
         if together:
-            found.update(zip(together, self._solve_together(together)))
-        for (variant, chunk), ids in found.items():
-            if len(chunk) <= SHORT:
-                self.known[variant][chunk] = ids
+            for (variant, chunk), ids in zip(together, self._solve_together(together)):
+                found[variant][chunk] = ids
+        for known, own in zip(self.known, found):
+            known.update(own if max(map(len, own), default=0) <= SHORT else {c: i for c, i in own.items() if len(c) <= SHORT})
         return found
 
     def encode_all(self, texts: list[str | None], keys: list[int]) -> list[bytes]:
         """The ids of each text as 32-bit numbers; ``keys`` are the documents' own draws."""
+        # Millions of small tuples and no cycles: the search for cycles would take a sixth of the time.
+        searching = gc.isenabled()
+        gc.disable()
+        try:
+            return self._encode_all(texts, keys)
+        finally:
+            if searching:
+                gc.enable()
+
+    def _encode_all(self, texts: list[str | None], keys: list[int]) -> list[bytes]:
         out: list[bytes] = []
+        few = min(LONG_VARIANTS, self.variants)
         at = 0
         while at < len(texts):
-            rows, missing, chars = [], set(), 0
+            rows, chars = [], 0
+            missing: list[set[str]] = [set() for _ in range(self.variants)]
+            known = [table.get for table in self.known]
             while at < len(texts) and (not rows or chars < BATCH_CHARS):
                 text = texts[at] or ""
-                drawn, chunks = self._cut(text, keys[at])
-                known = [self.known[v].get(c) for v, c in zip(drawn, chunks)]
-                gaps = [(i, (drawn[i], chunks[i])) for i, ids in enumerate(known) if ids is None]
-                missing.update(pair for _, pair in gaps)
-                rows.append((known, gaps))
+                chunks = self._cut(text)
+                drawn = self._drawn(len(chunks), keys[at])
+                parts = [known[v if len(c) <= LONG else v % few](c) for v, c in zip(drawn, chunks)]
+                gaps = [(i, drawn[i] if len(chunks[i]) <= LONG else drawn[i] % few) for i, ids in enumerate(parts) if ids is None]
+                for i, v in gaps:
+                    missing[v].add(chunks[i])
+                rows.append((parts, gaps, chunks))
                 chars += len(text)
                 at += 1
-            new = self._learn(list(missing)) if missing else {}
-            for known, gaps in rows:
-                for i, pair in gaps:
-                    known[i] = new[pair]
-                out.append(b"".join(known))
+            found = self._learn(missing)
+            for parts, gaps, chunks in rows:
+                for i, v in gaps:
+                    parts[i] = found[v][chunks[i]]
+                out.append(b"".join(parts))
         return out
 
-    def _cut(self, text: str, key: int) -> tuple[list[int], list[str]]:
-        """The chunks of a text and the variant drawn for each."""
+    def _cut(self, text: str) -> list[str]:
+        """The chunks of a text."""
         if not text:
-            return [], []
+            return []
         if META in text:
             text = text.replace(META, LITERAL_META)
-        chunks = self.chunks.findall(META + text.replace(" ", META))
+        return self.chunks.findall(META + text.replace(" ", META))
+
+    def _drawn(self, n: int, key: int) -> list[int]:
+        """A variant for each chunk of a document; of those of long chunks the remainder counts."""
         if self.variants == 1:
-            return [0] * len(chunks), chunks
-        drawn = mix(np.arange(len(chunks), dtype=np.uint64) + np.uint64(key)) % np.uint64(self.variants)
-        return drawn.tolist(), chunks
+            return [0] * n
+        return (mix(np.arange(n, dtype=np.uint64) + np.uint64(key)) % np.uint64(self.variants)).tolist()
 
     def encode(self, text: str, key: int) -> bytes:
         return self.encode_all([text], [key])[0]
@@ -293,6 +322,30 @@ def document_key(doc_id: int | None, seed: int) -> int:
     return xxhash.xxh3_64_intdigest(f"{seed}:{doc_id}".encode())
 
 
+def _rows_by_size(text: pa.Array) -> Iterator[tuple[int, int]]:
+    """Runs of rows with about ``BATCH_CHARS`` bytes of text, so that memory does not follow the batch."""
+    _, offsets = buffers(text)
+    at = 0
+    while at < len(text):
+        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + BATCH_CHARS)))
+        yield at, min(to, len(text))
+        at = to
+
+
+def _encoded(tool: Encoder, batch: pa.RecordBatch, seed: int) -> Iterator[tuple[pa.Array, pa.Array, list[bytes]]]:
+    """doc_id, pieces and the bare ids of a few rows at a time."""
+    for at, to in _rows_by_size(batch.column("text")):
+        ids, text = batch.column("doc_id")[at:to], batch.column("text")[at:to]
+        raw = tool.encode_all(text.to_pylist(), [document_key(i, seed) for i in ids.to_pylist()])
+        counts = np.array([len(r) // 4 for r in raw], dtype=np.int64)
+        pieces = lists(np.frombuffer(b"".join(raw), dtype=np.int32), counts, pa.int32())
+        yield ids, pc.if_else(text.is_valid(), pieces, None), raw
+
+
+def _texts(documents: DataFrame) -> DataFrame:
+    return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
 def encoded(documents: DataFrame, vocabulary: Vocabulary, rate: float = RATE, seed: int = SEED) -> DataFrame:
     """doc_id and ``pieces`` (array of ids; NULL for a NULL text) of every row."""
     shared = documents.sparkSession.sparkContext.broadcast(vocabulary)
@@ -300,16 +353,10 @@ def encoded(documents: DataFrame, vocabulary: Vocabulary, rate: float = RATE, se
     def run(batches):
         tool = _encoder(shared.value, rate, seed)
         for batch in batches:
-            keys = [document_key(i, seed) for i in batch.column("doc_id").to_pylist()]
-            raw = tool.encode_all(batch.column("text").to_pylist(), keys)
-            counts = np.array([len(r) // 4 for r in raw], dtype=np.int64)
-            flat = np.frombuffer(b"".join(raw), dtype=np.int32)
-            pieces = lists(flat, counts, pa.int32())
-            valid = batch.column("text").is_valid()
-            yield pa.record_batch({"doc_id": batch.column("doc_id"), "pieces": pc.if_else(valid, pieces, None)})
+            for ids, pieces, _ in _encoded(tool, batch, seed):
+                yield pa.record_batch({"doc_id": ids, "pieces": pieces})
 
-    rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id bigint, pieces array<int>")
+    return _texts(documents).mapInArrow(run, "doc_id bigint, pieces array<int>")
 
 
 def decoded(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
@@ -325,12 +372,27 @@ def decoded(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     return rows.select("doc_id", "pieces").mapInArrow(run, "doc_id bigint, pieces array<int>, text string")
 
 
-def pieces_and_text(documents: DataFrame, model: str = MODEL) -> DataFrame:
-    """doc_id, ``pieces``, ``n_pieces`` and the digest of the decoded text, for every row."""
-    known = vocabulary(model)
-    rows = decoded(encoded(documents, known), known)
-    n = F.when(F.col("pieces").isNotNull(), F.size("pieces").cast("bigint"))
-    return rows.select("doc_id", "pieces", n.alias("n_pieces"), F.sha2("text", 256).alias("decoded_sha256"))
+def pieces_and_text(documents: DataFrame, model: str = MODEL, rate: float = RATE, seed: int = SEED) -> DataFrame:
+    """doc_id, ``pieces``, ``n_pieces`` and the digest of the text that the pieces decode to, for every row.
+
+    The pieces are decoded where they are made, so that they leave the worker once.
+    """
+    shared = documents.sparkSession.sparkContext.broadcast(vocabulary(model))
+
+    def run(batches):
+        tool = _encoder(shared.value, rate, seed)
+        for batch in batches:
+            for ids, pieces, raw in _encoded(tool, batch, seed):
+                spelled = [tool.decode(np.frombuffer(r, dtype=np.int32)).encode() for r in raw]
+                known = pieces.is_valid()
+                yield pa.record_batch({
+                    "doc_id": ids,
+                    "pieces": pieces,
+                    "n_pieces": pc.if_else(known, pa.array([len(r) // 4 for r in raw], pa.int64()), None),
+                    "decoded_sha256": pc.if_else(known, pa.array([hashlib.sha256(t).hexdigest() for t in spelled], pa.string()), None),
+                })
+
+    return _texts(documents).mapInArrow(run, "doc_id bigint, pieces array<int>, n_pieces bigint, decoded_sha256 string")
 
 
 def op9_merge_dropout(documents: DataFrame) -> DataFrame:

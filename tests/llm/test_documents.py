@@ -252,6 +252,21 @@ def test_pieces_spell_the_exact_text(odd_documents):
     assert next(r for r in rows if r.doc_id == 2).pieces == []
 
 
+def test_separate_encoding_and_decoding_agree(odd_documents, known):
+    apart = pieces.decoded(pieces.encoded(odd_documents, known), known).collect()
+    assert Counter((r.doc_id, r.text) for r in apart) == Counter(pairs(odd_documents))
+    together = pieces.pieces_and_text(odd_documents).collect()
+    assert Counter((r.doc_id, str(r.pieces)) for r in apart) == Counter((r.doc_id, str(r.pieces)) for r in together)
+
+
+def test_chunks_solved_together_equal_the_agenda(known):
+    tool = pieces.Encoder(known, rate=0.2)
+    chunks = sorted({c for seed in range(3) for c in tool.chunks.findall("▁" + " ".join(prose(seed, 80)).replace(" ", "▁"))})
+    wanted = [(v, c) for v in range(3) for c in [*chunks, "▁interesting", "▁information", "aaaa", "▁"]]
+    solved = tool._solve_together(wanted)
+    assert [memoryview(ids).cast("i").tolist() for ids in solved] == [tool.pieces_of(c, v) for v, c in wanted]
+
+
 def test_without_dropout_the_agenda_is_that_of_the_model(known):
     import sentencepiece
 
