@@ -38,14 +38,15 @@ def is_set(bitmap: np.ndarray, places: np.ndarray) -> np.ndarray:
 
 
 def possible(rows: DataFrame, column: str, bitmap) -> DataFrame:
-    """The rows whose id may be among those of a broadcast bit map. Some others stay: a join must follow."""
+    """The rows whose id may be among those of a broadcast bit map. Some others stay: a join must follow.
+
+    Only the ids are sent to Python; the other columns, texts mostly, stay where they are.
+    """
     bits = (len(bitmap.value) * 64).bit_length() - 1
 
-    def kept(batches):
-        for batch in batches:
-            own = batch.column(column)
-            values = own.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            good = is_set(bitmap.value, _places(values, bits)) & own.is_valid().to_numpy(zero_copy_only=False)
-            yield batch.filter(pa.array(good))
+    @F.arrow_udf("boolean")
+    def wanted(ids: pa.Array) -> pa.Array:
+        values = ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        return pa.array(is_set(bitmap.value, _places(values, bits)) & ids.is_valid().to_numpy(zero_copy_only=False))
 
-    return rows.mapInArrow(kept, rows.schema)
+    return rows.filter(wanted(F.col(column)))

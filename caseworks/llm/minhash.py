@@ -179,8 +179,10 @@ def _with_texts(pairs: DataFrame, documents: DataFrame) -> DataFrame:
     """The pairs (a, b) with both texts."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     texts = possible(_texts(documents), "doc_id", documents.sparkSession.sparkContext.broadcast(bit_map(wanted, "id")))
-    with_b = pairs.select("a", "b").join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-    with_both = in_parts(with_b, pairs.count(), each=1000).join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
+    # The centres first: they are the hot side. The comparison itself is then dealt by the other member.
+    with_a = pairs.select("a", "b").join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
+    with_a = in_parts(with_a, pairs.count(), each=1000)
+    with_both = with_a.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
     return with_both.select("a", "b", "text_a", "text_b")
 
 
