@@ -1,7 +1,7 @@
 """Whole columns of texts as flat numpy arrays: words, hashes of words, hashes of runs of words.
 
 A batch of texts is one byte buffer with offsets. Words and hashes are found for all texts of a slice at once,
-so the cost is a few passes over the bytes and no Python code runs per word. Slices hold about half a megabyte
+so the cost is a few passes over the bytes and no Python code runs per word. Slices hold about 128 kilobytes
 (a longer text is a slice of its own), which bounds the memory whatever the batch.
 
 Hashes are polynomials modulo 2**64 over random values, so the hash of any run of words is a difference of two
@@ -16,8 +16,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 1 << 19
-SLICE_ROWS = 8192
+SLICE_BYTES = 1 << 17
+SLICE_ROWS = 2048
 _U = np.uint64
 _GAP = np.zeros(256, dtype=bool)
 _GAP[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -56,7 +56,7 @@ def _powers(which: int, n: int) -> tuple[np.ndarray, np.ndarray]:
         table = np.full(size, _U(factor))
         table[0] = 1
         tables.append(np.cumprod(table, dtype=_U))
-    if n <= 4 * SLICE_BYTES:
+    if n <= 16 * SLICE_BYTES:
         _KEPT[which] = (tables[0], tables[1])
     return tables[0], tables[1]
 

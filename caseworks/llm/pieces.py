@@ -42,9 +42,9 @@ RATE = 0.1
 SEED = 1
 VARIANTS = 4
 LONG, LONG_VARIANTS = 6, 2  # chunks of more characters are mostly rare words: they are cut in two ways
-REMEMBERED = 600_000  # results per worker, and as many of the generation before
+REMEMBERED = 400_000  # results per worker, and as many of the generation before
 SHORT = 48  # longest chunk that is solved together with others
-BATCH_CHARS = 1 << 20
+BATCH_CHARS = 1 << 19
 _NONE = np.int64(2**62)
 _M64 = (1 << 64) - 1
 
