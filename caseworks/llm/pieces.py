@@ -3,14 +3,15 @@
 The vocabulary is that of a public BPE model, read from the path given and sent to the tasks (its size is that of
 the model file). Spaces become the meta symbol, a text starts with one, and neighbouring symbols whose joint piece
 is in the vocabulary are merged by an agenda: best score first, leftmost first among equals. With dropout, each
-candidate that is taken from the agenda is skipped if its keyed hash (seed, variant, chunk, place, piece) is below
-the rate, so one chunk is cut in different ways; a skipped candidate comes back only as part of another merge.
+candidate that is taken from the agenda is skipped by a draw of its own at the rate, keyed by seed, document, place
+of the chunk in the text and step of the agenda; a skipped candidate comes back only as part of another merge.
 Characters without a piece become byte pieces, and so does a literal meta symbol: decoding gives the exact text.
 
-No piece reaches over the start of a word, so a text is cut into chunks there and the agenda runs per chunk. The
-variant of a chunk is one of ``VARIANTS`` (of two for long ones), drawn by a keyed hash of document and place in the text. Results per
-(chunk, variant) are kept in a table of bounded size per worker, and the chunks of a batch that are not in it are
-solved together, one agenda step of every chunk at a time; both only save time.
+No piece reaches over the start of a word, so a text is cut into chunks there and the agenda runs per chunk. Every
+occurrence of a chunk has its own draws. What it is cut into follows from the chunk and the steps that its draws
+skip, so results are kept per (chunk, skipped steps) in a table of bounded size per worker: an occurrence starts at
+the result without a skip and moves on by each skip that its draws hold among the steps taken there. What is not in
+the table is solved together, one agenda step of every chunk at a time; both only save time.
 
 NULL gives NULL and an empty text no pieces. The draw depends on doc_id (NULL is one value) and place, so reruns
 and repeated rows agree. An empty table gives an empty result; other columns are not read.
@@ -24,6 +25,7 @@ import heapq
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -33,17 +35,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caseworks.llm.flat_text import buffers, lists, mix, run_hashes
+from caseworks.llm.flat_text import buffers, lists, mix
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 META = "▁"
 LITERAL_META = "\udc81"  # stands for a meta symbol of the text; no text holds a lone surrogate
 RATE = 0.1
 SEED = 1
-VARIANTS = 4
-LONG, LONG_VARIANTS = 6, 2  # chunks of more characters are mostly rare words: they are cut in two ways
-REMEMBERED = 400_000  # results per worker, and as many of the generation before
+REMEMBERED = 600_000  # results per worker; the table is emptied once it has more
 SHORT = 48  # longest chunk that is solved together with others
+KEPT = 22  # longest chunk in the table: its agenda has at most 3 * 21 steps, so its draws fit into 64 bits
 BATCH_CHARS = 1 << 19
 _NONE = np.int64(2**62)
 _M64 = (1 << 64) - 1
@@ -75,10 +76,10 @@ def vocabulary(path: str = MODEL) -> Vocabulary:
 
 
 class Encoder:
-    def __init__(self, vocabulary: Vocabulary, rate: float = RATE, seed: int = SEED, variants: int = VARIANTS):
+    def __init__(self, vocabulary: Vocabulary, rate: float = RATE, seed: int = SEED):
         self.v = vocabulary
         self.limit = int(rate * 65536)
-        self.seed, self.variants = seed, variants if rate else 1
+        self.seed = seed
         pieces = vocabulary.pieces
         longer = [p for p in pieces if len(p) > 1]
         if any(META in p.lstrip(META) for p in longer):
@@ -93,25 +94,39 @@ class Encoder:
         for piece, number in pieces.items():
             if len(piece) == 1:
                 self.single[ord(piece)] = number
-        # (left, right) -> joint piece, as sorted keys.
-        joints = sorted(
-            (pieces[p[:i]] << 32 | pieces[p[i:]], pieces[p]) for p in longer for i in range(1, len(p)) if p[:i] in pieces and p[i:] in pieces
-        )
-        self.joint_keys = np.array([k for k, _ in joints] + [_NONE], dtype=np.int64)
-        self.joint_pieces = np.array([j for _, j in joints] + [-1], dtype=np.int64)
-        self.singles = frozenset(p for p in pieces if len(p) == 1)
-        self.known: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
-        self.older = self.known
-
-    def _keys(self, points: np.ndarray, lengths: np.ndarray, variants: np.ndarray) -> np.ndarray:
-        """The keys of chunks for their draws, from their code points."""
-        ends = np.cumsum(lengths)
-        text = run_hashes(points.astype(np.uint64) + np.uint64(1), ends - lengths, ends, 0)
-        return mix(text ^ (variants.astype(np.uint64) + np.uint64(self.seed * 1024)))
-
-    def pieces_of(self, chunk: str, variant: int) -> list[int]:
-        """The agenda for one chunk."""
-        pieces, order, limit = self.v.pieces, self.order, self.limit
+        # (left, right) -> joint piece: a table with several places per key, where a key stands at the first free place.
+        joints = {pieces[p[:i]] << 32 | pieces[p[i:]]: pieces[p] for p in longer for i in range(1, len(p)) if p[:i] in pieces and p[i:] in pieces}
+        self.places = np.uint64(64 - max(4, (8 * len(joints)).bit_length()))
+        self.joint_keys = np.full((1 << 64 - int(self.places)) + len(joints) + 1, _NONE, dtype=np.int64)
+        self.joint_pieces = np.full(len(self.joint_keys), -1, dtype=np.int64)
+        own = np.fromiter(joints, dtype=np.int64, count=len(joints))
+        for key, joint, at in zip(own.tolist(), joints.values(), self._place(own).tolist()):
+            while self.joint_keys[at] != _NONE:
+                at += 1
+            self.joint_keys[at], self.joint_pieces[at] = key, joint
+        self._forget()
+
+    def _forget(self) -> None:
+        """Empties the table. Result i has ``count[i]`` ids from ``start[i]`` and took ``steps[i]`` steps of the agenda."""
+        self.roots: dict[str, int] = {}  # chunk -> its result without a skip
+        self.skips: dict[int, int] = {}  # result * 64 + next skipped step -> result
+        self.start, self.count, self.steps = (np.zeros(0, dtype=np.int64) for _ in range(3))
+        self.ids = np.zeros(0, dtype=np.int32)
+        self.results = self.used = 0
+
+    def _draws(self, keys: np.ndarray, block: int) -> np.ndarray:
+        """64 draws of each key as bits, one for each step from 64 * ``block``; a bit is set at the rate."""
+        if self.limit >> 16:
+            return np.full(len(keys), np.uint64(_M64))
+        out = np.zeros(len(keys), dtype=np.uint64)
+        for i in range(16 if self.limit else 0):
+            word = mix(keys ^ np.uint64((self.seed * 1024 + 16 * block + i + 1) * 0x9E3779B97F4A7C15 & _M64))
+            out = word | out if self.limit >> i & 1 else word & out
+        return out
+
+    def pieces_of(self, chunk: str, key: int) -> list[int]:
+        """The agenda for one chunk with the draws of ``key``."""
+        pieces, order = self.v.pieces, self.order
         symbols: list[str] = list(chunk)
         n = len(symbols)
         following, before = list(range(1, n + 1)), list(range(-1, n - 1))
@@ -121,15 +136,17 @@ class Encoder:
             if piece is not None:
                 agenda.append((int(order[piece]), i, piece, 2))
         heapq.heapify(agenda)
-        points = np.array([ord(c) for c in chunk], dtype=np.uint32)
-        key = int(self._keys(points, np.array([n]), np.array([variant]))[0])
+        step, own = 0, np.array([key], dtype=np.uint64)
         while agenda:
             _, left, piece, width = heapq.heappop(agenda)
             right = following[left]
             # Out of date if either symbol has been merged since.
             if right >= n or not symbols[left] or len(symbols[left]) + len(symbols[right]) != width:
                 continue
-            if limit and skipped(key, piece, left) < limit:
+            if step % 64 == 0:
+                draws = int(self._draws(own, step // 64)[0])
+            step += 1
+            if draws >> (step - 1) % 64 & 1:
                 continue
             symbols[left] += symbols[right]
             symbols[right] = ""
@@ -149,22 +166,38 @@ class Encoder:
                 if piece is not None:
                     ids.append(piece)
                 else:
-                    raw = META if symbol == LITERAL_META else symbol
-                    ids.extend(self.v.byte_ids[b] for b in raw.encode())
+                    ids.extend(self._bytes(symbol))
         return ids
 
+    def _place(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self.places).view(np.int64)
+
     def _joint(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         key = left << 32 | right
-        at = np.searchsorted(self.joint_keys, key)
-        return np.where(self.joint_keys[at] == key, self.joint_pieces[at], -1)
+        at = self._place(key)
+        there = self.joint_keys[at]
+        on = np.flatnonzero((there != key) & (there != _NONE))
+        while len(on):
+            at[on] += 1
+            there[on] = self.joint_keys[at[on]]
+            on = on[(there[on] != key[on]) & (there[on] != _NONE)]
+        return np.where(there == key, self.joint_pieces[at], -1)
 
     def _solve_together(self, wanted: list[tuple[int, str]]) -> list[bytes]:
-        """The agendas of short chunks whose characters are all pieces: each round takes every chunk's best candidate."""
-        lengths = np.array([len(chunk) for _, chunk in wanted], dtype=np.int64)
-        points = np.frombuffer("".join([chunk for _, chunk in wanted]).encode("utf-32-le"), dtype=np.uint32)
-        symbol, owner = self.single[points], np.repeat(np.arange(len(wanted)), lengths)
+        """The ids of (key, chunk) pairs of short chunks."""
+        ids, counts, _ = self._solve([chunk for _, chunk in wanted], keys=np.array([key for key, _ in wanted], dtype=np.uint64))
+        ends = np.cumsum(counts).tolist()
+        return [ids[a:b].tobytes() for a, b in zip([0, *ends], ends)]
+
+    def _solve(self, chunks: list[str], keys: np.ndarray | None = None, draws: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The agendas of short chunks, with the draws of their keys or those given: each round takes every chunk's best
+        candidate. Gives all ids, their number per chunk, and the steps each chunk took."""
+        lengths = np.fromiter(map(len, chunks), dtype=np.int64, count=len(chunks))
+        points = np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        symbol, owner = self.single[points], np.repeat(np.arange(len(chunks)), lengths)
+        symbol = np.where(symbol >= 0, symbol, -1 - points.astype(np.int64))  # below 0: characters without a piece
         place = np.arange(len(points)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        keys = self._keys(points, lengths, np.array([variant for variant, _ in wanted]))
+        steps, step = np.zeros(len(chunks), dtype=np.int64), 0
 
         def candidates(at: np.ndarray) -> None:
             """Looks up what the symbols at these places make with the next one."""
@@ -183,62 +216,66 @@ class Encoder:
             sizes = np.diff(np.concatenate([starts, [len(symbol)]]))
             open_ = np.repeat(best != _NONE, sizes)
             if not open_.all():
+                steps[owner[starts[best == _NONE]]] = step
                 done_owner.append(owner[~open_])
                 done_symbol.append(symbol[~open_])
-                best = np.repeat(best, sizes)[open_]
-                symbol, owner, place, piece, rank = (x[open_] for x in (symbol, owner, place, piece, rank))
+                kept = np.flatnonzero(open_)
+                best = np.repeat(best, sizes)[kept]
+                symbol, owner, place, piece, rank = (x.take(kept) for x in (symbol, owner, place, piece, rank))
                 if not len(symbol):
                     break
             else:
                 best = np.repeat(best, sizes)
             at = np.flatnonzero(rank == best)
-            if self.limit:
-                skip = skipped(keys[owner[at]], piece[at].view(np.uint64), place[at].view(np.uint64)) < np.uint64(self.limit)
-                rank[at[skip]] = _NONE
-                at = at[~skip]
+            if step % 64 == 0 and keys is not None:
+                draws = self._draws(keys, step // 64)
+            skip = (draws[owner[at]] >> np.uint64(step % 64) & np.uint64(1)).astype(bool)
+            step += 1
+            rank[at[skip]] = _NONE
+            at = at[~skip]
             symbol[at] = piece[at]
             last = np.ones(len(symbol), dtype=bool)
             last[at + 1] = False
             at = (np.cumsum(last) - 1)[at]
-            symbol, owner, place, piece, rank = (x[last] for x in (symbol, owner, place, piece, rank))
+            kept = np.flatnonzero(last)
+            symbol, owner, place, piece, rank = (x.take(kept) for x in (symbol, owner, place, piece, rank))
             piece[at], rank[at] = -1, _NONE
             before = at[at > 0] - 1
             before = before[owner[before] == owner[before + 1]]
             piece[before], rank[before] = -1, _NONE
             candidates(np.concatenate([at, before]))
-        owner = np.concatenate(done_owner)
-        ids = np.concatenate(done_symbol)[np.argsort(owner, kind="stable")].astype(np.int32).tobytes()
-        ends = 4 * np.cumsum(np.bincount(owner, minlength=len(wanted)))
-        return [ids[a:b] for a, b in zip([0, *ends.tolist()], ends.tolist())]
-
-    def _learn(self, missing: list[set[str]]) -> list[dict[str, bytes]]:
-        """Solves the chunks of each variant that are not in the table, and enters them."""
-        if sum(map(len, self.known)) + sum(map(len, missing)) > REMEMBERED:
-            self.older, self.known = self.known, [{} for _ in range(self.variants)]
-        found: list[dict[str, bytes]] = []
-        together: list[tuple[int, str]] = []
-        for variant, chunks in enumerate(missing):
-            own: dict[str, bytes] = {}
-            older, singles = self.older[variant].get, self.singles.issuperset
-            for chunk in chunks:
-                ids = older(chunk)
-                if ids is not None:
-                    own[chunk] = ids
-                elif len(chunk) <= SHORT and singles(chunk):
-                    together.append((variant, chunk))
-                else:
-                    own[chunk] = np.array(self.pieces_of(chunk, variant), dtype=np.int32).tobytes()
-            found.append(own)
-        if together:
-            for (variant, chunk), ids in zip(together, self._solve_together(together)):
-                found[variant][chunk] = ids
-        for known, own in zip(self.known, found):
-            known.update(own if max(map(len, own), default=0) <= SHORT else {c: i for c, i in own.items() if len(c) <= SHORT})
-        return found
+        owner, symbol = np.concatenate(done_owner), np.concatenate(done_symbol)
+        at = np.argsort(owner, kind="stable")
+        owner, symbol = owner[at], symbol[at]
+        if (symbol < 0).any():
+            kinds, which = np.unique(symbol, return_inverse=True)
+            spelled = [[k] if k >= 0 else self._bytes(chr(-1 - k)) for k in kinds.tolist()]
+            owner = np.repeat(owner, np.array([len(x) for x in spelled])[which])
+            symbol = np.fromiter(chain.from_iterable(map(spelled.__getitem__, which.tolist())), dtype=np.int64, count=len(owner))
+        return symbol.astype(np.int32), np.bincount(owner, minlength=len(chunks)), steps
+
+    def _bytes(self, character: str) -> list[int]:
+        return [self.v.byte_ids[b] for b in (META if character == LITERAL_META else character).encode()]
+
+    def _keep(self, ids: np.ndarray, counts: np.ndarray, steps: np.ndarray | int = 0) -> np.ndarray:
+        """Enters results; gives their numbers."""
+        numbers = np.arange(self.results, self.results + len(counts))
+        for name, size in (("start", numbers), ("count", numbers), ("steps", numbers), ("ids", ids)):
+            old, used = getattr(self, name), self.used if name == "ids" else self.results
+            if used + len(size) > len(old):
+                new = np.zeros(max(1 << 12, used + len(size), len(old) * 3 // 2), dtype=old.dtype)
+                new[:used] = old[:used]
+                setattr(self, name, new)
+        self.start[numbers] = self.used + np.cumsum(counts) - counts
+        self.count[numbers] = counts
+        self.steps[numbers] = steps
+        self.ids[self.used : self.used + len(ids)] = ids
+        self.results, self.used = self.results + len(counts), self.used + len(ids)
+        return numbers
 
     def encode_all(self, texts: list[str | None], keys: list[int]) -> list[bytes]:
         """The ids of each text as 32-bit numbers; ``keys`` are the documents' own draws."""
-        # Millions of small tuples and no cycles: the search for cycles would take a sixth of the time.
+        # Millions of small objects and no cycles: the search for cycles would take a sixth of the time.
         searching = gc.isenabled()
         gc.disable()
         try:
@@ -249,30 +286,76 @@ class Encoder:
 
     def _encode_all(self, texts: list[str | None], keys: list[int]) -> list[bytes]:
         out: list[bytes] = []
-        few = min(LONG_VARIANTS, self.variants)
         at = 0
         while at < len(texts):
-            rows, chars = [], 0
-            missing: list[set[str]] = [set() for _ in range(self.variants)]
-            known = [table.get for table in self.known]
-            while at < len(texts) and (not rows or chars < BATCH_CHARS):
-                text = texts[at] or ""
-                chunks = self._cut(text)
-                drawn = self._drawn(len(chunks), keys[at])
-                parts = [known[v if len(c) <= LONG else v % few](c) for v, c in zip(drawn, chunks)]
-                gaps = [(i, drawn[i] if len(chunks[i]) <= LONG else drawn[i] % few) for i, ids in enumerate(parts) if ids is None]
-                for i, v in gaps:
-                    missing[v].add(chunks[i])
-                rows.append((parts, gaps, chunks))
-                chars += len(text)
+            chunks, drawn, ends, chars = [], [np.zeros(0, dtype=np.uint64)], [0], 0
+            while at < len(texts) and (not chunks or chars < BATCH_CHARS):
+                own = self._cut(texts[at] or "")
+                chunks += own
+                drawn.append(mix(np.arange(len(own), dtype=np.uint64) + np.uint64(keys[at])))
+                ends.append(len(chunks))
+                chars += len(texts[at] or "")
                 at += 1
-            found = self._learn(missing)
-            for parts, gaps, chunks in rows:
-                for i, v in gaps:
-                    parts[i] = found[v][chunks[i]]
-                out.append(b"".join(parts))
+            if self.results > REMEMBERED:
+                self._forget()
+            results, used = self._resolved(chunks, np.concatenate(drawn))
+            counts = self.count[results]
+            before = np.concatenate([[0], np.cumsum(counts)])
+            ids = self.ids[np.repeat(self.start[results] - before[:-1], counts) + np.arange(before[-1])]
+            self.results, self.used = used
+            cuts = before[ends].tolist()
+            out.extend(ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:]))
         return out
 
+    def _resolved(self, chunks: list[str], keys: np.ndarray) -> tuple[np.ndarray, tuple[int, int]]:
+        """The result of each chunk with the draws of its key, and the size of the table without those that only serve once."""
+        result = np.fromiter(map(self.roots.get, chunks, repeat(-1)), dtype=np.int64, count=len(chunks))
+        known, large = np.flatnonzero(result >= 0), np.flatnonzero(result < 0).tolist()
+        # A chunk without a result is mostly a rare word: it is solved with its own draws, and enters once they skip no step.
+        new = np.array([i for i in large if len(chunks[i]) <= KEPT], dtype=np.int64)
+        if len(new):
+            draws = self._draws(keys[new], 0)
+            ids, counts, steps = self._solve([chunks[i] for i in new.tolist()], draws=draws)
+            plain = draws & _steps(steps) == 0
+            result[new[plain]] = self._keep(ids[np.repeat(plain, counts)], counts[plain], steps[plain])
+            self.roots.update((chunks[i], r) for i, r in zip(new[plain].tolist(), result[new[plain]].tolist()))
+            large = [i for i in large if len(chunks[i]) > KEPT]
+        if self.limit:
+            self._skip(chunks, keys, result, known)
+        used = self.results, self.used
+        if len(new):
+            result[new[~plain]] = self._keep(ids[np.repeat(~plain, counts)], counts[~plain])
+        short = [i for i in large if len(chunks[i]) <= SHORT]
+        if short:
+            result[short] = self._keep(*self._solve([chunks[i] for i in short], keys=keys[short]))
+        for i in large:
+            if len(chunks[i]) > SHORT:
+                ids = np.array(self.pieces_of(chunks[i], int(keys[i])), dtype=np.int32)
+                result[i] = self._keep(ids, np.array([len(ids)]))[0]
+        return result, used
+
+    def _skip(self, chunks: list[str], keys: np.ndarray, result: np.ndarray, at: np.ndarray) -> None:
+        """Moves each chunk at these places from its result without a skip to the one of its own draws, skip by skip."""
+        draws, past = self._draws(keys[at], 0), np.zeros(len(at), dtype=np.uint64)
+        one = np.uint64(1)
+        while True:
+            # The draws of the steps that the result took, beyond the last skip.
+            ahead = draws & _steps(self.steps[result[at]]) & ~past
+            on = np.flatnonzero(ahead)
+            if not len(on):
+                return
+            at, draws, ahead = at[on], draws[on], ahead[on]
+            bit = ahead & (~ahead + one)
+            past = bit | (bit - one)
+            moves, first, which = np.unique(result[at] * 64 + np.bitwise_count(bit - one), return_index=True, return_inverse=True)
+            to = np.fromiter(map(self.skips.get, moves.tolist(), repeat(-1)), dtype=np.int64, count=len(moves))
+            new = np.flatnonzero(to < 0)
+            if len(new):
+                spot = first[new]
+                to[new] = self._keep(*self._solve([chunks[i] for i in at[spot].tolist()], draws=draws[spot] & past[spot]))
+                self.skips.update(zip(moves[new].tolist(), to[new].tolist()))
+            result[at] = to[which]
+
     def _cut(self, text: str) -> list[str]:
         """The chunks of a text."""
         if not text:
@@ -281,12 +364,6 @@ class Encoder:
             text = text.replace(META, LITERAL_META)
         return self.chunks.findall(META + text.replace(" ", META))
 
-    def _drawn(self, n: int, key: int) -> list[int]:
-        """A variant for each chunk of a document; of those of long chunks the remainder counts."""
-        if self.variants == 1:
-            return [0] * n
-        return (mix(np.arange(n, dtype=np.uint64) + np.uint64(key)) % np.uint64(self.variants)).tolist()
-
     def encode(self, text: str, key: int) -> bytes:
         return self.encode_all([text], [key])[0]
 
@@ -295,15 +372,9 @@ class Encoder:
         return b"".join(map(self.v.bytes_of.__getitem__, ids.tolist()))[1:].decode()
 
 
-def skipped(key, piece, left):
-    """The keyed draw of a candidate, 0 to 65535; for numbers or for arrays of unsigned 64-bit numbers."""
-    if isinstance(piece, int):
-        draw = (key ^ (piece * 0x9E3779B97F4A7C15 + left * 0xC2B2AE3D27D4EB4F)) & _M64
-        draw = ((draw ^ (draw >> 29)) * 0xBF58476D1CE4E5B9) & _M64
-        return (draw >> 40) & 0xFFFF
-    draw = key ^ (piece * np.uint64(0x9E3779B97F4A7C15) + left * np.uint64(0xC2B2AE3D27D4EB4F))
-    draw = (draw ^ (draw >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return (draw >> np.uint64(40)) & np.uint64(0xFFFF)
+def _steps(n: np.ndarray) -> np.ndarray:
+    """The bits of the first ``n`` steps, fewer than 64."""
+    return (np.uint64(1) << n.astype(np.uint64)) - np.uint64(1)
 
 
 _ENCODERS: dict[tuple, Encoder] = {}

@@ -288,6 +288,47 @@ def test_dropout_varies_by_document_and_place_and_repeats(known):
     assert len(tool.pieces_of("▁information", 0)) >= plain
 
 
+def test_every_occurrence_has_its_own_dropout(known):
+    """A long word is cut in many ways, as often as its draws say, and like the plain agenda with the same draws."""
+    tool = pieces.Encoder(known, rate=0.1)
+    n = 4000
+    ids = memoryview(tool.encode(" ".join(["internationalization"] * n), 1)).cast("i").tolist()
+    starts = [i for i, piece in enumerate(ids) if known.bytes_of[piece].startswith(b" ")]
+    cuts = {tuple(ids[a:b]) for a, b in zip(starts, [*starts[1:], len(ids)])}
+    assert len(starts) == n and len(cuts) > 20
+    chunks = ["▁internationalization"] * n
+    keys = pieces.mix(pieces.np.arange(n, dtype=pieces.np.uint64))
+    tool._resolved(["▁internationalization"] * 100, keys[-100:])
+    results, _ = tool._resolved(chunks, keys)
+    got = [tuple(tool.ids[tool.start[r] : tool.start[r] + tool.count[r]].tolist()) for r in results]
+    plain = tuple(pieces.Encoder(known, rate=0.0).pieces_of(chunks[0], 0))
+    steps = int(tool.steps[tool.roots[chunks[0]]])
+    assert len(set(got)) > 20
+    # An occurrence takes the plain steps unless one of them is skipped.
+    untouched = (results == tool.roots[chunks[0]]).mean()
+    assert abs(untouched - 0.9**steps) < 0.04 and got.count(plain) >= untouched * n
+    assert got[:300] == [tuple(tool.pieces_of(chunks[0], int(k))) for k in keys[:300]]
+
+
+def test_dropout_of_odd_and_long_chunks_follows_the_agenda(known):
+    tool = pieces.Encoder(known, rate=0.3)
+    chunks = ["▁a͸b", "▁😀information", "▁" + "information" * 3, "▁" + "information" * 9, pieces.LITERAL_META * 2, "▁the"] * 20
+    keys = pieces.mix(pieces.np.arange(len(chunks), dtype=pieces.np.uint64) + pieces.np.uint64(7))
+    results, _ = tool._resolved(chunks, keys)
+    got = [tool.ids[tool.start[r] : tool.start[r] + tool.count[r]].tolist() for r in results]
+    assert got == [tool.pieces_of(c, int(k)) for c, k in zip(chunks, keys)]
+    many = {memoryview(tool.encode("information " * 3 + "information" * 3, k)).cast("i").tobytes() for k in range(50)}
+    assert len(many) > 40
+
+
+def test_a_full_table_of_results_changes_nothing(known, monkeypatch):
+    texts = [" ".join(prose(seed, 60)) for seed in range(30)]
+    want = pieces.Encoder(known).encode_all(texts, list(range(30)))
+    monkeypatch.setattr(pieces, "REMEMBERED", 0)
+    monkeypatch.setattr(pieces, "BATCH_CHARS", 100)
+    assert pieces.Encoder(known).encode_all(texts, list(range(30))) == want
+
+
 # -- all
 
 
