@@ -1,9 +1,10 @@
 """Language identification by compression: the language whose dictionary makes a text smallest.
 
 Each language is a zstandard raw-content dictionary: texts of a bounded sample of its labelled documents (the
-``SAMPLE`` documents with the smallest keyed hash of their id, of at most ``LONGEST`` characters, cut at
+``SAMPLE`` documents with the smallest keyed hash of their id, each cut at ``LONGEST`` characters, cut at
 ``DICTIONARY_BYTES`` together). So the model has a fixed size per language and reaches the tasks as a broadcast;
-the languages are those of the labels. A text is compressed whole with every dictionary; the smallest result
+the languages are those of the labels. A text is compressed whole with every dictionary, in blocks of at most
+``BLOCK_BYTES`` that each start anew from the dictionary, so that all of a long text counts alike; the smallest sum
 names the language, the margin to the second is the score, and a narrow margin is a rejection.
 
 NULL texts and texts without a letter are ``und`` with score 0, and are rejected; so is every text if no label can
@@ -27,6 +28,7 @@ from caseworks.llm.support import packed, unpacked
 SAMPLE = 64
 LONGEST = 20_000
 DICTIONARY_BYTES = 112 * 1024
+BLOCK_BYTES = 32 * 1024
 LEVEL = 5
 NARROW = 0.004
 UNKNOWN = "und"
@@ -50,8 +52,8 @@ def learned(documents: DataFrame) -> dict[str, bytes]:
     reach the driver.
     """
     labelled = documents.filter(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
-    rows = labelled.filter(F.length("text") <= LONGEST).select(
-        "doc_id", "lang", letters(F.col("text")).alias("text"), F.xxhash64(F.lit("language"), "doc_id").alias("draw")
+    rows = labelled.select(
+        "doc_id", "lang", letters(F.substring("text", 1, LONGEST)).alias("text"), F.xxhash64(F.lit("language"), "doc_id").alias("draw")
     )
     rows = rows.filter("text IS NOT NULL")
     place = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "doc_id", "text"))
@@ -80,7 +82,10 @@ def classified(model: tuple[tuple[str, bytes], ...], raw: bytes) -> tuple[str, f
     """Language and score of one text that has a letter."""
     if not model:
         return UNKNOWN, 0.0
-    sizes = [max(1, len(tool.compress(raw)) - least) for tool, least in _compressors(model)]
+    # Blocks of like size; a short text is one block.
+    n = -(-len(raw) // BLOCK_BYTES)
+    blocks = [raw[len(raw) * i // n : len(raw) * (i + 1) // n] for i in range(n)]
+    sizes = [max(1, sum(len(tool.compress(block)) - least for block in blocks)) for tool, least in _compressors(model)]
     best = min(range(len(sizes)), key=sizes.__getitem__)
     rest = [size for i, size in enumerate(sizes) if i != best]
     return model[best][0], 1 - sizes[best] / min(rest) if rest else 1.0

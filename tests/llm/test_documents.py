@@ -231,6 +231,28 @@ def test_language_is_right_on_held_out_documents(spark):
     assert len(sure) >= 0.98 * len(got)
 
 
+def test_all_of_a_long_text_counts(spark):
+    """The language of most of a text is its own, wherever it stands, and the margin does not fall with length."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    model = tuple(langid.learned(docs).items())
+    held = docs.filter(langid.held_out(langid.F.col("doc_id")) & langid.F.col("lang").isin("en", "fr"))
+    texts = {"en": [], "fr": []}
+    for r in held.select("doc_id", "lang", langid.letters(langid.F.col("text")).alias("text")).orderBy("doc_id").collect():
+        texts[r.lang].append(r.text or "")
+    english, french = " ".join(texts["en"]).encode()[:1_000_000], " ".join(texts["fr"]).encode()[:150_000]
+    assert len(english) == 1_000_000 and len(french) == 150_000
+    for text in (french + b" " + english[:600_000], english[:600_000] + b" " + french, english):
+        lang, score = langid.classified(model, text)
+        assert lang == "en" and score > 5 * langid.NARROW
+
+
+def test_languages_are_learned_from_long_texts_too(spark):
+    rows = [(i, "the words of this text are many " * 2000, "en") for i in range(20)]
+    rows += [(100 + i, "les mots de ce texte sont courts", "fr") for i in range(20)]
+    model = langid.learned(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    assert set(model) == {"en", "fr"} and len(model["en"]) <= langid.DICTIONARY_BYTES
+
+
 def test_without_labels_every_text_is_unknown(spark):
     df = spark.createDataFrame([(1, "some text", None)], "doc_id bigint, text string, lang string")
     assert langid.op5_language_id(df).first().lang_pred == "und"
