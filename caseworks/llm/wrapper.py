@@ -3,10 +3,11 @@
 A page is a tree of elements; texts are slots. Neighbouring elements of the same kind, or of the same short
 sequence of kinds, are folded into a repeated group, so a page becomes a small pattern whatever its length. The
 patterns of a host are aligned one after another: elements that both have are merged, what only one has becomes
-optional, and repetition is kept. The result is the host's wrapper. Every slot of it is then judged once, by the
-elements around it: slots of the main region (article, main, a content container, else the body) that lie in no
-menu, header, footer, sidebar, notice, advert, form, script or comment are content. A page's text is what stands
-in content slots of its host's wrapper.
+optional, and repetition is kept. The result is the host's wrapper. Every slot of it is then judged once for each
+kind of main region (article, main, a content container, the body), by the elements around it: slots of the region
+that lie in no menu, header, footer, sidebar, notice, advert, form, script or comment are content. A page's text is
+what stands in content slots of its host's wrapper, for the first kind of region that the page itself has; so the
+templates of a host need not agree.
 
 Equal patterns of a host are counted before the shuffle; the rest is aligned first in salted parts and then per
 host, reading rows one by one, so a task holds wrappers and no pages. The result does not depend on the
@@ -229,37 +230,32 @@ def _append(siblings: list[Node], node: Node) -> None:
         siblings.append(node)
 
 
-def content_paths(wrapper: Node) -> list[str]:
-    """The paths of the wrapper's slots that hold main text."""
-    paths: list[tuple[str, ...]] = []
+def content_paths(wrapper: Node) -> list[tuple[list[str], list[str]]]:
+    """For each kind of main region, best first: the paths of the wrapper's slots in such a region, and those that hold
+    main text if a page has one. The last kind is the body, for pages without any other."""
+    paths: set[tuple[str, ...]] = set()
 
     def walk(node: Node, path: tuple[str, ...]) -> None:
         here = path if node[0] in ("", "~", "#") else (*path, node[0])
         if node[0] == "#":
-            paths.append(here)
+            paths.add(here)
         for child in node[3]:
             walk(child, here)
 
     walk(wrapper, ())
-
-    def region(test) -> int | None:
-        return next((i for path in paths for i, kind in enumerate(path) if test(kind) and not _noise(path[: i + 1])), None)
-
     tests = (
         lambda kind: kind.partition(".")[0] == "article",
         lambda kind: kind.partition(".")[0] == "main" or "main" in kind.split(".")[1:],
         lambda kind: not CONTENT_WORDS.isdisjoint(kind.split(".")[1:]),
     )
-    inside = next((test for test in tests if region(test) is not None), None)
-    good = []
-    for path in paths:
-        start = next((i for i, kind in enumerate(path) if inside(kind)), None) if inside else 0
-        if start is None or _noise(path):
-            continue
-        if not inside and any(kind.partition(".")[0] in PAGE_HEADER or "header" in kind.split(".")[1:] for kind in path):
-            continue
-        good.append("/".join(path))
-    return sorted(set(good))
+    out = []
+    for test in tests:
+        inside = {path for path in paths if any(test(kind) and not _noise(path[: i + 1]) for i, kind in enumerate(path))}
+        good = {path for path in paths if any(test(kind) for kind in path) and not _noise(path)}
+        out.append((sorted(map("/".join, inside)), sorted(map("/".join, good))))
+    headed = {path for path in paths if any(kind.partition(".")[0] in PAGE_HEADER or "header" in kind.split(".")[1:] for kind in path)}
+    out.append((sorted(map("/".join, paths)), sorted("/".join(path) for path in paths - headed if not _noise(path))))
+    return out
 
 
 def _noise(path: tuple[str, ...]) -> bool:
@@ -272,12 +268,25 @@ def _noise(path: tuple[str, ...]) -> bool:
     return False
 
 
-def main_text(page: str | None, good: frozenset[str]) -> str:
-    """The texts of the content slots, one block per block element."""
+def main_text(page: str | None, regions: list[tuple[frozenset[str], frozenset[str]]]) -> str:
+    """The texts of the content slots, one block per block element; the region is the best one that the page itself has."""
+    slots: list[tuple[str, str, str]] = []
+    seen: set[str] = set()
+    path: list[str] = []
+    here = ""
+    for what, value in events(page or ""):
+        if what == "open":
+            path.append(value)
+            here = "/".join(path)
+        elif what == "close":
+            path.pop()
+            here = "/".join(path)
+        elif what == "text" and not value.isspace():
+            seen.add(here)
+        slots.append((what, value, here))
+    good = next((good for inside, good in regions if not seen.isdisjoint(inside)), frozenset())
     blocks: list[str] = []
     run: list[str] = []
-    path: list[str] = []
-    here = "" in good
 
     def end_block() -> None:
         block = " ".join(html.unescape("".join(run)).split())
@@ -285,23 +294,17 @@ def main_text(page: str | None, good: frozenset[str]) -> str:
             blocks.append(block)
         run.clear()
 
-    for what, value in events(page or ""):
+    for what, value, here in slots:
         if what == "text":
-            if here:
+            if here in good:
                 run.append(value)
         elif what == "gap":
             if value == "hr":
                 end_block()
             elif value in ("br", "img"):
                 run.append(" ")
-        else:
-            if value.partition(".")[0] in BLOCKS:
-                end_block()
-            if what == "open":
-                path.append(value)
-            else:
-                path.pop()
-            here = "/".join(path) in good
+        elif value.partition(".")[0] in BLOCKS:
+            end_block()
     end_block()
     return "\n\n".join(blocks)
 
@@ -357,12 +360,12 @@ def extracted(pages: DataFrame) -> DataFrame:
 
     @F.arrow_udf("string")
     def text(page: pa.Array, pattern: pa.Array) -> pa.Array:
-        good: dict[str, frozenset[str]] = {}
+        regions: dict[str, list[tuple[frozenset[str], frozenset[str]]]] = {}
         out = []
         for own_page, wrapper in zip(page.to_pylist(), pattern.to_pylist()):
-            if wrapper not in good:
-                good[wrapper] = frozenset(content_paths(json.loads(wrapper)))
-            out.append(main_text(own_page, good[wrapper]))
+            if wrapper not in regions:
+                regions[wrapper] = [(frozenset(inside), frozenset(good)) for inside, good in content_paths(json.loads(wrapper))]
+            out.append(main_text(own_page, regions[wrapper]))
         return pa.array(out, pa.string())
 
     return rows.select(*unpacked(own), text("html", "pattern").alias("main_text"))

@@ -103,6 +103,22 @@ def test_only_the_article_is_extracted(spark):
     assert wrapper.op4_wrapper_extraction(odd.empty(df)).collect() == []
 
 
+def test_pages_of_one_host_may_differ_in_their_region(spark):
+    menu, foot = "<nav>menu</nav>", "<footer>foot</footer>"
+    bodies = {
+        1: ("<article><p>in article</p></article><p>beside</p>", "in article"),
+        2: ("<main><p>in main</p></main><p>beside</p>", "in main"),
+        3: ("<div class=content><p>in content</p></div><p>beside</p>", "in content"),
+        4: ("<header>head</header><p>plain</p>", "plain"),
+        5: ("<main>around <article><p>both</p></article></main>", "both"),
+        6: ("", ""),
+    }
+    for url in ("https://a.example/x", None):
+        rows = [(i, url, f"<body>{menu}{body}{foot}</body>") for i, (body, _) in bodies.items()]
+        got = wrapper.op4_wrapper_extraction(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
+        assert {r.page_id: r.text for r in got} == {i: text for i, (_, text) in bodies.items()}
+
+
 def test_a_wrapper_has_repeats_and_options():
     one = wrapper.pattern("<article><h1>t</h1><p>a</p><p>b</p><dl><dt>k<dd>v<dt>k<dd>v</dl></article>")
     two = wrapper.pattern("<article><h1>t</h1><p><b>a</b></p><img><table><tr><td>1</table></article>")
