@@ -45,12 +45,7 @@ class BlockIndex:
             # Rows and quantised impacts, largest first: for positive query components, then for negative ones.
             up = np.ascontiguousarray(order[d][::-1]), np.ascontiguousarray((ranked[d] - self.low[d])[::-1] // STEP)
             down = order[d], (self.high[d] - ranked[d]) // STEP
-            self.postings.append([(rows, impact, self._reach(impact)) for rows, impact in (up, down)])
-
-    @staticmethod
-    def _reach(impact: np.ndarray) -> list[int]:
-        """For each impact from 0, the number of postings with at least that impact."""
-        return np.cumsum(np.bincount(impact)[::-1])[::-1].tolist() if len(impact) else []
+            self.postings.append([(rows, impact, int(impact[0]) if len(impact) else 0) for rows, impact in (up, down)])
 
     def _scores(self, rows: np.ndarray, query: np.ndarray) -> np.ndarray:
         return self.vectors[rows] @ query
@@ -65,23 +60,30 @@ class BlockIndex:
         terms = [(w, *self.postings[d][0 if positive else 1]) for d, w, positive in parts]
         base = sum(w * int(self.low[d]) if positive else -w * int(self.high[d]) for d, w, positive in parts)
         weights = sum(w for w, *_ in terms)
-        top = max((w * (len(reach) - 1) for w, _, _, reach in terms), default=0)
+        top = max((w * most for w, _, _, most in terms), default=0)
+        # Sums and counts of postings share a number where every sum stays below the count.
+        apart = sum(w * most for w, _, _, most in terms) >= _ONE
         packed, done, members = np.zeros(len(self.ids), dtype=np.int64), [0] * len(terms), others
+        counted = np.zeros(len(self.ids), dtype=np.int64) if apart else None
         for share in BARS:
             bar = int(top * share)
             active, idle = 0, 0
-            for t, (w, rows, impact, reach) in enumerate(terms):
+            for t, (w, rows, impact, most) in enumerate(terms):
                 # All segments of this dimension with a contribution of at least the bar.
                 level = bar // w
-                if level >= len(reach):
-                    idle += w * (len(reach) - 1)
+                if level > most:
+                    idle += w * most
                     continue
                 active += 1
-                a, b = done[t], reach[level]
+                a, b = done[t], len(impact) - int(impact[::-1].searchsorted(level))
                 if b > a:
-                    packed[rows[a:b]] += impact[a:b] * w + _ONE
+                    if apart:
+                        packed[rows[a:b]] += impact[a:b] * w
+                        counted[rows[a:b]] += 1
+                    else:
+                        packed[rows[a:b]] += impact[a:b] * w + _ONE
                     done[t] = b
-            sums, seen = packed & (_ONE - 1), packed >> 40
+            sums, seen = (packed, counted) if apart else (packed & (_ONE - 1), packed >> 40)
             if share:
                 gain = bar * (active - seen) + idle
             else:

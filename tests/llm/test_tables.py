@@ -157,3 +157,16 @@ def test_top_k_equals_brute_force_with_ties_and_odd_rows(spark):
 def test_few_candidates_give_fewer_ranks(spark):
     df = spark.createDataFrame([(0, [1.0]), (1, [2.0])], "vec_id bigint, embedding array<double>")
     assert [(r.query_id, r.vec_id, r.score) for r in topk.op10_exact_top_k(df).collect()] == [(0, 1, 131072)]
+
+
+def test_top_k_of_large_components_is_exact():
+    draw = random.Random(11)
+    for wide, large in ((64, 500.0), (64, 3000.0), (8, 1e6)):
+        rows = [[int(256 * draw.uniform(-large, large)) for _ in range(wide)] for _ in range(300)]
+        rows[7] = [x // 1000 for x in rows[7]]
+        index = topk.BlockIndex(topk.np.arange(300), topk.np.array(rows, dtype=topk.np.int64))
+        assert all(impact.nbytes + own.nbytes < 10**5 for sides in index.postings for own, impact, most in sides)
+        for q in range(0, 300, 10):
+            scored = sorted((-sum(a * b for a, b in zip(rows[q], v)), i) for i, v in enumerate(rows) if i != q)[:5]
+            ids, scores = index.search(q, topk.np.array(rows[q], dtype=topk.np.int64), 5)
+            assert list(zip((-scores).tolist(), ids.tolist())) == scored
