@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from caseworks.llm import chat, langid, lines, minhash, mixing, passages, pieces, rules, topk, wrapper
+from caseworks.llm import chat, hyperplanes, langid, lexical, lines, minhash, mixing, negatives, passages, pieces, rules, topk, wrapper
 from caseworks.llm.support import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,11 @@ QUERIES: dict[str, Query] = {
     "op8_substring_dedup": _over("documents", passages.op8_substring_dedup),
     "op9_merge_dropout": _over("documents", pieces.op9_merge_dropout),
     "op10_exact_top_k": _over("embeddings", topk.op10_exact_top_k),
+    "op11_hard_negatives": _over("embeddings", negatives.op11_hard_negatives),
+    "op12_hyperplane_near_dedup": _over("embeddings", hyperplanes.op12_hyperplane_near_dedup),
+    "op13_lexical_search": lambda spark, sf_dir: lexical.op13_lexical_search(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    ),
 }
 
 CHECKS: dict[str, str] = {
@@ -35,4 +40,7 @@ CHECKS: dict[str, str] = {
     "op6_line_dedup": lines.SQL,
     "op7_quality_rules": rules.sql(),
     "op10_exact_top_k": topk.SQL,
+    "op11_hard_negatives": negatives.SQL,
+    "op12_hyperplane_near_dedup": hyperplanes.SQL,
+    "op13_lexical_search": lexical.SQL,
 }
