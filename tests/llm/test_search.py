@@ -260,7 +260,7 @@ def test_block_maxima_save_most_of_the_lists(corpus):
     weights = {t: math.floor(1000 * math.log((2 * n + 2) / (2 * df[t] + 1))) for t in (b"the", b"of", b"rare", b"gem")}
     scores, found = searcher.search(weights)
     assert len(found) == 50 and all(i % 100 == 7 for i in found.tolist()) and sorted(scores.tolist(), reverse=True) == scores.tolist()
-    assert searcher.opened < searcher.blocks / 4
+    assert searcher.opened < searcher.blocks / 3
 
 
 def test_numbers_of_variable_length_return():
