@@ -37,6 +37,11 @@ def is_set(bitmap: np.ndarray, places: np.ndarray) -> np.ndarray:
     return (bitmap[places >> 6] >> (places & 63).astype(np.uint64)) & np.uint64(1) == 1
 
 
+def has(bitmap: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Whether values may be among those of a bit map."""
+    return is_set(bitmap, _places(values, (len(bitmap) * 64).bit_length() - 1))
+
+
 def possible(rows: DataFrame, column: str, bitmap) -> DataFrame:
     """The rows whose id may be among those of a broadcast bit map. Some others stay: a join must follow."""
     bits = (len(bitmap.value) * 64).bit_length() - 1

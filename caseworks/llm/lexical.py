@@ -5,7 +5,8 @@ document's score is the sum over the query's distinct terms of weight times impa
 
 ``counted`` finds the number of documents and of their terms, ``indexed`` writes the index: per shard (some documents of
 one partition, at most about ``SHARD`` postings) and term the postings in blocks of ``BLOCK``, as gaps and frequencies
-of variable length, with each block's last document and largest impact. Texts are read twice and never shuffled.
+of variable length, with each block's last document and largest impact. Texts are read twice and never shuffled. An index
+for given queries leaves out lists that none of them reads, by a bit map of 4 MB of the hashes of their terms.
 
 ``ranked`` sends the lists of the queries' terms to the searcher of their group of shards, where the queries pass by
 (``met``). Lists are ordered by their bound, weight times largest impact. The lists whose bounds together cannot lift a
@@ -28,19 +29,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
 from caseworks.llm.flat_text import buffers
+from caseworks.llm.ids import bit_map, has
 from caseworks.llm.met import met
 from caseworks.llm.support import settled
 
 BLOCK = 128
-SHARD = 4_000_000  # postings
-WINDOW = 2048  # documents of a shard that are searched at once
+SHARD = 2_000_000  # postings
+PIECE = 1 << 17  # postings that are compressed at once
+WINDOW = 4096  # documents of a shard that are searched at once
 TOP = 50
+SPARK_SEED = 42  # of Spark's xxhash64
 SCALE, STEP, FREE, SHARE = 1_000_000_000, 1000, 20, 50  # the fixed numbers of the score
 # Bytes that are part of terms stay, with A-Z as a-z; all others become spaces.
 _TERM = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -106,8 +110,7 @@ def unpacked(data: np.ndarray) -> np.ndarray:
 
 # -- the index
 
-LISTS = "shard bigint, term binary, df bigint, last array<int>, most array<int>, place array<int>, data binary"
-INDEX = LISTS + ", doc_ids array<bigint>, sizes array<bigint>"
+INDEX = "shard bigint, term binary, df bigint, last array<int>, most array<int>, place array<int>, data binary, doc_ids array<bigint>, sizes array<bigint>"
 
 
 class _Shard:
@@ -129,64 +132,88 @@ class _Shard:
             self.sizes.append(own.total())
             self.postings += len(own)
 
-    def written(self, shard: int, documents: int, occurrences: int) -> Iterator[pa.RecordBatch]:
-        """A row per term, and one row with the documents."""
+    def written(self, shard: int, documents: int, occurrences: int, wanted: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+        """A row per term, or per term that a bit map has, and one row with the documents."""
         doc_ids, sizes = np.array(self.doc_ids, dtype=np.int64), np.array(self.sizes, dtype=np.int64)
         own = np.argsort(doc_ids, kind="stable")  # by doc_id, so that places break ties
-        number = np.empty(len(own), dtype=np.int64)
+        doc_ids, sizes = doc_ids[own], sizes[own]
+        number = np.empty(len(own), dtype=np.int32)
         number[own] = np.arange(len(own))
         term = np.concatenate([t for t, _ in self.parts])
         doc = np.repeat(number, [len(t) for t, _ in self.parts])
-        tf = np.concatenate([f for _, f in self.parts]).astype(np.int64)
+        tf = np.concatenate([f for _, f in self.parts])
+        self.parts.clear()
+        names = list(self.numbers)
+        if wanted is not None:
+            hashes = np.fromiter((xxh64_intdigest(name, SPARK_SEED) for name in names), dtype=np.uint64, count=len(names))
+            good = has(wanted, hashes.view(np.int64))
+            names = [name for name, own in zip(names, good.tolist()) if own]
+            kept = good[term]
+            term, doc, tf = (np.cumsum(good) - 1)[term[kept]].astype(np.int32), doc[kept], tf[kept]
         order = np.lexsort((doc, term))
-        term, doc, tf = term[order], doc[order], tf[order]
-        gain = impact(tf, sizes[own][doc], documents, occurrences)
-        df = np.bincount(term, minlength=len(self.numbers))
-        first = np.cumsum(df) - df
-        gap = doc.copy()
-        gap[1:] -= doc[:-1]
-        gap[first] = doc[first]
-        data, starts = packed(np.stack([gap, tf], axis=1).ravel())
-        # Blocks of a term: every BLOCK postings from its first one.
-        n_blocks = -(-df // BLOCK)
-        ends = np.cumsum(n_blocks)
-        block = np.repeat(first, n_blocks) + BLOCK * (np.arange(ends[-1]) - np.repeat(ends - n_blocks, n_blocks))
-        until = np.minimum(block + BLOCK, np.repeat(first + df, n_blocks))
-        begin = starts[2 * first]
-        names = np.array(list(self.numbers), dtype=object)
-        offsets = pa.array(np.append(0, ends), pa.int32())
-        rows = {
-            "shard": np.full(len(df), shard),
-            "term": pa.array(names, pa.binary()),
-            "df": pa.array(df, pa.int64()),
-            "last": pa.ListArray.from_arrays(offsets, pa.array(doc[until - 1], pa.int32())),
-            "most": pa.ListArray.from_arrays(offsets, pa.array(np.maximum.reduceat(gain, block), pa.int32())),
-            "place": pa.ListArray.from_arrays(offsets, pa.array(starts[2 * block] - np.repeat(begin, n_blocks), pa.int32())),
-            "data": pa.Array.from_buffers(pa.large_binary(), len(df), [None, pa.py_buffer(np.append(begin, len(data))), pa.py_buffer(data)]).cast(pa.binary()),
-            "doc_ids": pa.nulls(len(df), pa.list_(pa.int64())),
-            "sizes": pa.nulls(len(df), pa.list_(pa.int64())),
-        }
-        whole = pa.record_batch(rows)
-        for at in range(0, len(df), 10_000):
-            yield whole.slice(at, 10_000)
-        head = {name: pa.nulls(1, column.type) for name, column in zip(whole.schema.names, whole.columns)}
-        head |= {"shard": pa.array([shard], pa.int64()), "doc_ids": pa.array([doc_ids[own]], pa.list_(pa.int64())), "sizes": pa.array([sizes[own]], pa.list_(pa.int64()))}
-        yield pa.record_batch(head)
-
-
-def indexed(documents: DataFrame, n_documents: int, occurrences: int) -> DataFrame:
-    """The index: rows of lists (``term`` not NULL), and a row with the documents of each shard."""
+        doc, tf = doc[order], tf[order]
+        df = np.bincount(term, minlength=len(names))
+        del term, order
+        ends = np.cumsum(df)
+        a = 0
+        while a < len(df):  # some terms at a time
+            begin = ends[a] - df[a]
+            b = max(a + 1, min(a + 10_000, int(np.searchsorted(ends, begin + PIECE))))
+            one = slice(begin, ends[b - 1])
+            gain = impact(tf[one].astype(np.int64), sizes[doc[one]], documents, occurrences)
+            yield _lists(shard, names[a:b], df[a:b], doc[one].astype(np.int64), tf[one], gain)
+            a = b
+        rest = {field.name: pa.nulls(1, field.type) for field in _FIELDS}
+        rest |= {"shard": pa.array([shard], pa.int64()), "doc_ids": pa.array([doc_ids], pa.list_(pa.int64())), "sizes": pa.array([sizes], pa.list_(pa.int64()))}
+        yield pa.record_batch(rest)
+
+
+_FIELDS = pa.schema({
+    "shard": pa.int64(), "term": pa.binary(), "df": pa.int64(), "last": pa.list_(pa.int32()), "most": pa.list_(pa.int32()),
+    "place": pa.list_(pa.int32()), "data": pa.binary(), "doc_ids": pa.list_(pa.int64()), "sizes": pa.list_(pa.int64()),
+})
+
+
+def _lists(shard: int, names: list[bytes], df: np.ndarray, doc: np.ndarray, tf: np.ndarray, gain: np.ndarray) -> pa.RecordBatch:
+    """Rows of some terms, whose postings follow one another."""
+    first = np.cumsum(df) - df
+    gap = doc.copy()
+    gap[1:] -= doc[:-1]
+    gap[first] = doc[first]
+    data, starts = packed(np.stack([gap, tf], axis=1).ravel())
+    # Blocks of a term: every BLOCK postings from its first one.
+    n_blocks = -(-df // BLOCK)
+    ends = np.cumsum(n_blocks)
+    block = np.repeat(first, n_blocks) + BLOCK * (np.arange(ends[-1]) - np.repeat(ends - n_blocks, n_blocks))
+    until = np.minimum(block + BLOCK, np.repeat(first + df, n_blocks))
+    begin = starts[2 * first]
+    offsets = pa.array(np.append(0, ends), pa.int32())
+    numbers = {"last": doc[until - 1], "most": np.maximum.reduceat(gain, block), "place": starts[2 * block] - np.repeat(begin, n_blocks)}
+    bounds = pa.py_buffer(np.append(begin, len(data)).astype(np.int32))
+    rows = {"shard": np.full(len(df), shard), "term": pa.array(names, pa.binary()), "df": pa.array(df, pa.int64())}
+    rows |= {name: pa.ListArray.from_arrays(offsets, pa.array(values, pa.int32())) for name, values in numbers.items()}
+    rows["data"] = pa.Array.from_buffers(pa.binary(), len(df), [None, bounds, pa.py_buffer(data)])
+    rows |= {name: pa.nulls(len(df), pa.list_(pa.int64())) for name in ("doc_ids", "sizes")}
+    return pa.record_batch(rows)
+
+
+def indexed(documents: DataFrame, n_documents: int, occurrences: int, wanted: DataFrame | None = None) -> DataFrame:
+    """The index: rows of lists (``term`` not NULL), and a row with the documents of each shard. With ``wanted``, a
+    column of term hashes, other lists are left out."""
+    spark = documents.sparkSession
+    bits = None if wanted is None else spark.sparkContext.broadcast(bit_map(wanted, wanted.columns[0]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, number = _Shard(), TaskContext.get().partitionId() << 32
+        own = None if bits is None else bits.value
         for batch in batches:
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
                 shard.add(doc_id, text.as_py())
                 if shard.postings >= SHARD:
-                    yield from shard.written(number, n_documents, occurrences)
+                    yield from shard.written(number, n_documents, occurrences, own)
                     shard, number = _Shard(), number + 1
         if shard.postings:
-            yield from shard.written(number, n_documents, occurrences)
+            yield from shard.written(number, n_documents, occurrences, own)
 
     return _rows(documents).mapInArrow(run, INDEX)
 
@@ -329,17 +356,20 @@ def query_terms(items: DataFrame) -> DataFrame:
 def ranked(documents: DataFrame, items: DataFrame, k: int = TOP) -> DataFrame:
     """item_id, rank, doc_id and score of the k best documents of each item."""
     n_documents, occurrences = counted(documents)
-    index = settled(indexed(documents, n_documents, occurrences))
     wanted = settled(query_terms(items))
     known = wanted.select("term").distinct()
-    held = settled(index.join(known, "term", "left_semi"))
+    index = settled(indexed(documents, n_documents, occurrences, known.select(F.xxhash64("term"))))
+    lists = index.join(known, "term", "left_semi")
     share = (2.0 * n_documents + 2) / (2 * F.sum("df") + 1)
-    weights = held.groupBy("term").agg(F.floor(1000 * F.log(share)).alias("weight"))
+    weights = lists.groupBy("term").agg(F.floor(1000 * F.log(share)).alias("weight"))
     words = wanted.join(weights.filter("weight > 0"), "term").groupBy("item_id").agg(F.collect_list(F.struct("term", "weight")).alias("words"))
     shards = index.filter("term IS NULL")
-    n_groups = max(1, shards.count())
-    group = F.pmod(F.xxhash64("shard"), F.lit(n_groups)).cast("int").alias("block")
-    rows = held.unionByName(shards).select("*", group)
+    # Shards are numbered by partition and place in it; dealt in that order, their groups are of one size.
+    partition, place = F.expr("shard >> 32"), F.expr("shard & 4294967295")
+    n_shards, most = shards.agg(F.count(F.lit(1)), F.max(place)).first()
+    n_groups = max(1, n_shards)
+    group = F.pmod(partition * ((most or 0) + 1) + place, F.lit(n_groups)).cast("int").alias("block")
+    rows = lists.unionByName(shards).select("*", group)
     found = met(rows, settled(words), n_groups, _searched(n_documents, occurrences, k), "item_id bigint, doc_id bigint, score bigint")
     place = F.row_number().over(Window.partitionBy("item_id").orderBy(F.desc("score"), "doc_id"))
     return found.withColumn("rank", place).filter(F.col("rank") <= k).select("item_id", "rank", "doc_id", "score")

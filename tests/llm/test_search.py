@@ -235,7 +235,7 @@ def corpus():
     return texts, items
 
 
-@pytest.mark.parametrize("shard", [4_000_000, 3000])
+@pytest.mark.parametrize("shard", [2_000_000, 3000])
 def test_lexical_search_equals_brute_force(spark, corpus, monkeypatch, shard):
     monkeypatch.setattr(lexical, "SHARD", shard)
     monkeypatch.setattr(lexical, "WINDOW", 256)
