@@ -8,6 +8,7 @@ from typing import Any
 from pyspark.sql import DataFrame
 
 from caseworks.plans import activity, appointments, attendance, bonus, revenue, staging
+from caseworks.sources import landing
 
 # Looks up a raw input by name; only the inputs a table needs are opened. Known names:
 #   benef, rdv, facture, bonus_sheet, business_units -> DataFrame
@@ -53,7 +54,8 @@ INTERMEDIATE: dict[str, Callable[[Source], DataFrame]] = {
 }
 
 
-def publish(source: Source, path: str, names: Iterable[str] = MARTS) -> None:
-    """Write the named decision tables as parquet under ``path``, each replacing its former state."""
+def publish(source: Source, path: str, names: Iterable[str] = MARTS, keep: int = 0) -> None:
+    """Write the named decision tables under ``path``, each taking the place of its former state in one step. A table
+    whose plan fails keeps its former state. ``sources.tables.read`` reads them; ``keep`` former versions stay."""
     for name in names:
-        MARTS[name](source).write.mode("overwrite").parquet(f"{path}/{name}")
+        landing.replace(MARTS[name](source), f"{path}/{name}", keep=keep)

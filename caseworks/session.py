@@ -30,9 +30,12 @@ def local_session(cores: str = "8", name: str = "caseworks", **settings: str) ->
 def shared_folder(spark: SparkSession) -> str:
     """The folder named in ``spark.checkpoint.dir``, which every executor can read and write.
 
-    A session that names none, as in tests, gets one folder of its own.
+    Only a session on one machine that names none, as in tests, gets a folder of its own; on a cluster that is an error.
     """
-    return spark.conf.get(CHECKPOINT_SETTING, None) or _own_folder()
+    folder = spark.conf.get(CHECKPOINT_SETTING, None)
+    if not folder and not spark.sparkContext.master.partition("[")[0] == "local":
+        raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that driver and executors share")
+    return folder or _own_folder()
 
 
 @cache

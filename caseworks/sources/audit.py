@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseworks.sources.landing import REJECT, STAMP
+from caseworks.sources.tables import Table
 
 
 def load_report(landed: DataFrame, table: str = "table") -> DataFrame:
@@ -29,3 +30,10 @@ def load_totals(report: DataFrame) -> DataFrame:
         F.count_if(~F.col("success")).alias("failed"),
         F.sum("total_records").alias("total_records"),
     )
+
+
+def stream_report(spark: SparkSession, path: str) -> DataFrame:
+    """One row per committed load of a table, from its log alone: no landed row is read again."""
+    return Table(spark, path).log().select(
+        "load", F.col("rows").alias("total_records"), "rejected", F.col("last_stamp").alias("last_extracted_at"), (F.col("rows") > 0).alias("success")
+    )

@@ -5,12 +5,13 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from caseworks.operators.reshape import quoted
 from caseworks.operators.rows import deduplicate
+from caseworks.sources.tables import Loaded, Table
 
 REJECT = "_corrupt_record"
 # Lineage column, and the signs replaced by '_' in field names.
@@ -95,18 +96,15 @@ def quarantine(landed: DataFrame, folder: str, dataset: str, table: str, moment:
     return path
 
 
-def append(df: DataFrame, path: str) -> Observation:
-    """Append; the observation gives the row count of the same pass."""
-    seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(path)
-    return seen
+def append(df: DataFrame, path: str, load: str | None = None) -> Loaded:
+    """Append once per ``load``: running a load again, after a failure or not, adds nothing. Gives the row count of
+    the same pass."""
+    return Table(df.sparkSession, path).append(df, load)
 
 
-def replace(df: DataFrame, path: str) -> Observation:
-    """Replace the whole table; the observation gives the row count of the same pass."""
-    seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
-    return seen
+def replace(df: DataFrame, path: str, load: str | None = None, keep: int = 0) -> Loaded:
+    """Replace the whole table in one step; if that fails, the old table stays. Gives the row count of the same pass."""
+    return Table(df.sparkSession, path).replace(df, load, keep)
 
 
 def latest(df: DataFrame, keys: Sequence[str], tie_break: Sequence[str] = ()) -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import zlib
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,9 +11,7 @@ from pyspark.sql import functions as F
 from caseworks.functions import text, values
 from caseworks.operators import reports, reshape, rows
 from caseworks.plans import staging
-from caseworks.session import remove_folder, shared_folder
 from caseworks.sources import audit, landing
-from caseworks.streaming.landing import LANDED, land_new
 from caseworks.workload import domain
 from caseworks.workload.domain import read
 from caseworks.workload.mart_checks import ATTENDANCE, enrolment_sql
@@ -597,51 +594,3 @@ def latest_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The newest accepted document of each conversation and role after repeated loads."""
     good = landing.accepted(_landed(spark, sf_dir)).select("conv_id", "role", "text", landing.STAMP)
     return landing.latest(good, ["conv_id", "role"])
-
-
-def _streamed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Land the turns as JSON text by streams: all of them, then corrected copies of every fifth, then copies of every
-    third from files of an older time. Gives the landed documents and the rejects; each run replaces the last."""
-    folder = f"{shared_folder(spark)}/stream-landing-{zlib.crc32(sf_dir.encode()):08x}"
-    remove_folder(spark, folder)
-    path, schema = f"{sf_dir}/conversations.parquet", read(spark, sf_dir, "conversations").schema
-
-    def run(number: int, moment: Column, text: Column, keep: Column) -> None:
-        turns = spark.readStream.schema(schema).parquet(f"{path}*").filter(keep).withColumn("text", text)
-        whole = F.to_json(F.struct(F.col("conv_id").alias("$id"), "turn", "role", "text"))
-        broken = F.when((F.col("conv_id") + F.col("turn")) % 7 == 0, F.left(whole, F.lit(8))).otherwise(whole)
-        lines = turns.select(moment.alias(LANDED), broken.alias("value"))
-        documents = landing.parse_documents(lines, "`$id` bigint, turn bigint, role string, text string")
-        run_folder = f"{folder}/run{number}"
-        land_new(documents, f"{run_folder}/table", f"{run_folder}/rejects", f"{run_folder}/progress").awaitTermination()
-
-    first, older = F.lit("2024-05-01 06:00:00").cast("timestamp"), F.lit("2024-04-01 06:00:00").cast("timestamp")
-    run(0, first, F.col("text"), F.lit(True))
-    run(1, first + F.expr("INTERVAL 1 HOUR"), F.concat(F.lit("corrected "), F.col("text")), F.col("turn") % 5 == 0)
-    run(2, older, F.concat(F.lit("late "), F.col("text")), F.col("turn") % 3 == 0)
-    landed = [spark.read.parquet(f"{folder}/run{number}/table") for number in range(3)]
-    kept = [spark.read.text(f"{folder}/run{number}/rejects") for number in range(3)]
-    return reduce(DataFrame.unionByName, landed), reduce(DataFrame.unionByName, kept)
-
-
-@query(
-    """SELECT conv_id AS _id, turn, role, CASE WHEN turn % 5 = 0 THEN 'corrected ' || text ELSE text END AS text,
-      1 + (turn % 5 = 0)::INT + (turn % 3 = 0)::INT AS copies
-    FROM conversations WHERE (conv_id + turn) % 7 <> 0"""
-)
-def stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversation turns landed by a stream with resends and a late file: the newest copy and the number of copies."""
-    landed, _ = _streamed(spark, sf_dir)
-    copies = landed.groupBy("_id", "turn").agg(F.count(F.lit(1)).cast("int").alias("copies"))
-    newest = landing.latest(landed.select("_id", "turn", "role", "text", landing.STAMP), ["_id", "turn"])
-    return newest.select("_id", "turn", "role", "text").join(copies, ["_id", "turn"])
-
-
-@query(
-    """SELECT left(to_json({'$id': conv_id}), 8) AS value, sum(1 + (turn % 5 = 0)::INT + (turn % 3 = 0)::INT)::BIGINT AS n
-    FROM conversations WHERE (conv_id + turn) % 7 = 0 GROUP BY 1"""
-)
-def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the stream could not parse, kept as it came."""
-    _, kept = _streamed(spark, sf_dir)
-    return kept.groupBy("value").agg(F.count(F.lit(1)).alias("n"))

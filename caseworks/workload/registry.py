@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseworks.plans.marts import INTERMEDIATE, MARTS
-from caseworks.workload import check_queries, domain, operator_queries, source_queries
+from caseworks.workload import check_queries, domain, load_queries, operator_queries, source_queries
 from caseworks.workload.mart_checks import mart_sql
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,9 +40,9 @@ def _mart(name: str) -> Query:
 
 def queries() -> dict[str, Query]:
     built = {name: _mart(name) for name in MARTS | INTERMEDIATE}
-    built |= operator_queries.QUERIES | check_queries.QUERIES | source_queries.QUERIES
+    built |= operator_queries.QUERIES | check_queries.QUERIES | source_queries.QUERIES | load_queries.QUERIES
     return {name: _portable(build) for name, build in built.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return mart_sql() | operator_queries.CHECKS | check_queries.CHECKS | source_queries.CHECKS
+    return mart_sql() | operator_queries.CHECKS | check_queries.CHECKS | source_queries.CHECKS | load_queries.CHECKS

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from caseworks.plans import marts
 from caseworks.schemas import BONUS_LINE_COLUMNS
 from caseworks.session import remove_folder, shared_folder
-from caseworks.sources import files, landing
+from caseworks.sources import files, landing, tables
 from caseworks.workload import domain, mart_checks
 from caseworks.workload.domain import read
 
@@ -85,10 +85,10 @@ def append_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
         landing.append(landing.stamp(rows, F.lit(f"{day} 08:00:00").cast("timestamp_ntz")), f"{path}/appended")
     for rows in (corrected, customer):
         landing.replace(landing.stamp(rows), f"{path}/replaced")
-    landed = spark.read.parquet(f"{path}/appended")
+    landed = tables.read(spark, f"{path}/appended")
     copies = landed.groupBy("c_custkey").agg(F.count(F.lit(1)).cast("int").alias("copies"))
     newest = landing.latest(landed, ["c_custkey"]).drop(landing.STAMP).join(copies, "c_custkey")
-    replaced = spark.read.parquet(f"{path}/replaced").agg(F.count(F.lit(1)).alias("in_replaced"))
+    replaced = tables.read(spark, f"{path}/replaced").agg(F.count(F.lit(1)).alias("in_replaced"))
     return newest.withColumn("in_replaced", replaced.scalar())
 
 
@@ -127,4 +127,4 @@ def publish_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _folder(spark, sf_dir, "marts")
     for _ in range(2):
         marts.publish(domain.source(spark, sf_dir), path, ["mrt_facture"])
-    return spark.read.parquet(f"{path}/mrt_facture")
+    return tables.read(spark, f"{path}/mrt_facture")
