@@ -10,14 +10,18 @@ probability of about 5 in a million.
 Equal sets are one class and take part once, by their smallest doc_id. The centre of a bucket is the member that
 shares most buckets with others; in a group of copies that is their origin. A document is compared, on the full sets,
 with the best centre of all its buckets, and in buckets whose members have several best centres and are not yet one
-component also with that bucket's centre. Such stars link most of a group. For two members L and M of one star that
-are still apart, let a be what each shares with the centre and r the rest of it. If their rests have nothing in
-common, their similarity is at most min(a) / (max(a) + r(L) + r(M)); pairs for which that reaches 0.75 are compared
-directly. All others must share part of their rests: at least 0.75 n - a shingles each. So the rests of the members
-are grouped by shingle, and each member keeps its rarest shared ones, as many as a partner cannot avoid (a prefix
-filter). Those small buckets get centres in turn, four times as many each round, until every bucket lies in one
-component or all its members have been centres. No bucket is capped and no link between members of a bucket is lost,
-yet pairs stay few.
+component also with that bucket's centre. Such stars link most of a group, and any two members of a bucket that are
+still apart have a star in common.
+
+Within a star, every member L is told by D(L), the shingles that only one of it and the centre has. A pair of n and m
+shingles is alike (0.75) exactly if D(L) and D(M) have at least o = (|D(L)| + |D(M)| - (n + m) / 7) / 2 shingles in
+common, which is at least one if either is not linked with the centre. In a common order a pair with o shingles in
+common has k of them among the first |D| - o + k of each side, for every k up to o (a prefix filter; k is ``SHARED``).
+First come shingles that are in D of one component only, which no two members apart have in common, then rare ones. As
+o depends on the partner, members are classed by |D| and by size, in steps of three percent, and a member shows each
+class that its star has a prefix made for it. Near copies with changes of their own and excerpts with endings of their
+own so seldom share enough to be compared. Pairs that do are compared on the full sets, once; no bucket is capped and
+no link between members of a bucket is lost.
 
 Results for odd rows: without text or words the set is empty and linked with nothing; fewer than five words make
 one shingle of all words. Rows without a doc_id are linked with nothing and are kept. Rows that share a doc_id
@@ -26,6 +30,9 @@ are one document. Repeated rows give repeated result rows. An empty table gives
 
 from __future__ import annotations
 
+import math
+from functools import cache
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -39,11 +46,14 @@ from caseworks.llm.support import in_parts, packed, settled
 WORDS = 5
 SIMILAR = 75  # percent
 BINS, BAND = 128, 4
-GROWTH = 4  # times as many centres per bucket in each further round
 FEW_IDS = 500_000  # ids of 8 bytes that are sent to every task; with more the join shuffles
 # (fewest shingles, most shingles, salted copies of each)
 CLASSES = ((1, 64, 64), (49, 512, 8), (385, None, 1))
 _U = np.uint64
+STEP = 1.03  # between classes of sizes
+SHARED = 6  # shingles of their prefixes that a pair has in common before it is compared
+SHOWN_ROWS = 256  # members whose keys are made at once
+SHOWN = ("key", "side", "b", "root", "differ", "size")
 _SALTS = constants(21, 64)
 _FACTORS = constants(22, BINS) | _U(1)
 _EMPTY = _U(2**64 - 1)
@@ -163,32 +173,31 @@ def _compared(batches):
             })
 
 
-def _rests(batches):
+def _differences(batches):
     for batch in batches:
         for at, to, sets in _paired_sets(batch):
-            rests = [np.setdiff1d(b, a, assume_unique=True) for a, b in sets]
-            owner = pa.array(np.repeat(np.arange(at, to), [len(r) for r in rests]))
+            own = [np.setxor1d(a, b, assume_unique=True) for a, b in sets]
+            owner = pa.array(np.repeat(np.arange(at, to), [len(d) for d in own]))
             yield pa.record_batch({
-                "a": batch.column("a").take(owner),
-                "b": batch.column("b").take(owner),
-                "shingle": signed(np.concatenate(rests)),
+                **{c: batch.column(c).take(owner) for c in ("a", "b", "root")},
+                "shingle": signed(np.concatenate(own)),
             })
 
 
 def _with_texts(pairs: DataFrame, documents: DataFrame) -> DataFrame:
-    """The pairs (a, b) with both texts."""
+    """The pairs (a, b), and what else their rows have, with both texts."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     texts = possible(_texts(documents), "doc_id", documents.sparkSession.sparkContext.broadcast(bit_map(wanted, "id")))
     # The centres first: they are the hot side. The comparison itself is then dealt by the other member.
-    with_a = pairs.select("a", "b").join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
+    with_a = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
     with_a = in_parts(with_a, pairs.count(), each=1000)
     with_both = with_a.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-    return with_both.select("a", "b", "text_a", "text_b")
+    return with_both.select(*pairs.columns, "text_a", "text_b")
 
 
 def compared(pairs: DataFrame, documents: DataFrame) -> DataFrame:
     """The pairs with the sizes of both sets, what they share, and whether that makes a link."""
-    rows = _with_texts(pairs, documents).mapInArrow(_compared, "a bigint, b bigint, shared bigint, na bigint, nb bigint")
+    rows = _with_texts(pairs.select("a", "b"), documents).mapInArrow(_compared, "a bigint, b bigint, shared bigint, na bigint, nb bigint")
     return rows.withColumn("linked", 100 * F.col("shared") >= SIMILAR * (F.col("na") + F.col("nb") - F.col("shared")))
 
 
@@ -227,30 +236,84 @@ def _split_buckets(placed: DataFrame, best: DataFrame, roots: DataFrame) -> Data
     return rows.join(settled(split), "key").filter("rep != centre").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
 
 
-def _direct(apart: DataFrame) -> DataFrame:
-    """Pairs of star members that may be alike though they share nothing outside the centre."""
-    able = apart.filter("shared >= 3 * rest")
-    one = able.filter("NOT linked").select("a", F.col("b").alias("x"), F.col("shared").alias("sx"), F.col("rest").alias("rx"), F.col("root").alias("ox"))
-    pairs = able.join(one, "a").filter(
-        "root != ox AND (linked OR b > x) AND 4 * least(shared, sx) >= 3 * (greatest(shared, sx) + rest + rx)"
-    )
-    return pairs.select(F.least("b", "x").alias("a"), F.greatest("b", "x").alias("b")).distinct()
+@cache
+def _class_bounds() -> np.ndarray:
+    """The smallest size of each class."""
+    bounds = [0, 1]
+    while bounds[-1] < 1 << 40:
+        bounds.append(max(bounds[-1] + 1, math.ceil(bounds[-1] * STEP)))
+    return np.array(bounds)
 
 
-def _rest_buckets(apart: DataFrame, documents: DataFrame) -> DataFrame:
-    """Rows (key, rep): star members by the shingles, unknown to the centre, that they share with one another."""
-    rests = _with_texts(apart, documents).mapInArrow(_rests, "a bigint, b bigint, shingle bigint")
-    rests = settled(rests.join(apart.select("a", "b", "shared", "nb", "root"), ["a", "b"]))
-    known = rests.groupBy("a", "shingle").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("r1"), F.max("root").alias("r2"))
-    rests = rests.join(known.filter("r1 != r2").select("a", "shingle", "n"), ["a", "shingle"])
-    per = rests.groupBy("a", "b").agg(
-        F.sort_array(F.collect_set(F.struct("n", "shingle"))).alias("rest"), F.first("shared").alias("shared"), F.first("nb").alias("nb")
-    )
-    # What any partner must share of the rest, at least.
-    need = F.greatest(F.lit(1), F.ceil(F.col("nb") * SIMILAR / 100) - F.col("shared"))
-    per = per.withColumn("keep", F.size("rest") - need + 1).filter("keep > 0")
-    rarest = F.explode(F.slice("rest", F.lit(1), F.col("keep").cast("int"))).alias("s")
-    return per.select("a", F.col("b").alias("rep"), rarest).select(F.xxhash64("a", "s.shingle").alias("key"), "rep").distinct()
+def _classes(sizes: np.ndarray | int) -> np.ndarray:
+    return np.searchsorted(_class_bounds(), sizes, side="right") - 1
+
+
+def _classed(batches):
+    for batch in batches:
+        yield pa.record_batch({
+            **{c: batch.column(c) for c in ("a", "root")},
+            **{c: _classes(batch.column(c).to_numpy()) for c in ("differ", "nb")},
+        })
+
+
+def _prefix(own: np.ndarray, differ: int, size: int, root: int, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each kind of partner (rows: class of |D|, class of size, smallest and largest component) the number of
+    shingles of ``own`` to show it, and the keys of all of them. ``own`` are the shingles of D that others of several
+    components have, rarest first."""
+    bounds = _class_bounds()
+    d, n = kinds[:, 0], kinds[:, 1]
+    low, high, smallest, largest = bounds[d], bounds[d + 1] - 1, bounds[n], bounds[n + 1] - 1
+    need = np.maximum(1, -((size + largest - 7 * (differ + low)) // 14))
+    able = (need <= np.minimum(differ, high)) & (4 * largest >= 3 * size) & (4 * size >= 3 * smallest)
+    able &= (kinds[:, 2] != root) | (kinds[:, 3] != root)
+    able &= need <= len(own)  # the others of D come first and are in no other component's
+    shown = np.where(able, len(own) - need + np.minimum(need, SHARED), 0)
+    place = np.arange(shown.sum()) - np.repeat(np.cumsum(shown) - shown, shown)
+    return shown, own[place]
+
+
+def _shown(batches):
+    """The keys under which a member meets partners of each class."""
+    star, table = None, None
+    for whole in batches:
+        for at in range(0, whole.num_rows, SHOWN_ROWS):
+            batch, out = whole.slice(at, SHOWN_ROWS), []
+            ends, values = (x.to_numpy() for x in (batch.column("own").offsets, batch.column("own").values))
+            rows = (batch.column(c).to_numpy().tolist() for c in ("a", "b", "root", "differ", "nb"))
+            for i, (a, b, root, differ, size) in enumerate(zip(*rows)):
+                if a != star:
+                    star, table = a, np.array([list(k.values()) for k in batch.column("kinds")[i].as_py()])
+                shown, shingles = _prefix(values[ends[i] : ends[i + 1]], differ, size, root, table)
+                mine = int(_classes(differ)) << 20 | int(_classes(size))
+                theirs = np.repeat(table[:, 0] << 20 | table[:, 1], shown)
+                low, high = np.minimum(mine, theirs).astype(_U), np.maximum(mine, theirs).astype(_U)
+                key = mix(mix(mix(shingles.view(_U) ^ _U(a % 2**64)) ^ low) ^ high)
+                own = [np.full(len(key), value) for value in (b, root, differ, size)]
+                out.append((signed(key), np.sign(theirs - mine), *own))
+            yield pa.record_batch([np.concatenate(column) for column in zip(*out)], list(SHOWN))
+
+
+def _possible_pairs(apart: DataFrame, documents: DataFrame) -> DataFrame:
+    """Pairs (a, b) of members of one star, of different components, that may be alike."""
+    rows = apart.select("a", "b", "root")
+    shingles = settled(_with_texts(rows, documents).mapInArrow(_differences, "a bigint, b bigint, root bigint, shingle bigint"))
+    known = shingles.groupBy("a", "shingle").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("r1"), F.max("root").alias("r2"))
+    own = shingles.join(settled(known.filter("r1 != r2").select("a", "shingle", "n")), ["a", "shingle"])
+    own = own.groupBy("a", "b").agg(F.sort_array(F.collect_list(F.struct("n", "shingle")))["shingle"].alias("own"))
+    sizes = apart.select("a", "b", "root", (F.col("na") + F.col("nb") - 2 * F.col("shared")).alias("differ"), "nb")
+    kinds = sizes.mapInArrow(_classed, "a bigint, root bigint, differ bigint, nb bigint")
+    kinds = kinds.groupBy("a", "differ", "nb").agg(F.min("root").alias("r1"), F.max("root").alias("r2"))
+    kinds = settled(kinds.groupBy("a").agg(F.collect_list(F.struct("differ", "nb", "r1", "r2")).alias("kinds")))
+    members = own.join(sizes, ["a", "b"]).join(kinds, "a").select("a", "b", "root", "differ", "nb", "own", "kinds")
+    shown = settled(members.mapInArrow(_shown, ", ".join(f"{name} bigint" for name in SHOWN)))
+    several = shown.groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).filter("r1 != r2").select("key")
+    met = settled(shown.join(settled(several), "key"))
+    other = met.select("key", *[F.col(name).alias(f"_{name}") for name in SHOWN[1:]])
+    pairs = met.join(other, "key").filter("root != _root AND b < _b AND side = -_side")
+    need = F.ceil((7 * (F.col("differ") + F.col("_differ")) - F.col("size") - F.col("_size")) / 14)
+    pairs = pairs.groupBy(F.col("b").alias("a"), F.col("_b").alias("b")).agg(F.count(F.lit(1)).alias("n"), F.min(need).alias("need"))
+    return pairs.filter(F.col("n") >= F.least(F.col("need"), F.lit(SHARED))).select("a", "b")
 
 
 def linked(classes: DataFrame, documents: DataFrame) -> DataFrame:
@@ -265,43 +328,21 @@ def linked(classes: DataFrame, documents: DataFrame) -> DataFrame:
     links = stars.filter("linked").select("a", "b")
     roots = settled(components(links))
     roots = in_parts(roots, roots.count())
-    apart = _rooted(stars.withColumn("rest", F.col("nb") - F.col("shared")), roots, "b")
+    apart = _rooted(stars, roots, "b")
     open_stars = apart.groupBy("a").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).filter("r1 != r2").select("a")
     apart = settled(apart.join(open_stars, "a"))
     n_apart = apart.count()
     if not n_apart:
         return roots
-    apart = in_parts(apart, n_apart)
-    members = _members(_rest_buckets(apart, documents))
-    members = in_parts(members, members.count())
-    tried, pairs, low = stars.select("a", "b"), settled(_direct(apart)), 1
-    while True:
-        n_pairs = pairs.count()
-        if n_pairs:
-            pairs = in_parts(pairs, n_pairs)
-            found = settled(compared(pairs, documents).filter("linked").select("a", "b"))
-            n_found = found.count()
-            if n_found:
-                # The links between what was found so far are its roots.
-                links = in_parts(found, n_found).unionAll(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
-                roots = settled(components(links))
-                roots = in_parts(roots, roots.count())
-            tried = tried.unionAll(pairs)
-        rows = _rooted(members.filter(F.col("size") > low), roots, "rep")
-        split = rows.groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).filter("r1 != r2").select("key")
-        rows = settled(rows.join(split, "key"))
-        n_rows = rows.count()
-        if not n_rows:
-            return roots
-        rows = in_parts(rows, n_rows)
-        place = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("weight"), "rep"))
-        centres = rows.withColumn("place", place).filter(F.col("place") < GROWTH * low).filter(F.col("place") >= low)
-        centres = centres.select("key", F.col("rep").alias("c"), F.col("weight").alias("wc"), F.col("root").alias("rc"))
-        met = rows.join(centres, "key").filter("root != rc AND (weight < wc OR weight = wc AND rep > c)")
-        met = met.select(F.col("c").alias("a"), F.col("rep").alias("b")).distinct()
-        swapped = tried.select(F.col("b").alias("a"), F.col("a").alias("b"))
-        pairs = settled(met.join(tried.unionAll(swapped), ["a", "b"], "left_anti"))
-        low *= GROWTH
+    pairs = settled(_possible_pairs(in_parts(apart, n_apart), documents))
+    n_pairs = pairs.count()
+    if not n_pairs:
+        return roots
+    found = settled(compared(in_parts(pairs, n_pairs), documents).filter("linked").select("a", "b"))
+    # The links between what was found so far are its roots.
+    links = in_parts(found, found.count()).unionAll(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
+    roots = settled(components(links))
+    return in_parts(roots, roots.count())
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:

@@ -146,6 +146,32 @@ def test_a_group_without_a_common_middle_is_still_one(spark):
 # -- substrings
 
 
+@pytest.mark.parametrize("kind", ["excerpts", "near copies"])
+def test_pairs_of_a_group_grow_with_its_members(spark, monkeypatch, kind):
+    """400 documents alike in part: excerpts of one text with endings of their own, or copies with words of their own.
+    Few pairs are compared, and no link is lost."""
+    draw, base = random.Random(7), [f"b{i}" for i in range(900)]
+    rows = []
+    for i in range(400):
+        if kind == "excerpts":
+            start, size = draw.randrange(200), draw.randrange(400, 700)
+            own = base[start : start + size] + [f"o{i}x{j}" for j in range(draw.randrange(20, 250))]
+        else:
+            own = [f"o{i}x{j}" if draw.random() < 0.03 else w for j, w in enumerate(base[:400])]
+        rows.append((i, " ".join(own)))
+    compared, counts = minhash.compared, []
+
+    def counted(pairs, documents):
+        counts.append(pairs.count())
+        return compared(pairs, documents)
+
+    monkeypatch.setattr(minhash, "compared", counted)
+    got = minhash.op3_minhash_near_dedup(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute.near_duplicates(rows)
+    assert sum(counts) < 2500, counts
+
+
+
 def test_substrings_on_odd_rows(odd_documents):
     rows = passages.op8_substring_dedup(odd_documents).collect()
     assert len(rows) == odd_documents.count()
