@@ -51,7 +51,7 @@ FEW_IDS = 500_000  # ids of 8 bytes that are sent to every task; with more the j
 CLASSES = ((1, 64, 64), (49, 512, 8), (385, None, 1))
 _U = np.uint64
 STEP = 1.03  # between classes of sizes
-SHARED = 6  # shingles of their prefixes that a pair has in common before it is compared
+SHARED = 4  # shingles of their prefixes that a pair has in common before it is compared
 SHOWN_ROWS = 256  # members whose keys are made at once
 SHOWN = ("key", "side", "b", "root", "differ", "size")
 _SALTS = constants(21, 64)
@@ -252,22 +252,23 @@ def _classes(sizes: np.ndarray | int) -> np.ndarray:
 def _classed(batches):
     for batch in batches:
         yield pa.record_batch({
-            **{c: batch.column(c) for c in ("a", "root")},
+            **{c: batch.column(c) for c in ("a", "root", "several")},
             **{c: _classes(batch.column(c).to_numpy()) for c in ("differ", "nb")},
         })
 
 
 def _prefix(own: np.ndarray, differ: int, size: int, root: int, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each kind of partner (rows: class of |D|, class of size, smallest and largest component) the number of
-    shingles of ``own`` to show it, and the keys of all of them. ``own`` are the shingles of D that others of several
-    components have, rarest first."""
+    """For each kind of partner (rows: class of |D|, class of size, smallest and largest component, most shingles like
+    ``own``) the number of shingles of ``own`` to show it, and all of these. ``own`` are the shingles of D that members
+    of several components have, rarest first."""
     bounds = _class_bounds()
     d, n = kinds[:, 0], kinds[:, 1]
     low, high, smallest, largest = bounds[d], bounds[d + 1] - 1, bounds[n], bounds[n + 1] - 1
     need = np.maximum(1, -((size + largest - 7 * (differ + low)) // 14))
     able = (need <= np.minimum(differ, high)) & (4 * largest >= 3 * size) & (4 * size >= 3 * smallest)
     able &= (kinds[:, 2] != root) | (kinds[:, 3] != root)
-    able &= need <= len(own)  # the others of D come first and are in no other component's
+    # The others of D come first and are in no other component's.
+    able &= need <= np.minimum(len(own), kinds[:, 4])
     shown = np.where(able, len(own) - need + np.minimum(need, SHARED), 0)
     place = np.arange(shown.sum()) - np.repeat(np.cumsum(shown) - shown, shown)
     return shown, own[place]
@@ -302,10 +303,12 @@ def _possible_pairs(apart: DataFrame, documents: DataFrame) -> DataFrame:
     own = shingles.join(settled(known.filter("r1 != r2").select("a", "shingle", "n")), ["a", "shingle"])
     own = own.groupBy("a", "b").agg(F.sort_array(F.collect_list(F.struct("n", "shingle")))["shingle"].alias("own"))
     sizes = apart.select("a", "b", "root", (F.col("na") + F.col("nb") - 2 * F.col("shared")).alias("differ"), "nb")
-    kinds = sizes.mapInArrow(_classed, "a bigint, root bigint, differ bigint, nb bigint")
-    kinds = kinds.groupBy("a", "differ", "nb").agg(F.min("root").alias("r1"), F.max("root").alias("r2"))
-    kinds = settled(kinds.groupBy("a").agg(F.collect_list(F.struct("differ", "nb", "r1", "r2")).alias("kinds")))
-    members = own.join(sizes, ["a", "b"]).join(kinds, "a").select("a", "b", "root", "differ", "nb", "own", "kinds")
+    members = settled(own.join(sizes, ["a", "b"]))
+    kinds = members.select("a", "root", F.size("own").cast("bigint").alias("several"), "differ", "nb")
+    kinds = kinds.mapInArrow(_classed, "a bigint, root bigint, several bigint, differ bigint, nb bigint")
+    kinds = kinds.groupBy("a", "differ", "nb").agg(F.min("root").alias("r1"), F.max("root").alias("r2"), F.max("several").alias("several"))
+    kinds = settled(kinds.groupBy("a").agg(F.collect_list(F.struct("differ", "nb", "r1", "r2", "several")).alias("kinds")))
+    members = members.join(kinds, "a").select("a", "b", "root", "differ", "nb", "own", "kinds")
     shown = settled(members.mapInArrow(_shown, ", ".join(f"{name} bigint" for name in SHOWN)))
     several = shown.groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).filter("r1 != r2").select("key")
     met = settled(shown.join(settled(several), "key"))
