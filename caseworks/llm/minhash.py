@@ -53,6 +53,7 @@ _U = np.uint64
 STEP = 1.03  # between classes of sizes
 SHARED = 4  # shingles of their prefixes that a pair has in common before it is compared
 SHOWN_ROWS = 256  # members whose keys are made at once
+SHOWN_MEMBERS = 1024  # members whose keys a task makes
 SHOWN = ("key", "side", "b", "root", "differ", "size")
 _SALTS = constants(21, 64)
 _FACTORS = constants(22, BINS) | _U(1)
@@ -295,7 +296,7 @@ def _shown(batches):
             yield pa.record_batch([np.concatenate(column) for column in zip(*out)], list(SHOWN))
 
 
-def _possible_pairs(apart: DataFrame, documents: DataFrame) -> DataFrame:
+def _possible_pairs(apart: DataFrame, n_apart: int, documents: DataFrame) -> DataFrame:
     """Pairs (a, b) of members of one star, of different components, that may be alike."""
     rows = apart.select("a", "b", "root")
     shingles = settled(_with_texts(rows, documents).mapInArrow(_differences, "a bigint, b bigint, root bigint, shingle bigint"))
@@ -308,7 +309,9 @@ def _possible_pairs(apart: DataFrame, documents: DataFrame) -> DataFrame:
     kinds = kinds.mapInArrow(_classed, "a bigint, root bigint, several bigint, differ bigint, nb bigint")
     kinds = kinds.groupBy("a", "differ", "nb").agg(F.min("root").alias("r1"), F.max("root").alias("r2"), F.max("several").alias("several"))
     kinds = settled(kinds.groupBy("a").agg(F.collect_list(F.struct("differ", "nb", "r1", "r2", "several")).alias("kinds")))
+    # A hot star's members are dealt out again: each task makes the keys of about as many members.
     members = members.join(kinds, "a").select("a", "b", "root", "differ", "nb", "own", "kinds")
+    members = members.repartition(1 + n_apart // SHOWN_MEMBERS, "a", "b")
     shown = settled(members.mapInArrow(_shown, ", ".join(f"{name} bigint" for name in SHOWN)))
     several = shown.groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).filter("r1 != r2").select("key")
     met = settled(shown.join(settled(several), "key"))
@@ -337,7 +340,7 @@ def linked(classes: DataFrame, documents: DataFrame) -> DataFrame:
     n_apart = apart.count()
     if not n_apart:
         return roots
-    pairs = settled(_possible_pairs(in_parts(apart, n_apart), documents))
+    pairs = settled(_possible_pairs(in_parts(apart, n_apart), n_apart, documents))
     n_pairs = pairs.count()
     if not n_pairs:
         return roots
