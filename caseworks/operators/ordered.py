@@ -13,26 +13,33 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 COPIES_PER_BLOCK = 100_000
-# The order is cut at a fixed sample of so many keys; a power of two.
-RANGES = 4096
+# The order is cut at some of a fixed sample of so many keys; a power of two.
+SAMPLE = 1 << 14
+# About so many rows make a range, or more, once all keys of the sample are cuts.
+RANGE_ROWS = 25_000
 
 
 def _ranged(distinct: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``distinct`` with the struct ``_key`` and the number of its range, ``_range``.
 
-    The cuts are the ``RANGES`` keys with the smallest hashes, so they follow from the data alone and two reads of
-    the plan agree on them. They are one row, sent to every task, and nothing runs before the result is asked for.
-    A row finds its range by bisection.
+    The sample are the ``SAMPLE`` keys with the smallest hashes, so the cuts follow from the data alone and two reads
+    of the plan agree on them. Every n-th key of it is a cut, so that ranges are even and as many as the rows ask for.
+    Cuts are one row, sent to every task, and nothing runs before the result is asked for. A row finds its range by
+    bisection, in as many steps as the cuts need.
     """
     key = F.struct(*[F.col(k) for k in keys])
-    sample = distinct.select(key.alias("_key")).orderBy(F.xxhash64("_key"), "_key").limit(RANGES)
-    cuts = sample.agg(F.array_sort(F.collect_list("_key")).alias("_cuts"))
-    steps = F.array(*[F.lit(RANGES >> i) for i in range(RANGES.bit_length())])
+    sample = distinct.select(key.alias("_key")).orderBy(F.xxhash64("_key"), "_key").limit(SAMPLE)
+    total = distinct.agg(F.count(F.lit(1))).scalar()
+    every = F.greatest(F.lit(1), F.floor(F.size("_all") * F.lit(RANGE_ROWS) / total))
+    cuts = sample.agg(F.array_sort(F.collect_list("_key")).alias("_all")).select("_all", every.alias("_every"))
+    cuts = cuts.select(F.filter("_all", lambda _, i: (i + 1) % F.col("_every") == 0).alias("_cuts"))
+    steps = F.array(*[F.lit(SAMPLE >> i) for i in range(SAMPLE.bit_length())])
+    cuts = cuts.select("_cuts", F.filter(steps, lambda step: step <= F.size("_cuts")).alias("_steps"))
 
     def further(at: Column, step: Column) -> Column:
         return F.when(F.get("_cuts", at + step - 1) <= key, at + step).otherwise(at)
 
-    place = F.aggregate(steps, F.lit(0), further)
+    place = F.aggregate("_steps", F.lit(0), further)
     return distinct.join(F.broadcast(cuts)).select(*distinct.columns, key.alias("_key"), place.alias("_range"))
 
 

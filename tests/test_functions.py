@@ -95,9 +95,17 @@ def test_url_host_and_path(spark):
 
 
 def test_url_parameter_is_a_plain_text_match(spark):
-    data = [("http://s.example/m?utm_medium=o",), ("http://s.example/m?utm_medium=o&utm_source=g",), ("x?xref=1",), ("x?ref=",)]
-    assert column(spark, data, "u string", text.url_parameter("u", "utm_source")) == [None, "g", None, None]
-    assert column(spark, data, "u string", text.url_parameter("u", "ref")) == [None, None, "1", None]
+    cases = {
+        "https://agenda.example/liste?agence=12&page=3": ("12", "3"),
+        "agenda.example?homepage=7": (None, "7"),
+        "agenda.example?page=&agence=a=b": ("a=b", None),
+        "/page=9": (None, "9"),
+        "agenda.example/agence": (None, None),
+        "x?agence=1&agence=2#page=4&z": ("1", "4"),
+    }
+    data = [(u,) for u in cases] + [(None,)]
+    assert column(spark, data, "u string", text.url_parameter("u", "agence")) == [a for a, _ in cases.values()] + [None]
+    assert column(spark, data, "u string", text.url_parameter("u", "page")) == [p for _, p in cases.values()] + [None]
 
 
 @pytest.mark.parametrize(

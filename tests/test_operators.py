@@ -209,6 +209,19 @@ def test_neighbours_equal_a_global_window(spark, range_setting):
     assert {"one range": ranges == 1, "all ranges": ranges > 10, "merged ranges": 1 < ranges < 16}[range_setting], ranges
 
 
+@pytest.mark.parametrize("rows_per_range", [1, 7, 300])
+def test_neighbours_over_many_ranges(spark, monkeypatch, rows_per_range):
+    """Cuts at every key of the sample or at some; ranges are even."""
+    monkeypatch.setattr(ordered, "RANGE_ROWS", rows_per_range)
+    monkeypatch.setattr(ordered, "SAMPLE", 256)
+    df = spark.createDataFrame([(i * 3, i % 4) for i in range(1000)], "v int, x int")
+    got = {r.v: (r.previous and r.previous.v, r.following and r.following.v) for r in ordered.distinct_with_neighbours(df, [], ["v"]).collect()}
+    assert got == {v: (v - 3 if v else None, v + 3 if v < 2997 else None) for v in range(0, 3000, 3)}
+    sizes = [r["count"] for r in ordered._ranged(df.select("v").distinct(), ["v"]).groupBy("_range").count().collect()]
+    assert sum(sizes) == 1000 and {1: 200 < len(sizes) <= 257, 7: 100 < len(sizes) <= 257, 300: 3 <= len(sizes) <= 5}[rows_per_range]
+    assert ordered.distinct_with_neighbours(df.limit(0), [], ["v"]).collect() == []
+
+
 def test_repeat_rows_in_blocks(spark):
     df = spark.createDataFrame([("a", 7), ("b", 2), ("c", 0), ("d", 1)], "k string, n bigint")
     got = ordered.repeat_rows(df, "n", block=3).groupBy("k").count()
