@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from caseworks.plans import flags
 from caseworks.plans.marts import INTERMEDIATE, MARTS, publish
 from caseworks.schemas import BENEF_COLUMNS, BONUS_LINE_COLUMNS, COMPILED_BONUS_COLUMNS, RDV_COLUMNS
+from caseworks.sources.tables import read
 from caseworks.workload import domain, registry
 from caseworks.workload.mart_checks import mart_sql
 
@@ -237,5 +238,5 @@ def test_publish_replaces_tables(world, spark, tmp_path):
     _, tables, _ = world
     for _ in range(2):
         publish(tables.__getitem__, str(tmp_path), ["mrt_activite", "mrt_facture"])
-    written = spark.read.parquet(f"{tmp_path}/mrt_facture")
+    written = read(spark, f"{tmp_path}/mrt_facture")
     assert bag(written.columns, written.collect()) == bag(written.columns, MARTS["mrt_facture"](tables.__getitem__).collect())
