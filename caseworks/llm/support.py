@@ -42,9 +42,12 @@ def _own_folder() -> str:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``, which driver and executors share. Only a session without that
-    setting, as in tests, gets a folder of its own."""
-    return spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
+    """The folder named in ``spark.checkpoint.dir``, which driver and executors share. Only a session on one machine
+    without that setting, as in tests, gets a folder of its own; on a cluster that is an error."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and spark.sparkContext.master.partition("[")[0] != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return folder or _own_folder()
 
 
 def settled(df: DataFrame) -> DataFrame:
