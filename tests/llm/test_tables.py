@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import random
 from collections import Counter
 
@@ -110,7 +111,7 @@ def test_pages_of_one_host_may_differ_in_their_region(spark):
         2: ("<main><p>in main</p></main><p>beside</p>", "in main"),
         3: ("<div class=content><p>in content</p></div><p>beside</p>", "in content"),
         4: ("<header>head</header><p>plain</p>", "plain"),
-        5: ("<main>around <article><p>both</p></article></main>", "both"),
+        5: ("<main>around <article><p>both</p></article></main>", "around\n\nboth"),
         6: ("", ""),
     }
     for url in ("https://a.example/x", None):
@@ -119,16 +120,89 @@ def test_pages_of_one_host_may_differ_in_their_region(spark):
         assert {r.page_id: r.text for r in got} == {i: text for i, (_, text) in bodies.items()}
 
 
+def test_telling_words_of_longer_names_and_deep_pages(spark):
+    deep = lambda inner: "<div>" * 3000 + inner + "</div>" * 3000
+    bodies = {
+        1: ('<div class="hidden-gem content"><p>gem</p></div><p>beside</p>', "gem"),
+        2: ('<div class="social-science">a</div><p class="search-engine-history">b</p><div class="site-footer-inner">c</div>', "a\n\nb"),
+        3: (deep("one<nav>menu</nav><aside>side</aside><p>two<p>three"), "one\n\ntwo\n\nthree"),
+        4: (deep("<article>deep<footer>foot</footer></article>beside"), "deep"),
+        5: ("<main><p>long text</p><article class=teaser><p>teaser</p></article></main><article>below</article>", "long text\n\nteaser"),
+        6: ("<article><h1>t</h1>" + "<p>x</p><span>y</span>" * 20_000 + "</article>", "t" + "\n\nx\n\ny" * 20_000),
+    }
+    for host in ("https://a.example/", None):
+        rows = [(i, host and f"{host}{i}", f"<body>{body}</body>") for i, (body, _) in bodies.items()]
+        got = wrapper.op4_wrapper_extraction(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
+        assert {r.page_id: r.text for r in got} == {i: text for i, (_, text) in bodies.items()}
+
+
+def test_template_without_telling_names_is_known_by_the_other_pages_of_the_host(spark):
+    """Random pages of bare div, p and b elements: what most pages of a host share at one place is left out."""
+    draw = random.Random(4)
+    shared = {h: [f"{h} part {i}" for i in range(4)] for h in "abcd"}
+    pages = []  # page_id, host, blocks as (inner tag or none, text)
+    for i in range(120):
+        host = draw.choice("aaaabbcd")
+        top = [("p", t) for t in shared[host][:2] if draw.random() < 0.95]
+        body = [(draw.choice(["", "p", "b"]), f"text {draw.randrange(60)}") for _ in range(draw.randrange(1, 9))]
+        foot = [("", t) for t in shared[host][2:] if draw.random() < 0.6]
+        pages.append((i, host, top + body + foot))
+    pages += [(200 + i, "few", [("p", "menu"), ("p", f"own {i}")]) for i in range(wrapper.FEW_PAGES - 1)]
+    pages += [(300 + i, "copies", [("p", "said"), ("p", "twice")]) for i in range(9)]
+    pages += [(400 + i, "", [("p", "menu"), ("p", f"own {i}")]) for i in range(wrapper.FEW_PAGES)]
+
+    def place(tag):
+        return "p" if tag == "p" else "div"  # b stands in the block of its div
+
+    kinds = {}
+    for host in {h for _, h, _ in pages}:
+        kinds[host] = {tuple(blocks) for _, h, blocks in pages if h == host}
+    want = {}
+    for i, host, found in pages:
+        kept = []
+        for tag, text in found:
+            same = sum((place(tag), text) in {(place(t), x) for t, x in blocks} for blocks in kinds[host])
+            having = sum(place(tag) in {place(t) for t, _ in blocks} for blocks in kinds[host])
+            if same < wrapper.FEW_PAGES or same < wrapper.SHARE * having:
+                kept.append(text)
+        want[i] = "\n\n".join(kept)
+    assert any("part" in text for text in want.values()) and sum("part 0" in text for text in want.values()) == 0
+    assert want[200] == "menu\n\nown 0" and want[300] == "said\n\ntwice" and want[400] == "own 0"
+
+    def written(found):
+        return "<body>" + "".join(f"<div><{t}>{x}</{t}></div>" if t else f"<div>{x}</div>" for t, x in found) + "</body>"
+
+    rows = [(i, f"http://{host}/{i}" if host else "odd", written(found)) for i, host, found in pages]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    for parts in (1, 7):
+        assert {r.page_id: r.text for r in wrapper.op4_wrapper_extraction(df.repartition(parts)).collect()} == want
+    alone = df.withColumn("url", F.concat(F.lit("http://h"), "page_id"))
+    got = {r.page_id: r.text for r in wrapper.op4_wrapper_extraction(alone).collect()}
+    assert got == {i: "\n\n".join(x for _, x in found) for i, _, found in pages}
+
+
+def test_wrappers_of_many_patterns_are_aligned_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(wrapper, "EACH", 3)
+    rows = [("https://a.example/", "<article>" + "".join(f"<{t}>x</{t}>" for t in tags) + "</article>") for tags in
+            (random.Random(i).choices(("p", "h2", "ul", "dl", "table"), k=6) for i in range(40))]
+    df = spark.createDataFrame(rows + [("https://b.example/", "<p>x</p>")], "url string, html string")
+    got = {r.host: wrapper.slots(json.loads(r.pattern)) for r in wrapper.wrappers(df).collect()}
+    every = {}
+    for _, page in rows:
+        every |= wrapper.slots(wrapper.pattern(page))
+    assert got["a.example"] == every and len(got) == 2
+
+
 def test_a_wrapper_has_repeats_and_options():
     one = wrapper.pattern("<article><h1>t</h1><p>a</p><p>b</p><dl><dt>k<dd>v<dt>k<dd>v</dl></article>")
     two = wrapper.pattern("<article><h1>t</h1><p><b>a</b></p><img><table><tr><td>1</table></article>")
-    both = wrapper.merged(one, two)
-    article = both[3][0]
+    both = wrapper.joined(one, two)
+    article = both["0:0"][3][0]
     kinds = {node[0]: node for node in article[3]}
     assert kinds["p"][1] and not kinds["p"][2] and kinds["dl"][2] and kinds["table"][2]
     assert kinds["dl"][3][0][0] == "~" and kinds["dl"][3][0][1]
-    again = wrapper.merged(both, one)
-    assert wrapper.content_paths(again) == wrapper.content_paths(both)
+    again = wrapper.joined(both, one)
+    assert wrapper.slots(again) == wrapper.slots(both)
 
 
 # -- vectors
