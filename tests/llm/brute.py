@@ -60,22 +60,30 @@ def substring_dedup(documents, window=50):
     return out
 
 
-def line_dedup(documents, run=3):
-    """{doc_id: text without the lines of runs that start earlier}."""
+def line_dedup(documents, run=3, many=50):
+    """{doc_id: text without the lines of runs that start earlier}: runs of three lines, or of fewer with 50 words."""
     rows, first = {}, {}
+
+    def runs(own):
+        for s in range(len(own)):
+            for e in range(s + 1, min(s + run, len(own)) + 1):
+                found = tuple(x for _, x in own[s:e])
+                if e - s == run or sum(len(words(x)) for x in found) >= many:
+                    yield s, e, found
+
     for doc_id, text in sorted(documents):
         all_lines = (text or "").split("\n")
         rows[doc_id] = [(n, x.strip(" \t\x0b\x0c\r")) for n, x in enumerate(all_lines) if x.strip(" \t\x0b\x0c\r")]
-        for s in range(len(rows[doc_id]) - run + 1):
-            first.setdefault(tuple(x for _, x in rows[doc_id][s : s + run]), (doc_id, s))
+        for s, _, found in runs(rows[doc_id]):
+            first.setdefault(found, (doc_id, s))
     out = {}
     for doc_id, text in documents:
         gone = set()
         own = rows[doc_id]
-        for s in range(len(own) - run + 1):
-            d, at = first[tuple(x for _, x in own[s : s + run])]
+        for s, e, found in runs(own):
+            d, at = first[found]
             if (d, at) < (doc_id, s):
-                gone.update(own[i][0] for i in range(s, s + run) if d != doc_id or i >= at + run)
+                gone.update(own[i][0] for i in range(s, e) if d != doc_id or i >= at + e - s)
         if not gone:
             out[doc_id] = text
             continue

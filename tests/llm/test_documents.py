@@ -231,6 +231,23 @@ def test_repeated_runs_around_a_very_common_line(spark):
     assert {r.doc_id: r.text for r in rows} == brute.line_dedup(docs)
 
 
+def test_long_repeats_of_one_or_two_lines_are_deleted(spark):
+    draw = random.Random(6)
+    long = lambda name, n: " ".join(f"{name}{i}" for i in range(n))
+    stock = [long("a", 50), long("b", 49), long("c", 30), long("d", 20), long("e", 19), "f", ""]
+    docs = [
+        (1, long("x", 300) + "\n" + long("y", 300)), (2, long("x", 300) + "\n" + long("y", 300)), (3, "own\n " + long("x", 300) + " \nown"),
+        (4, f"{stock[1]}\nown"), (5, f"{stock[1]}\nother"), (6, f"{stock[2]}\n{stock[3]}\none"), (7, f"two\n{stock[2]}\n{stock[3]}"),
+        (8, f"{stock[2]}\n{stock[4]}\nthree"), (9, f"{stock[2]}\n{stock[4]}\nfour"), (10, long("z", 50) + "\n" + long("z", 50)),
+    ]
+    docs += [(100 + i, "\n".join(draw.choices(stock, k=draw.randrange(7)))) for i in range(150)]
+    rows = {r.doc_id: r.text for r in lines.deduplicated(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()}
+    assert rows == brute.line_dedup(docs)
+    assert [rows[2], rows[3], rows[7], rows[10]] == ["", "own\nown", "two", long("z", 50)]
+    assert [rows[i] == dict(docs)[i] for i in (5, 9)] == [True, True]
+
+
+
 # -- language
 
 
