@@ -244,3 +244,21 @@ def test_top_k_of_large_components_is_exact():
             scored = sorted((-sum(a * b for a, b in zip(rows[q], v)), i) for i, v in enumerate(rows) if i != q)[:5]
             ids, scores = index.search(q, topk.np.array(rows[q], dtype=topk.np.int64), 5)
             assert list(zip((-scores).tolist(), ids.tolist())) == scored
+
+
+def test_top_k_of_components_of_any_size(spark):
+    draw = random.Random(12)
+    sizes = (0.3, 3e6, 1e9, 1e12, 1e300)
+    rows = [(i, [draw.uniform(-1, 1) * draw.choice(sizes) for _ in range(6)]) for i in range(200)]
+    rows += [(200 + i, [1e300, -1e300, 1e300]) for i in range(30)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    plain = {r.vec_id: [max(-(2**56), min(2**56, x)) for x in r.vector] for r in topk.quantised(df).collect()}
+    assert plain[200] == [2**56, -(2**56), 2**56]
+    whole = []
+    for q in (i for i in plain if i % 50 == 0):
+        scored = sorted((-sum(a * b for a, b in zip(plain[q], v)), i) for i, v in plain.items() if i != q)[:5]
+        whole += [(q, rank + 1, i, max(-(2**63) + 1, min(2**63 - 1, -s))) for rank, (s, i) in enumerate(scored)]
+    vectors = topk.quantised(df)
+    for n_blocks, n_chunks in ((1, 1), (3, 2)):
+        got = topk.top_k(vectors, vectors.filter("vec_id % 50 = 0"), 5, n_blocks, n_chunks)
+        assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got.collect()) == sorted(whole)
