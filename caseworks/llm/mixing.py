@@ -9,7 +9,8 @@ half of the document at the edge.
 
 The edge is one (place, doc_id, size) per source, found without sorting a source: the words per place bucket
 are summed, only the bucket that crosses the target is split again, and only the rows of the last, tiny bucket
-are put in order. A source with a third of all rows is spread like any other. The edges (one row per source)
+are put in order, those equal in place, doc_id and size as one. Rows without a rest (in a source at its cap, say) are
+certain and take no part in that. A source with a third of all rows is spread like any other. The edges (one row per source)
 are then joined to the documents, so copies follow from the row itself and need no row key.
 
 Rows without a source form the last source, a NULL or empty text has size 0 and is never taken for words, rows
@@ -29,6 +30,7 @@ MOST_COPIES = 3
 TILT = 0.5  # share of the room around the rate that the length tilt may use
 HALF_LENGTH = 500  # words at which the length score is half of its maximum
 BUCKETS = 1024
+CERTAIN = 1e300  # the place of rows without a rest, behind all others
 FEW_SOURCES = 10_000  # rows of about 100 bytes; with more sources the joins shuffle
 
 
@@ -82,7 +84,7 @@ def _placed(rows: DataFrame, seed: str) -> DataFrame:
     rows = rows.withColumn("expected", expected).withColumn("u", (draw.cast("bigint") + 0.5) / float(2**52))
     rows = rows.withColumn("whole", F.floor("expected"))
     rows = rows.withColumn("p", F.col("expected") - F.col("whole"))
-    place = F.when(F.col("p") > 0, F.col("u") * (1 - F.col("p")) / ((1 - F.col("u")) * F.col("p"))).otherwise(1e300)
+    place = F.when(F.col("p") > 0, F.col("u") * (1 - F.col("p")) / ((1 - F.col("u")) * F.col("p"))).otherwise(CERTAIN)
     rows = rows.withColumn("place", place).drop("expected", "u", "p")
     spread = F.col("place") / (1 + F.col("place")) * BUCKETS
     rows = rows.withColumn("b1", F.least(F.floor(spread), F.lit(BUCKETS - 1)))
@@ -112,20 +114,24 @@ def _edges(sized: DataFrame, targets: DataFrame, seed: str, small: bool) -> Data
     """``targets`` with ``edge``, the last (buckets, place, doc_id, size) that each source takes."""
     rows = _placed(_with_source(sized, targets, small=small), seed)
     rows = rows.select("source", "target", "doc_id", "size", "whole", "b1", "b2", "place")
+    rows = rows.withColumn("b1", F.when(F.col("place") < CERTAIN, F.col("b1")))
     first = rows.groupBy("source", "b1").agg(
         F.sum("size").alias("words"), F.sum(F.col("whole") * F.col("size")).alias("sure"), F.first("target").alias("target")
     )
     every = Window.partitionBy("source")
-    at1 = _crossing(first.withColumn("left", F.first("target").over(every) - F.sum("sure").over(every)), "b1")
+    first = first.withColumn("left", F.first("target").over(every) - F.sum("sure").over(every))
+    at1 = _crossing(first.filter("b1 IS NOT NULL"), "b1")
     inner = _with_source(rows, at1.withColumnRenamed("b1", "at1"), small=small).filter("b1 = at1")
     second = inner.groupBy("source", "b1", "b2").agg(F.sum("size").alias("words"), F.first("left").alias("left"))
     at2 = _crossing(second, "b2")
     last = _with_source(inner.drop("left"), at2.withColumnRenamed("b2", "at2"), small=small).filter("b2 = at2")
+    spot = ("source", "b1", "b2", "place", "doc_id", "size")
+    last = last.groupBy(*spot).agg(F.sum("size").alias("words"), F.first("left").alias("left"))
     order = Window.partitionBy("source").orderBy("place", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
-    last = last.withColumn("up_to", F.sum("size").over(order))
+    last = last.withColumn("earlier", F.sum("words").over(order) - F.col("words"))
     # A row is taken while that brings the words nearer to the target. With no row of the last bucket taken,
     # the edge lies just before it: all rows of earlier buckets go in.
-    taken = F.when(2 * F.col("up_to") - F.col("size") < 2 * F.col("left"), F.struct("b1", "b2", "place", "doc_id", "size"))
+    taken = F.when(2 * F.col("earlier") + F.col("size") < 2 * F.col("left"), F.struct(*spot[1:]))
     before = F.struct(
         "b1", "b2", F.lit(-1.0).alias("place"), F.lit(None).cast("bigint").alias("doc_id"), F.lit(-1).cast("bigint").alias("size")
     )
