@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from caseworks.llm.met import matrix, met
 
-BLOCK = 8_192
+BLOCK = 16_384
 STEP = 2
 BARS = (0.3, 0.15, 0.1, 0.07, 0.045, 0.025, 0.0)  # shares of the largest contribution, one per round
 FEW = 16  # rescoring one in so many vectors is cheaper than another round
