@@ -168,7 +168,6 @@ RANK_COLUMNS = [
 ]
 
 
-def appointment_detail(rdv: DataFrame, benef: DataFrame) -> DataFrame:
-    """Slots per beneficiary with planned and worked time and both ranks."""
-    known = known_slots(rdv)
+def appointment_detail(known: DataFrame, benef: DataFrame) -> DataFrame:
+    """The known slots with planned and worked time and both ranks."""
     return ranked_slots(known, slots_per_day(known), benef_pairs(benef)).select(*BENEF_SLOT_COLUMNS, *RANK_COLUMNS)

@@ -95,7 +95,7 @@ def portfolios(files: list[DataFrame], benef: DataFrame) -> DataFrame:
     )
 
 
-def first_bonus(rdv: DataFrame, benef: DataFrame, sheet: DataFrame) -> DataFrame:
+def first_bonus(rdv: DataFrame, bonuses: DataFrame) -> DataFrame:
     """Earliest bonus above 1 of every beneficiary who has an appointment; an undated one comes first.
 
     Bonuses are shown on a counsellor's first slot with the beneficiary, and everyone with a slot has
@@ -104,7 +104,7 @@ def first_bonus(rdv: DataFrame, benef: DataFrame, sheet: DataFrame) -> DataFrame
     """
     met = rdv.filter(is_known()).select("id_benef").distinct()
     return (
-        compiled_bonuses(sheet, benef)
+        bonuses
         .filter((F.col("Montant_prime") > 1) & F.col("id_benef").isNotNull())
         .groupBy("id_benef")
         .agg(F.min(F.struct("Date_primes", "Montant_prime")).alias("first"))
@@ -113,10 +113,10 @@ def first_bonus(rdv: DataFrame, benef: DataFrame, sheet: DataFrame) -> DataFrame
     )
 
 
-def steering(rdv: DataFrame, benef: DataFrame, sheet: DataFrame) -> DataFrame:
+def steering(rdv: DataFrame, benef: DataFrame, bonuses: DataFrame) -> DataFrame:
     """Status flags of every beneficiary with the first bonus."""
     people = flags.classified(benef)
-    bonus = first_bonus(rdv, benef, sheet)
+    bonus = first_bonus(rdv, bonuses)
     return people.join(bonus, "id_benef", "left").select(
         *people.columns,
         flags.lasting_return_or_bonus(F.col("Date_primes")).alias("retour_emploi_env_semap"),

@@ -1,13 +1,20 @@
-"""The decision tables by name, built from raw tables that a source looks up, and their publication."""
+"""The decision tables by name, built from raw tables that a source looks up, and their publication.
+
+A table names its inputs: raw tables, or steps that several tables share. One table alone is one lazy plan. Where
+several are published together, a step that two or more of them read is written once and removed after its last reader.
+"""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable
+from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from caseworks.plans import activity, appointments, attendance, bonus, revenue, staging
+from caseworks.session import remove_folder, shared_folder
 from caseworks.sources import landing
 
 # Looks up a raw input by name; only the inputs a table needs are opened. Known names:
@@ -23,32 +30,65 @@ PREPARE = {
 }
 
 
-def _staged(build: Callable[..., DataFrame], *names: str) -> Callable[[Source], DataFrame]:
-    return lambda source: build(*[PREPARE.get(n, lambda table: table)(source(n)) for n in names])
+@dataclass(frozen=True)
+class Step:
+    """A table with the names of the inputs it is built from; called with a source, it gives its lazy plan."""
+
+    build: Callable[..., DataFrame]
+    inputs: tuple[str, ...]
+
+    def __call__(self, source: Source) -> DataFrame:
+        return self.build(*map(_prepared(source), self.inputs))
+
 
+def _staged(build: Callable[..., DataFrame], *names: str) -> Step:
+    return Step(build, names)
+
+
+# Steps that several tables read.
+SHARED: dict[str, Step] = {
+    "known_slots": _staged(appointments.known_slots, "rdv"),
+    "bonuses": _staged(bonus.compiled_bonuses, "bonus_sheet", "benef"),
+}
 
-MARTS: dict[str, Callable[[Source], DataFrame]] = {
+
+def _prepared(source: Source, stored: dict[str, DataFrame] | None = None) -> Source:
+    """Looks up prepared inputs, each opened once: stored steps as they are, other steps and raw tables as plans."""
+    found = dict(stored or {})
+
+    def lookup(name: str) -> Any:
+        if name not in found:
+            if name in SHARED:
+                found[name] = SHARED[name].build(*map(lookup, SHARED[name].inputs))
+            else:
+                found[name] = PREPARE.get(name, lambda table: table)(source(name))
+        return found[name]
+
+    return lookup
+
+
+MARTS: dict[str, Step] = {
     "mrt_activite": _staged(activity.activity, "benef"),
     "mrt_adhesion": _staged(activity.adhesion, "benef"),
     "mrt_adv_facture": _staged(revenue.invoice_delay, "facture", "benef"),
-    "mrt_benef_ca_prime": _staged(revenue.revenue_with_bonus, "facture", "benef", "bonus_sheet"),
+    "mrt_benef_ca_prime": _staged(revenue.revenue_with_bonus, "facture", "benef", "bonuses"),
     "mrt_facture": _staged(revenue.invoices_with_counsellor, "facture", "benef"),
     "mrt_formateur_portefeuille": _staged(bonus.portfolios, "bonus_files", "benef"),
-    "mrt_pilotage": _staged(bonus.steering, "rdv", "benef", "bonus_sheet"),
+    "mrt_pilotage": _staged(bonus.steering, "rdv", "benef", "bonuses"),
     "mrt_presence": _staged(attendance.attendance, "sessions"),
     "mrt_prime": _staged(bonus.bonus_lines, "bonus_files", "benef"),
     "mrt_rdv": _staged(appointments.attendees_per_slot, "rdv", "benef"),
-    "mrt_rdv_detail": _staged(appointments.appointment_detail, "rdv", "benef"),
+    "mrt_rdv_detail": _staged(appointments.appointment_detail, "known_slots", "benef"),
     "mrt_referent_Ca": _staged(revenue.revenue_lines, "facture", "benef"),
-    "mrt_referent_rdv_ca": _staged(revenue.revenue_per_appointment, "rdv", "benef", "facture", "bonus_sheet"),
+    "mrt_referent_rdv_ca": _staged(revenue.revenue_per_appointment, "known_slots", "benef", "facture", "bonuses"),
     "BDD_BU_SECURE": _staged(lambda table: table, "business_units"),
 }
 
-# Shared steps that are tables of their own in the flow, without being published.
-INTERMEDIATE: dict[str, Callable[[Source], DataFrame]] = {
+# Steps that are tables of their own in the flow, without being published.
+INTERMEDIATE: dict[str, Step] = {
     "inscrite_union": _staged(attendance.enrolments, "enrolments"),
     "prime_union_region": _staged(bonus.all_regions, "bonus_files"),
-    "prime_clean": _staged(bonus.compiled_bonuses, "bonus_sheet", "benef"),
+    "prime_clean": SHARED["bonuses"],
     "pilotage_flags": _staged(bonus.steering_flags, "bonus_files", "benef"),
     "rdv_formateur": _staged(appointments.benef_slots, "rdv", "benef"),
 }
@@ -56,6 +96,27 @@ INTERMEDIATE: dict[str, Callable[[Source], DataFrame]] = {
 
 def publish(source: Source, path: str, names: Iterable[str] = MARTS, keep: int = 0) -> None:
     """Write the named decision tables under ``path``, each taking the place of its former state in one step. A table
-    whose plan fails keeps its former state. ``sources.tables.read`` reads them; ``keep`` former versions stay."""
-    for name in names:
-        landing.replace(MARTS[name](source), f"{path}/{name}", keep=keep)
+    whose plan fails keeps its former state. ``sources.tables.read`` reads them; ``keep`` former versions stay.
+
+    Steps that several of them read lie in the shared folder from their first reader to their last.
+    """
+    names = list(dict.fromkeys(names))
+    readers = {step: [n for n in names if step in MARTS[n].inputs] for step in SHARED}
+    stored: dict[str, DataFrame] = {}
+    folders: dict[str, tuple[SparkSession, str]] = {}
+    try:
+        for name in names:
+            for step in MARTS[name].inputs:
+                if len(readers.get(step, ())) > 1 and step not in stored:
+                    plan = _prepared(source, stored)(step)
+                    spark = plan.sparkSession
+                    folders[step] = spark, f"{shared_folder(spark)}/{step}-{uuid.uuid4().hex}"
+                    plan.write.parquet(folders[step][1])
+                    stored[step] = spark.read.schema(plan.schema).parquet(folders[step][1])
+            lookup = _prepared(source, stored)
+            landing.replace(MARTS[name].build(*map(lookup, MARTS[name].inputs)), f"{path}/{name}", keep=keep)
+            for step in [s for s in stored if readers[s][-1] == name]:
+                remove_folder(*folders.pop(step))
+    finally:
+        for left in folders.values():
+            remove_folder(*left)

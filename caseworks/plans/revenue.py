@@ -83,19 +83,18 @@ def _totals() -> list[Column]:
     ]
 
 
-def revenue_with_bonus(facture: DataFrame, benef: DataFrame, sheet: DataFrame) -> DataFrame:
+def revenue_with_bonus(facture: DataFrame, benef: DataFrame, bonuses: DataFrame) -> DataFrame:
     """Revenue totals per owner beside each of the beneficiary's bonuses."""
     keys = [c for c in OWNER_KEYS if c != "region"]
     totals = _owner_totals(facture, benef).groupBy(*keys).agg(*_totals())
-    bonuses = bonus.compiled_bonuses(sheet, benef).filter(F.col("id_benef").isNotNull())
-    return left_join_hot_right(totals, bonuses.select("id_benef", "Montant_prime", "Date_primes"), "id_benef").select(
+    owned = bonuses.filter(F.col("id_benef").isNotNull())
+    return left_join_hot_right(totals, owned.select("id_benef", "Montant_prime", "Date_primes"), "id_benef").select(
         *keys, "date_facture", "region", "CA_HT_total", "CA_TVA_total", "Montant_prime", "Date_primes"
     )
 
 
-def revenue_per_appointment(rdv: DataFrame, benef: DataFrame, facture: DataFrame, sheet: DataFrame) -> DataFrame:
-    """A beneficiary's revenue spread evenly over all slots, with ranks and, on first slots, bonuses."""
-    known = apt.known_slots(rdv)
+def revenue_per_appointment(known: DataFrame, benef: DataFrame, facture: DataFrame, bonuses: DataFrame) -> DataFrame:
+    """A beneficiary's revenue spread evenly over the known slots, with ranks and, on first slots, bonuses."""
     per_day = apt.slots_per_day(known)
     per_benef = per_day.groupBy("id_benef").agg(F.sum("_in_day").alias("_slots"))
     revenue = _owner_totals(facture, benef.filter(apt.is_known())).groupBy("id_benef").agg(*_totals())
@@ -103,7 +102,7 @@ def revenue_per_appointment(rdv: DataFrame, benef: DataFrame, facture: DataFrame
     ranked = apt.ranked_slots(known, per_day, facts)
 
     # Bonuses join on the same day keys as the ranks: no further shuffle of the wide rows.
-    bonuses = bonus.compiled_bonuses(sheet, benef).select("id_benef", "Montant_prime", "Date_primes")
+    bonuses = bonuses.select("id_benef", "Montant_prime", "Date_primes")
     # Asking for the day's count, always positive, lets this branch reuse the exchange of per_day.
     per_day_bonus = per_day.filter("_in_day > 0").select(*apt.DAY_KEYS).join(bonuses, "id_benef")
     slot_count = (F.col("_slots") * F.coalesce("_variants", F.lit(1))).cast("double")

@@ -1,4 +1,7 @@
-"""Running checks: thresholds, severities and one-pass evaluation of row-level checks."""
+"""Running checks: thresholds, severities and one-pass evaluation of row-level checks.
+
+:mod:`caseworks.quality.fused` runs grouped checks of one table from one scan.
+"""
 
 from __future__ import annotations
 
@@ -45,9 +48,10 @@ class Check:
         return cls(name, build(df if where is None else df.filter(where)), **rules)
 
 
-def _status(warn_if: str, error_if: str, severity: str) -> Column:
-    warned = F.when(F.expr(f"failures {warn_if}"), "warn").otherwise("pass")
-    return F.when(F.expr(f"failures {error_if}"), "error").otherwise(warned) if severity == "error" else warned
+def status_of(warn_if: str, error_if: str, severity: str, failures: str = "failures") -> Column:
+    """What the thresholds say on the number in the column ``failures``."""
+    warned = F.when(F.expr(f"{failures} {warn_if}"), "warn").otherwise("pass")
+    return F.when(F.expr(f"{failures} {error_if}"), "error").otherwise(warned) if severity == "error" else warned
 
 
 def run_checks(checks: Sequence[Check]) -> DataFrame:
@@ -55,7 +59,7 @@ def run_checks(checks: Sequence[Check]) -> DataFrame:
 
     def result(check: Check) -> DataFrame:
         counted = check.violations.agg(F.coalesce(check.failures, F.lit(0)).cast("bigint").alias("failures"))
-        status = _status(check.warn_if, check.error_if, check.severity).alias("status")
+        status = status_of(check.warn_if, check.error_if, check.severity).alias("status")
         return counted.select(F.lit(check.name).alias("check"), "failures", status)
 
     return reduce(DataFrame.unionAll, [result(c) for c in checks])

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseworks.quality import checks, suite
+from caseworks.quality import checks, fused, suite
 from caseworks.workload.domain import exact, read
 
 QUERIES: dict = {}
@@ -443,3 +443,47 @@ def recency_whole(spark, sf_dir):
     tables = (events, events.filter("user_id % 7 = 0"), moved)
     found = [checks.recency(table, "ts", "hour", 6, now=NOW) for table in tables]
     return found[0].unionAll(found[1]).unionAll(found[2])
+
+
+# Rules of one table with the SQL that counts their violations.
+LINE_RULES = [
+    (fused.unique_combination("line_key", ["l_orderkey", "l_linenumber"]),
+     "SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1"),
+    (fused.unique_combination("part_once_an_order", ["l_orderkey", "l_partkey"], severity="warn"),
+     "SELECT 1 FROM lineitem GROUP BY l_orderkey, l_partkey HAVING count(*) > 1"),
+    (fused.at_least_one("order_has_return", "returned", ["l_orderkey"]),
+     "SELECT 1 FROM lineitem GROUP BY l_orderkey HAVING count(*) FILTER (l_returnflag = 'R') = 0"),
+    (fused.not_constant("order_mixes_suppliers", "l_suppkey", ["l_orderkey"]),
+     "SELECT 1 FROM lineitem GROUP BY l_orderkey HAVING min(l_suppkey) = max(l_suppkey)"),
+    (fused.not_constant("part_mixes_dear_suppliers", "l_suppkey", ["l_partkey"], where="l_quantity > 40"),
+     "SELECT 1 FROM lineitem WHERE l_quantity > 40 GROUP BY l_partkey HAVING min(l_suppkey) = max(l_suppkey)"),
+    (fused.not_null_proportion("returns_a_supplier", "returned", 0.3, 0.35, ["l_suppkey"], warn_if="> 0", error_if="> 5"),
+     "SELECT 1 FROM lineitem GROUP BY l_suppkey HAVING CAST(count(*) FILTER (l_returnflag = 'R') / count(*) AS DECIMAL(38, 9))"
+     " NOT BETWEEN 0.3 AND 0.35"),
+    (fused.recency("supplier_is_active", "l_shipdate", "day", 30, ["l_suppkey"], dt.datetime(2025, 1, 1)),
+     "SELECT 1 FROM lineitem GROUP BY l_suppkey HAVING max(l_shipdate) < TIMESTAMP '2024-12-02'"),
+    (fused.recency("table_is_recent", "l_shipdate", "hour", 1, now=dt.datetime(2100, 1, 1)),
+     "SELECT 1 FROM lineitem HAVING max(l_shipdate) < TIMESTAMP '2099-12-31 23:00:00'"),
+    (fused.at_least_one("any_return", "returned"),
+     "SELECT 1 FROM lineitem HAVING count(*) FILTER (l_returnflag = 'R') = 0"),
+    (fused.holds("quantity_in_range", "l_quantity BETWEEN 5 AND 45", severity="warn"),
+     "SELECT 1 FROM lineitem WHERE l_quantity < 5 OR l_quantity > 45"),
+    (fused.not_null("returned_known", "returned", where="l_linenumber = 1"),
+     "SELECT 1 FROM lineitem WHERE l_linenumber = 1 AND l_returnflag <> 'R'"),
+    (fused.unique("price_once", "l_extendedprice"),
+     "SELECT 1 FROM lineitem WHERE l_extendedprice IS NOT NULL GROUP BY l_extendedprice HAVING count(*) > 1"),
+]
+
+
+def _counted(rule: fused.Rule, violations: str) -> str:
+    status = f"WHEN failures {rule.warn_if.replace('!=', '<>')} THEN 'warn' ELSE 'pass' END AS status"
+    if rule.severity == "error":
+        status = f"WHEN failures {rule.error_if.replace('!=', '<>')} THEN 'error' {status}"
+    return f"""SELECT '{rule.name}' AS "check", failures, CASE {status} FROM (SELECT count(*) AS failures FROM ({violations}))"""
+
+
+@check(" UNION ALL ".join(_counted(rule, violations) for rule, violations in LINE_RULES))
+def suite_fused(spark, sf_dir):
+    """Twelve rules on six sets of group keys, from one scan."""
+    lines = read(spark, sf_dir, "lineitem").withColumn("returned", F.when(F.col("l_returnflag") == "R", 1))
+    return fused.run_rules(lines, [rule for rule, _ in LINE_RULES])

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseworks.functions import text, values
-from caseworks.operators import reports, reshape, rows
+from caseworks.operators import frequent, reports, reshape, rows
 from caseworks.plans import staging
 from caseworks.sources import audit, landing
 from caseworks.workload import domain
@@ -131,6 +131,22 @@ def column_values_top(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.column_values(read(spark, sf_dir, "part"), "p_brand", max_records=5, where="p_size > 10")
 
 
+@query(
+    """SELECT value, count(*) AS n FROM (SELECT unnest(string_split(text, ' ')) AS value FROM documents)
+    WHERE value <> '' GROUP BY 1 ORDER BY n DESC, value LIMIT 40"""
+)
+def column_values_frequent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The most frequent words of all texts, without shuffling the many rare ones."""
+    words = read(spark, sf_dir, "documents").select(F.explode(F.split("text", " ", -1)).alias("word"))
+    return frequent.most_frequent(words, "word", 40, where="word <> ''")
+
+
+@query("SELECT l_partkey AS value, count(*) AS n FROM lineitem GROUP BY 1 ORDER BY n DESC, value LIMIT 25")
+def column_values_even(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values of nearly equal counts, where the proof leaves out little."""
+    return frequent.most_frequent(read(spark, sf_dir, "lineitem"), "l_partkey", 25)
+
+
 # Column sets and shapes.
 
 

@@ -5,7 +5,7 @@ Each query writes to a folder of its own under the shared folder, which its next
 
 from __future__ import annotations
 
-import zlib
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from caseworks.plans import marts
 from caseworks.schemas import BONUS_LINE_COLUMNS
-from caseworks.session import remove_folder, shared_folder
+from caseworks.session import shared_folder
 from caseworks.sources import files, landing, tables
 from caseworks.workload import domain, mart_checks
 from caseworks.workload.domain import read
@@ -33,10 +33,9 @@ def query(sql: str):
     return keep
 
 
-def _folder(spark: SparkSession, sf_dir: str, name: str) -> str:
-    folder = f"{shared_folder(spark)}/{name}-{zlib.crc32(sf_dir.encode()):08x}"
-    remove_folder(spark, folder)
-    return folder
+def _folder(spark: SparkSession, name: str) -> str:
+    """A new folder for each build, so that a frame returned earlier keeps its files."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,7 +54,7 @@ LINE_SCHEMA = "key struct<`$id`: bigint, turn: bigint>, role string, text string
 )
 def json_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed JSON files read with an explicit schema, field names cleaned at every depth."""
-    path = _folder(spark, sf_dir, "json-landing")
+    path = _folder(spark, "json-landing")
     _lines(spark, sf_dir).write.text(path)
     documents = landing.clean_fields(landing.accepted(landing.read_documents(spark, path, LINE_SCHEMA)))
     return documents.select(F.col("key._id").alias("id"), "key.turn", "role", F.length("text").alias("n_chars"))
@@ -66,7 +65,7 @@ def json_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text that does not parse, kept as it came under a name of dataset, table and time."""
-    path = _folder(spark, sf_dir, "quarantine")
+    path = _folder(spark, "quarantine")
     documents = landing.parse_documents(_lines(spark, sf_dir), LINE_SCHEMA)
     kept = landing.quarantine(documents, path, "training", "Presence_Soc_2", "20240501_100000")
     return spark.read.text(kept)
@@ -78,7 +77,7 @@ def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def append_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two appended loads of customers, the second corrected; the newest copy of each, beside a replaced table."""
-    path = _folder(spark, sf_dir, "append-replace")
+    path = _folder(spark, "append-replace")
     customer = read(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
     corrected = customer.filter("c_custkey % 3 = 0").withColumn("c_acctbal", F.col("c_acctbal") + 1)
     for day, rows in (("2024-05-01", customer), ("2024-05-02", corrected)):
@@ -101,7 +100,7 @@ def append_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def csv_bonus_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The six regional files as CSV with accented headers, read back as text."""
-    path = _folder(spark, sf_dir, "csv-bonus")
+    path = _folder(spark, "csv-bonus")
     for number, rows in enumerate(domain.bonus_files(spark, sf_dir)):
         as_text = rows.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in BONUS_LINE_COLUMNS])
         as_text.write.option("header", True).csv(f"{path}/{number}")
@@ -109,10 +108,29 @@ def csv_bonus_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, read_back)
 
 
+# The six regional files by their logical names.
+BONUS_TABLES = [name for name in files.RAW_NAMES["bonus"] if name[0].isdigit()]
+
+
+@query(
+    f"SELECT {BONUS_TABLES}[event_id % 6 + 1] AS name, count(*) AS n FROM events WHERE event_type <> 'purchase' GROUP BY 1"
+)
+def renamed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines per regional file, written and found under the physical names of the logical tables."""
+    roots = {"bonus": _folder(spark, "raw")}
+    for name, rows in zip(BONUS_TABLES, domain.bonus_files(spark, sf_dir)):
+        rows.write.parquet(files.raw_path(roots, "bonus", name))
+    found = [
+        spark.read.parquet(files.raw_path(roots, "bonus", name)).select(F.lit(name).alias("name"))
+        for name in BONUS_TABLES
+    ]
+    return reduce(DataFrame.unionByName, found).groupBy("name").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("SELECT o_orderkey, o_custkey, o_orderdate::DATE::VARCHAR AS o_orderdate, o_totalprice, o_orderpriority FROM orders")
 def typed_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as a CSV seed, typed by an explicit schema."""
-    path = _folder(spark, sf_dir, "typed-seed")
+    path = _folder(spark, "typed-seed")
     orders = read(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("o_orderdate"), "o_totalprice", "o_orderpriority"
     )
@@ -124,7 +142,15 @@ def typed_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(mart_checks.mart_sql()["mrt_facture"])
 def publish_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A decision table published as parquet twice, the second time replacing the first, and read back."""
-    path = _folder(spark, sf_dir, "marts")
+    path = _folder(spark, "marts")
     for _ in range(2):
         marts.publish(domain.source(spark, sf_dir), path, ["mrt_facture"])
     return tables.read(spark, f"{path}/mrt_facture")
+
+
+@query(mart_checks.mart_sql()["mrt_rdv_detail"])
+def publish_shared_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two decision tables published together, so that the slots they share are built once; the first read back."""
+    path = _folder(spark, "shared-marts")
+    marts.publish(domain.source(spark, sf_dir), path, ["mrt_rdv_detail", "mrt_referent_rdv_ca"])
+    return tables.read(spark, f"{path}/mrt_rdv_detail")

@@ -7,7 +7,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from caseworks.quality import checks, suite
+from caseworks.quality import checks, fused, suite
 
 
 def table(spark, schema, *data):
@@ -213,3 +213,72 @@ def test_row_checks_share_one_scan(spark):
     conditions = {"range": checks.out_of_range("x", 0, 5), "blank": checks.is_blank("s"), "even": checks.is_false("x % 2 = 1")}
     result = suite.run_row_checks(df, conditions)
     assert rows(result) == [("blank", 1, "error"), ("even", 0, "pass"), ("range", 1, "error")]
+
+
+FUSED_NOW = dt.datetime(2024, 2, 1)
+# Each rule with the check that must give the same number of violations.
+FUSED = [
+    (fused.at_least_one("a", "v", ["g"]), lambda df: checks.at_least_one(df, "v", ["g"])),
+    (fused.at_least_one("b", "v"), lambda df: checks.at_least_one(df, "v")),
+    (fused.not_constant("c", "v", ["g", "h"]), lambda df: checks.not_constant(df, "v", ["g", "h"])),
+    (fused.not_constant("d", "v", ["h", "g"], where="v > 1"), lambda df: checks.not_constant(df.filter("v > 1"), "v", ["g", "h"])),
+    (fused.not_constant("e", "v"), lambda df: checks.not_constant(df, "v")),
+    (fused.unique_combination("f", ["g", "v"]), lambda df: checks.unique_combination(df, ["g", "v"])),
+    (fused.unique("g", "v"), lambda df: checks.unique(df, "v")),
+    (fused.unique("h", "v", where="h = 1"), lambda df: checks.unique(df.filter("h = 1"), "v")),
+    (fused.recency("i", "t", "day", 3, ["g"], FUSED_NOW), lambda df: checks.recency(df, "t", "day", 3, group_by=["g"], now=FUSED_NOW)),
+    (fused.recency("j", "t", "day", 3, now=FUSED_NOW), lambda df: checks.recency(df, "t", "day", 3, now=FUSED_NOW)),
+    (fused.holds("k", "v < 3"), lambda df: checks.expression_is_true(df, "v < 3")),
+    (fused.not_null("l", "v", where="h = 1"), lambda df: checks.not_null(df.filter("h = 1"), "v")),
+    (fused.not_null("m", "g"), lambda df: checks.not_null(df, "g")),
+]
+SHARES = [
+    (fused.not_null_proportion("n", "v", 0.5, 0.9, ["g"]), lambda df: checks.not_null_proportion(df, "v", 0.5, 0.9, ["g"])),
+    (fused.not_null_proportion("o", "v", 0.9), lambda df: checks.not_null_proportion(df, "v", 0.9)),
+]
+
+
+def mixed_rows(spark, n):
+    """Groups of several sizes with NULL keys and values; one group holds about a third of all rows."""
+    v = F.when(F.col("id") % 4 != 0, F.col("id") % 7)
+    g = F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 11 != 0, F.col("id") % 29)
+    t = F.timestamp_add("HOUR", -(F.col("id") % 200).cast("int"), F.lit("2024-02-01 00:00:00").cast("timestamp_ntz"))
+    return spark.range(n).select(g.alias("g"), (F.col("id") % 2).alias("h"), v.alias("v"), t.alias("t"))
+
+
+@pytest.mark.parametrize("n", [0, 1, 12, 400])
+def test_fused_rules_count_like_the_checks(spark, n):
+    df = mixed_rows(spark, n)
+    pairs = FUSED + (SHARES if n else [])
+    got = {r["check"]: (r.failures, r.status) for r in fused.run_rules(df, [rule for rule, _ in pairs]).collect()}
+    want = {rule.name: build(df).count() for rule, build in pairs}
+    assert got == {name: (count, "error" if count else "pass") for name, count in want.items()}
+
+
+def test_fused_rules_read_the_table_once(spark, tmp_path):
+    mixed_rows(spark, 50).write.parquet(f"{tmp_path}/rows")
+    rules = [rule for rule, _ in FUSED + SHARES]
+    plan = fused.run_rules(spark.read.parquet(f"{tmp_path}/rows"), rules)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_fused_rules_have_thresholds(spark):
+    df = mixed_rows(spark, 100)
+    rules = [
+        fused.holds("warned", "v < 3", severity="warn"),
+        fused.holds("few", "v < 3", warn_if="> 1", error_if="> 1000"),
+        fused.holds("fine", "v < 3", warn_if="> 1000", error_if="> 1000"),
+    ]
+    assert {r["check"]: r.status for r in fused.run_rules(df, rules).collect()} == {
+        "warned": "warn", "few": "warn", "fine": "pass",
+    }
+    assert fused.run_rules(df, rules[:1]).columns == ["check", "failures", "status"]
+    with pytest.raises(ValueError, match="no rules"):
+        fused.run_rules(df, [])
+
+
+def test_fused_rules_share_of_an_empty_table(spark):
+    """No rows, no share."""
+    df = mixed_rows(spark, 0)
+    assert [r.failures for r in fused.run_rules(df, [rule for rule, _ in SHARES]).collect()] == [0, 0]

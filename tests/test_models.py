@@ -13,7 +13,7 @@ from compare import plain
 from compare import rows as bag
 from pyspark.sql import functions as F
 
-from caseworks.plans import flags
+from caseworks.plans import flags, marts
 from caseworks.plans.marts import INTERMEDIATE, MARTS, publish
 from caseworks.schemas import BENEF_COLUMNS, BONUS_LINE_COLUMNS, COMPILED_BONUS_COLUMNS, RDV_COLUMNS
 from caseworks.sources.tables import read
@@ -240,3 +240,38 @@ def test_publish_replaces_tables(world, spark, tmp_path):
         publish(tables.__getitem__, str(tmp_path), ["mrt_activite", "mrt_facture"])
     written = read(spark, f"{tmp_path}/mrt_facture")
     assert bag(written.columns, written.collect()) == bag(written.columns, MARTS["mrt_facture"](tables.__getitem__).collect())
+
+
+def test_publish_builds_shared_steps_once(world, spark, tmp_path, monkeypatch):
+    _, tables, _ = world
+    names = ["mrt_rdv_detail", "mrt_activite", "mrt_referent_rdv_ca", "mrt_benef_ca_prime"]
+    built = Counter()
+
+    def counting(name, step):
+        def build(*inputs):
+            built[name] += 1
+            return step.build(*inputs)
+
+        return marts.Step(build, step.inputs)
+
+    want = {n: bag(MARTS[n](tables.__getitem__).columns, MARTS[n](tables.__getitem__).collect()) for n in names}
+    monkeypatch.setattr(marts, "SHARED", {n: counting(n, s) for n, s in marts.SHARED.items()})
+    shared = tmp_path / "shared"
+    monkeypatch.setattr(marts, "shared_folder", lambda _: str(shared))
+    publish(tables.__getitem__, str(tmp_path / "marts"), names)
+    assert built == {"known_slots": 1, "bonuses": 1}
+    for name in names:
+        written = read(spark, f"{tmp_path}/marts/{name}")
+        assert bag(written.columns, written.collect()) == want[name]
+    assert list(shared.iterdir()) == []
+
+
+def test_publish_removes_shared_steps_after_a_failure(world, spark, tmp_path, monkeypatch):
+    _, tables, _ = world
+    shared = tmp_path / "shared"
+    monkeypatch.setattr(marts, "shared_folder", lambda _: str(shared))
+    broken = dict(tables, facture=tables["facture"].withColumn("id_benef", F.raise_error(F.lit("broken")).cast("bigint")))
+    with pytest.raises(Exception, match="broken"):
+        publish(broken.__getitem__, str(tmp_path / "marts"), ["mrt_rdv_detail", "mrt_referent_rdv_ca"])
+    assert read(spark, f"{tmp_path}/marts/mrt_rdv_detail").count() > 0
+    assert list(shared.iterdir()) == []

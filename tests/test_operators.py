@@ -6,7 +6,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from caseworks.operators import joins, ordered, reports, reshape
+from caseworks.operators import frequent, joins, ordered, reports, reshape
 from caseworks.operators import rows as row_ops
 
 
@@ -235,3 +235,32 @@ def test_reports(spark):
     assert rows(reports.parameter_traffic(df, "url", ["ref"])) == [("ref", None, 1), ("ref", "1", 1)]
     numbers = spark.createDataFrame([(1.5,), (2.5,), (99.0,)], "x double")
     assert rows(reports.histogram(numbers, "x", 0.0, 10.0, 5)) == [(1, 1), (2, 1), (6, 1)]
+
+
+def full_count(df, column, most):
+    return [tuple(r) for r in row_ops.column_values(df, column, max_records=most).collect()]
+
+
+@pytest.mark.parametrize("buckets", [1, 8, 64, 1 << 16])
+@pytest.mark.parametrize("shape", ["skewed", "even", "hot", "none"])
+def test_most_frequent_equals_the_full_count(spark, shape, buckets):
+    number = F.col("id")
+    value = {
+        "skewed": F.floor(5000 / (number + 1)),
+        "even": number % 500,
+        "hot": F.when(number % 3 == 0, -1).when(number % 5 != 0, number),  # NULL is the second most frequent
+        "none": F.lit(None).cast("bigint"),
+    }[shape]
+    df = spark.range(4000).select(value.alias("v"))
+    for most in (1, 7, 600):
+        got = [tuple(r) for r in frequent.most_frequent(df, "v", most, buckets=buckets).collect()]
+        assert got == full_count(df, "v", most)
+
+
+def test_most_frequent_of_few_rows(spark):
+    df = spark.createDataFrame([(0.0, "x"), (-0.0, "x"), (1.5, "y"), (float("nan"), "x"), (float("nan"), "x")], "v double, w string")
+    assert frequent.most_frequent(df, "v", 5, where="w = 'none'").collect() == []
+    assert [r.n for r in frequent.most_frequent(df, "v", 5).collect()] == [2, 2, 1]
+    assert [tuple(r) for r in frequent.most_frequent(df, "v", 5, where="w = 'y'").collect()] == [(1.5, 1)]
+    with pytest.raises(ValueError, match="one value"):
+        frequent.most_frequent(df, "v", 0)
