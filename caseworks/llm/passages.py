@@ -8,8 +8,8 @@ smaller doc_id is removed; all windows are judged on the input.
    mostly share theirs, so there are about 13 times fewer anchors than windows.
 2. Whole copies are settled by the digest: all windows of a copy start in the first document of its group.
 3. The anchors of the first documents are counted in a count-min sketch: every task sums its own cells, the sums
-   are merged by cell, and the cells counted twice or more become a bit map of fixed size. An anchor in two
-   documents always passes. What passes is grouped exactly by anchor.
+   are merged by cell, and the cells counted twice or more become a bit map. Its size follows the number of anchors, up
+   to 64 MB. An anchor in two documents always passes. What passes is grouped exactly by anchor.
 4. The documents that hold an anchor of several documents are read again; their windows around such anchors are
    grouped exactly, by 128-bit hashes, with the smallest doc_id of each. Nothing that repeats is lost: a fuller
    sketch only lets more through.
@@ -36,7 +36,11 @@ from caseworks.llm.support import settled
 
 WINDOW = 50
 GRAM = 25
-SKETCH_BITS = 25  # cells per row of the sketch: 2**25; two rows, one bit per cell when sent to the tasks
+# Cells per row of the sketch: four an anchor, to the next power of two, and 2**28 at most. Two rows, one bit per cell
+# when sent to the tasks. An anchor that does not repeat passes with (1 - exp(-anchors / cells))**2: 5% at most up to 67
+# million anchors, some 40% with 270 million.
+CELLS_PER_ANCHOR = 4
+SKETCH_BITS = 28
 _U = np.uint64
 
 
@@ -84,9 +88,14 @@ def _described(batches):
             })
 
 
-def _sketch(anchors: DataFrame) -> np.ndarray:
+def sketch_bits(anchors: int) -> int:
+    """Cells per row for so many anchors, as a power of two."""
+    return min(max(CELLS_PER_ANCHOR * anchors - 1, 63).bit_length(), SKETCH_BITS)
+
+
+def _sketch(anchors: DataFrame, bits: int) -> np.ndarray:
     """Two rows of bits: the cells that were counted twice or more."""
-    cells = 1 << SKETCH_BITS
+    cells = 1 << bits
     place = F.array(
         F.col("anchor").bitwiseAND(cells - 1), F.shiftrightunsigned("anchor", 32).bitwiseAND(cells - 1) + cells
     )
@@ -101,9 +110,8 @@ def _sketch(anchors: DataFrame) -> np.ndarray:
 
 def _maybe_repeated(rows: DataFrame, sketch) -> DataFrame:
     """(doc_id, text_key, anchor) of the anchors that the sketch counts twice or more."""
-    mask = (1 << SKETCH_BITS) - 1
-
     def kept(batches):
+        mask = len(sketch.value) * 32 - 1
         for batch in batches:
             anchors = batch.column("anchors")
             flat = anchors.flatten().to_numpy(zero_copy_only=False)
@@ -177,7 +185,10 @@ def repeated_starts(firsts: DataFrame, documents: DataFrame) -> DataFrame:
 
     ``firsts`` holds the anchors of the documents to look at.
     """
-    sketch = documents.sparkSession.sparkContext.broadcast(_sketch(firsts.select(F.explode("anchors").alias("anchor"))))
+    firsts = settled(firsts)
+    found = firsts.agg(F.sum(F.size("anchors")).alias("n")).first().n or 0
+    single = firsts.select(F.explode("anchors").alias("anchor"))
+    sketch = documents.sparkSession.sparkContext.broadcast(_sketch(single, sketch_bits(found)))
     passed = settled(_maybe_repeated(firsts, sketch))
     shared = passed.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low != high")
     per_document = settled(

@@ -9,6 +9,7 @@ from collections import Counter
 import brute
 import odd
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from caseworks.llm import langid, lines, minhash, mixing, passages, pieces, rules
@@ -197,6 +198,22 @@ def test_substrings_with_hot_passages(spark):
     assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in rows} == brute.substring_dedup(docs)
 
 
+def test_the_sketch_follows_the_anchors(spark):
+    """Four cells an anchor up to the bound; few single anchors pass, and all repeated ones do."""
+    assert [passages.sketch_bits(n) for n in (0, 16, 17, 1000, 10**6, 67_108_864, 10**12)] == [6, 6, 7, 12, 22, 28, 28]
+    n = 5000
+    rng = random.Random(8)
+    single = [rng.getrandbits(63) for _ in range(n)]
+    twice = [-rng.getrandbits(62) - 1 for _ in range(500)]
+    rows = [(i, 0, [a]) for i, a in enumerate(single)] + [(n + i, 0, [a]) for i, a in enumerate(twice + twice)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text_key bigint, anchors array<bigint>")
+    anchors = df.select(F.explode("anchors").alias("anchor"))
+    sketch = spark.sparkContext.broadcast(passages._sketch(anchors, passages.sketch_bits(len(rows))))
+    passed = [r.anchor for r in passages._maybe_repeated(df, sketch).collect()]
+    assert sorted(a for a in passed if a < 0) == sorted(twice + twice)
+    assert sum(a >= 0 for a in passed) < 0.08 * n
+
+
 def test_a_full_sketch_changes_nothing(spark, monkeypatch):
     monkeypatch.setattr(passages, "SKETCH_BITS", 7)
     docs = [(i, " ".join(prose(i % 4, 70) + prose(100 + i, 30))) for i in range(20)]
