@@ -1,8 +1,9 @@
 """Many checks of one table from one scan.
 
-Rules with equal group keys share one grouping, and all groupings share one scan and one shuffle (GROUPING SETS). Rows
-are reduced per group and task before the shuffle, so a hot group sends one row per task. Rules without groups and
-rules on single rows are read off the empty grouping. A rule counts like the check of the same name in
+Rules with equal group keys share one grouping, and all groupings share one scan and one shuffle of their groups. Rows
+are reduced per group and task before that shuffle, so a hot group sends one row per task. The rows are dealt out evenly
+first: a task that met many rows of nearly unique groups would spill them. Rules without groups and rules on single rows
+are read off the empty grouping. A rule counts like the check of the same name in
 :mod:`caseworks.quality.checks`: groups that violate it, or rows for :func:`holds`. NULL keys form a group.
 
 ``where`` is SQL text and limits a rule to part of the table; a group without such a row does not exist for it. On a
@@ -12,12 +13,15 @@ table without rows a rule without groups sees no value at all: ``at_least_one``
 from __future__ import annotations
 
 import datetime as dt
+from collections import Counter
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from decimal import Decimal
+from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from caseworks.quality.suite import status_of
 
@@ -106,34 +110,52 @@ def recency(
     return Rule(name, (("max", f"`{field}`"),), violated, tuple(group_by), **rule)
 
 
+def _keys(rule: Rule) -> tuple[str, ...]:
+    return tuple(sorted(set(rule.group_by)))
+
+
 def run_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """One (check, failures, status) row per rule."""
     if not rules:
         raise ValueError("no rules")
     # The same columns in another order are the same groups.
-    groupings = list(dict.fromkeys(tuple(sorted(set(rule.group_by))) for rule in rules))
-    keys = sorted({key for grouping in groupings for key in grouping})
-    parts = {part: f"_part{i}" for i, part in enumerate(dict.fromkeys(p for rule in rules for p in rule.limited()))}
-
-    # A grouping's number has a bit for each key that is not part of it, the first key's highest.
-    number = {g: sum(1 << (len(keys) - 1 - i) for i, key in enumerate(keys) if key not in g) for g in groupings}
-    # Keys are copied, so that parts read the columns themselves.
-    key_names = {key: f"_key{i}" for i, key in enumerate(keys)}
-    rows = df.withColumns({new: F.col(f"`{key}`") for key, new in key_names.items()}) if keys else df
-    gathered = [GATHER[kind](F.expr(text)).alias(column) for (kind, text), column in parts.items()]
-    if keys:
-        sets = [[key_names[key] for key in grouping] for grouping in groupings]
-        grouped = rows.groupingSets(sets, *key_names.values()).agg(F.grouping_id().alias("_grouping"), *gathered)
-    else:
-        grouped = rows.agg(F.lit(0).alias("_grouping"), *gathered)
+    groupings = list(dict.fromkeys(_keys(rule) for rule in rules))
+    wanted = {g: list(dict.fromkeys(p for rule in rules if _keys(rule) == g for p in rule.limited())) for g in groupings}
+    texts = [text for parts in wanted.values() for _, text in parts]
+    kinds = dict(zip(texts, (f.dataType for f in df.select(*[F.expr(text) for text in texts]).schema)))
+    key_kinds = {key: df.select(f"`{key}`").schema[0].dataType for grouping in groupings for key in grouping}
+
+    # Groupings put their keys and parts into the same columns, by type, so that no row carries what others gather.
+    places: dict[tuple[tuple[str, ...], Any], str] = {}
+    slots: dict[str, tuple[str, DataType]] = {}
+    names: dict[tuple[str, DataType, int], str] = {}
+    for g in groupings:
+        used: Counter = Counter()
+        members = [(key, "key", key_kinds[key]) for key in g] + [(part, part[0], kinds[part[1]]) for part in wanted[g]]
+        for member, role, kind in members:
+            name = names.setdefault((role, kind, used[role, kind]), f"_{role}{len(names)}")
+            used[role, kind] += 1
+            slots[name], places[g, member] = (role, kind), name
+
+    def row_of(number: int, grouping: tuple[str, ...]) -> Column:
+        filled = {places[grouping, key]: F.col(f"`{key}`") for key in grouping}
+        filled |= {places[grouping, part]: F.expr(part[1]) for part in wanted[grouping]}
+        empty = {name: F.lit(None).cast(kind) for name, (_, kind) in slots.items()}
+        return F.struct(F.lit(number).alias("_grouping"), *[c.alias(name) for name, c in (empty | filled).items()])
+
+    # Tasks of even size before the groups are gathered: what a task gathers fits its memory, on tables of any size.
+    rows = df.hint("rebalance") if key_kinds else df
+    rows = rows.select(F.inline(F.array(*[row_of(i, g) for i, g in enumerate(groupings)])))
+    gathered = [GATHER[role](name).alias(name) for name, (role, _) in slots.items() if role != "key"]
+    grouped = rows.groupBy("_grouping", *[name for name, (role, _) in slots.items() if role == "key"]).agg(*gathered)
 
     def own(rule: Rule) -> Column:
-        return F.col("_grouping") == number[tuple(sorted(set(rule.group_by)))]
+        return F.col("_grouping") == groupings.index(_keys(rule))
 
     # Counts of violating groups, and the parts of the whole table; exactly one row, also for an empty table.
     totals: dict[str, Column] = {}
     for i, rule in enumerate(rules):
-        *found, seen = [parts[p] for p in rule.limited()]
+        *found, seen = [places[_keys(rule), p] for p in rule.limited()]
         if rule.group_by:
             totals[f"_n{i}"] = F.count_if(own(rule) & (F.col(seen) > 0) & rule.violated(*map(F.col, found)))
             continue
@@ -145,7 +167,7 @@ def run_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     def failures(i: int, rule: Rule) -> Column:
         if rule.group_by:
             return F.col(f"_n{i}")
-        found = [F.col(f"_all{parts[p]}") for p in rule.limited()[:-1]]
+        found = [F.col(f"_all{places[(), p]}") for p in rule.limited()[:-1]]
         return F.when(rule.violated(*found), 1).otherwise(0) if rule.violated else found[0]
 
     counted = whole.select(*[failures(i, rule).cast("bigint").alias(f"_f{i}") for i, rule in enumerate(rules)])

@@ -282,3 +282,17 @@ def test_fused_rules_share_of_an_empty_table(spark):
     """No rows, no share."""
     df = mixed_rows(spark, 0)
     assert [r.failures for r in fused.run_rules(df, [rule for rule, _ in SHARES]).collect()] == [0, 0]
+
+
+def test_fused_groupings_share_columns_and_meet_in_even_tasks(spark):
+    """No group's row carries the keys or parts of other groupings, and no task meets more rows than others."""
+    df = mixed_rows(spark, 50)
+    keys = [fused.unique_combination(name, [name]) for name in ("g", "h", "v")]
+    latest = fused.recency("t", "t", "day", 3, ["t"], FUSED_NOW)
+    result = fused.run_rules(df, [*keys, latest])
+    plan = result._jdf.queryExecution().optimizedPlan().toString()
+    assert "RebalancePartitions" in plan
+    grouped = next(line for line in plan.splitlines() if "Aggregate [_grouping" in line).partition("], [")[0]
+    assert grouped.count("_key") == 2  # one for the three numbers, one for the time
+    assert [r.failures for r in result.collect()] == [*(checks.unique_combination(df, [c]).count() for c in "ghv"),
+        checks.recency(df, "t", "day", 3, group_by=["t"], now=FUSED_NOW).count()]
