@@ -24,6 +24,8 @@ BENEF_SLOT_COLUMNS = [
 # A beneficiary's appointments with one counsellor on one day: the unit ranks are built from.
 DAY_KEYS = ["id_benef", "_counsellor", "_day"]
 NO_DAY, NO_DAY_SPAN = -(10**9), 10**8
+TIE_BREAK = [c for c in SLOT_KEYS if c not in ("id_benef", "referent", "date_deb")]
+MANY = 100_000  # rows of one beneficiary that a task takes; more are spread by day
 
 
 def _planned_minutes() -> Column:
@@ -124,6 +126,30 @@ def benef_pairs(benef: DataFrame) -> DataFrame:
     )
 
 
+def numerous(rows: DataFrame) -> DataFrame:
+    """Beneficiaries with more than ``MANY`` rows: few, however large the table."""
+    return rows.filter(is_known()).groupBy("id_benef").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > MANY).select("id_benef")
+
+
+def by_size(known: DataFrame, many: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The slots of most beneficiaries, and of those that ``many`` names."""
+    return tuple(known.join(F.broadcast(many), "id_benef", how) for how in ("left_anti", "left_semi"))
+
+
+def ranked_together(known: DataFrame, facts: DataFrame) -> DataFrame:
+    """Slots as :func:`ranked_slots` gives them, each beneficiary's in one task: no more than ``MANY`` each.
+
+    The wide slot rows are shuffled once, by beneficiary, for ranks and facts; their order over days is that of the
+    entry times. ``_slots`` counts a beneficiary's slots.
+    """
+    pair = Window.partitionBy("id_benef", "referent")
+    placed = known.repartition("id_benef")
+    placed = placed.withColumn("_place", F.row_number().over(pair.orderBy("date_deb", *TIE_BREAK)))
+    placed = placed.withColumn("_total", F.count(F.lit(1)).over(pair))
+    placed = placed.withColumn("_slots", F.count(F.lit(1)).over(Window.partitionBy("id_benef")))
+    return _ranked(placed.join(facts, "id_benef", "left"), F.col("_place"))
+
+
 def ranked_slots(known: DataFrame, per_day: DataFrame, facts: DataFrame) -> DataFrame:
     """Slots with their beneficiary facts, entry rank and exit rank.
 
@@ -142,11 +168,13 @@ def ranked_slots(known: DataFrame, per_day: DataFrame, facts: DataFrame) -> Data
         }
     ).join(facts, "id_benef", "left")
 
-    tie_break = [c for c in SLOT_KEYS if c not in ("id_benef", "referent", "date_deb")]
-    in_day = Window.partitionBy(*DAY_KEYS).orderBy("date_deb", *tie_break)
+    in_day = Window.partitionBy(*DAY_KEYS).orderBy("date_deb", *TIE_BREAK)
     placed = known.withColumn("_place", F.row_number().over(in_day)).join(days.drop("_in_day"), DAY_KEYS)
+    return _ranked(placed, F.col("_before") + F.col("_place"))
+
 
-    place = F.col("_before") + F.col("_place")
+def _ranked(placed: DataFrame, place: Column) -> DataFrame:
+    """Times and ranks from a slot's place among its pair's slots and the beneficiary facts."""
     number, copies = F.coalesce("_pair", F.lit(1)), F.coalesce("_pairs", F.lit(1))
     exit_rank = (number - 1) * F.col("_total") + place
     timed = placed.withColumns(
@@ -168,6 +196,10 @@ RANK_COLUMNS = [
 ]
 
 
-def appointment_detail(known: DataFrame, benef: DataFrame) -> DataFrame:
+def appointment_detail(known: DataFrame, rdv: DataFrame, benef: DataFrame) -> DataFrame:
     """The known slots with planned and worked time and both ranks."""
-    return ranked_slots(known, slots_per_day(known), benef_pairs(benef)).select(*BENEF_SLOT_COLUMNS, *RANK_COLUMNS)
+    most, many = by_size(known, numerous(rdv))
+    facts = benef_pairs(benef)
+    spread = ranked_slots(many, slots_per_day(many), facts)
+    columns = [*BENEF_SLOT_COLUMNS, *RANK_COLUMNS]
+    return ranked_together(most, facts).select(*columns).unionAll(spread.select(*columns))

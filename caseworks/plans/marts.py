@@ -78,9 +78,9 @@ MARTS: dict[str, Step] = {
     "mrt_presence": _staged(attendance.attendance, "sessions"),
     "mrt_prime": _staged(bonus.bonus_lines, "bonus_files", "benef"),
     "mrt_rdv": _staged(appointments.attendees_per_slot, "rdv", "benef"),
-    "mrt_rdv_detail": _staged(appointments.appointment_detail, "known_slots", "benef"),
+    "mrt_rdv_detail": _staged(appointments.appointment_detail, "known_slots", "rdv", "benef"),
     "mrt_referent_Ca": _staged(revenue.revenue_lines, "facture", "benef"),
-    "mrt_referent_rdv_ca": _staged(revenue.revenue_per_appointment, "known_slots", "benef", "facture", "bonuses"),
+    "mrt_referent_rdv_ca": _staged(revenue.revenue_per_appointment, "known_slots", "rdv", "benef", "facture", "bonuses"),
     "BDD_BU_SECURE": _staged(lambda table: table, "business_units"),
 }
 

@@ -93,20 +93,29 @@ def revenue_with_bonus(facture: DataFrame, benef: DataFrame, bonuses: DataFrame)
     )
 
 
-def revenue_per_appointment(known: DataFrame, benef: DataFrame, facture: DataFrame, bonuses: DataFrame) -> DataFrame:
+def revenue_per_appointment(
+    known: DataFrame, rdv: DataFrame, benef: DataFrame, facture: DataFrame, bonuses: DataFrame
+) -> DataFrame:
     """A beneficiary's revenue spread evenly over the known slots, with ranks and, on first slots, bonuses."""
-    per_day = apt.slots_per_day(known)
-    per_benef = per_day.groupBy("id_benef").agg(F.sum("_in_day").alias("_slots"))
     revenue = _owner_totals(facture, benef.filter(apt.is_known())).groupBy("id_benef").agg(*_totals())
-    facts = per_benef.join(apt.benef_pairs(benef), "id_benef", "left").join(revenue, "id_benef", "left")
-    ranked = apt.ranked_slots(known, per_day, facts)
+    bonuses = bonuses.select("id_benef", "Montant_prime", "Date_primes")
+    pairs = apt.benef_pairs(benef)
+    most, many = apt.by_size(known, apt.numerous(rdv).unionAll(apt.numerous(bonuses)))
 
+    # Ids are never NULL here; most of them have their slots, facts and bonuses in one task.
+    ranked = apt.ranked_together(most, pairs.join(revenue, "id_benef", "left"))
+    together = ranked.join(bonuses, "id_benef", "left")
+
+    per_day = apt.slots_per_day(many)
+    per_benef = per_day.groupBy("id_benef").agg(F.sum("_in_day").alias("_slots"))
+    facts = per_benef.join(pairs, "id_benef", "left").join(revenue, "id_benef", "left")
     # Bonuses join on the same day keys as the ranks: no further shuffle of the wide rows.
-    bonuses = bonuses.select("id_benef", "Montant_prime", "Date_primes")
     # Asking for the day's count, always positive, lets this branch reuse the exchange of per_day.
     per_day_bonus = per_day.filter("_in_day > 0").select(*apt.DAY_KEYS).join(bonuses, "id_benef")
+    spread = apt.ranked_slots(many, per_day, facts).join(per_day_bonus, apt.DAY_KEYS, "left")
+
     slot_count = (F.col("_slots") * F.coalesce("_variants", F.lit(1))).cast("double")
-    return ranked.join(per_day_bonus, apt.DAY_KEYS, "left").select(
+    columns = [
         *apt.BENEF_SLOT_COLUMNS,
         "date_facture",
         "region",
@@ -115,4 +124,5 @@ def revenue_per_appointment(known: DataFrame, benef: DataFrame, facture: DataFra
         *apt.RANK_COLUMNS,
         F.when(F.col("rang_entree") == 1, F.col("Montant_prime")).otherwise(0).alias("Montant_prime"),
         "Date_primes",
-    )
+    ]
+    return together.select(*columns).unionAll(spread.select(*columns))

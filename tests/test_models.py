@@ -13,7 +13,7 @@ from compare import plain
 from compare import rows as bag
 from pyspark.sql import functions as F
 
-from caseworks.plans import flags, marts
+from caseworks.plans import appointments, flags, marts
 from caseworks.plans.marts import INTERMEDIATE, MARTS, publish
 from caseworks.schemas import BENEF_COLUMNS, BONUS_LINE_COLUMNS, COMPILED_BONUS_COLUMNS, RDV_COLUMNS
 from caseworks.sources.tables import read
@@ -177,6 +177,26 @@ def test_ranks_follow_entry_and_end(world):
         assert all(r["rang_sortie"] is None for r in rows if not r["date_fin_prest"])
 
 
+@pytest.mark.parametrize("name", ["mrt_rdv_detail", "mrt_referent_rdv_ca"])
+@pytest.mark.parametrize("many", [0, 4])
+def test_ranks_are_the_same_for_ids_spread_by_day(world, monkeypatch, name, many):
+    """However few rows make an id one that is spread by day; some of these ids have more than four."""
+    repeated, tables, _ = world
+    usual = MARTS[name](tables.__getitem__)
+    want = bag([c for c in usual.columns if not (repeated and c in TIED)], usual.drop(*(TIED if repeated else ())).collect())
+    monkeypatch.setattr(appointments, "MANY", many)
+    spread = MARTS[name](tables.__getitem__)
+    assert bag([c for c in spread.columns if not (repeated and c in TIED)], spread.drop(*(TIED if repeated else ())).collect()) == want
+
+
+def test_slots_of_usual_ids_meet_their_facts_in_one_shuffle(world):
+    """By beneficiary, for ranks, facts and bonuses; no day of theirs carries the facts through a shuffle."""
+    plan = MARTS["mrt_referent_rdv_ca"](world[1].__getitem__)._jdf.queryExecution().optimizedPlan().toString()
+    together = plan.partition("\n+- ")[0]  # the first part of the union
+    assert "RepartitionByExpression [id_benef" in together
+    assert "_day" not in together
+
+
 def test_spread_revenue_adds_up_and_bonuses_show_once_per_counsellor(world):
     repeated, _, _ = world
     if repeated:
