@@ -17,11 +17,13 @@ Within a star, every member L is told by D(L), the shingles that only one of it
 shingles is alike (0.75) exactly if D(L) and D(M) have at least o = (|D(L)| + |D(M)| - (n + m) / 7) / 2 shingles in
 common, which is at least one if either is not linked with the centre. In a common order a pair with o shingles in
 common has k of them among the first |D| - o + k of each side, for every k up to o (a prefix filter; k is ``SHARED``).
-First come shingles that are in D of one component only, which no two members apart have in common, then rare ones. As
-o depends on the partner, members are classed by |D| and by size, in steps of three percent, and a member shows each
-class that its star has a prefix made for it. Near copies with changes of their own and excerpts with endings of their
-own so seldom share enough to be compared. Pairs that do are compared on the full sets, once; no bucket is capped and
-no link between members of a bucket is lost.
+First come shingles that are in D of one component only, which no two members apart have in common, then rare ones.
+With the weight 7 |D| - n of a member, 14 o is the sum of both weights; so a shingle of D has room for partners up to a
+weight that follows from its place, and a pair meets at it if the sum fits into the room of both. A member shows each
+shingle once, and only those with room for the lightest member of another component. Rows whose room is under twice
+their weight never fit one another; they meet the wider ones only. Near copies with changes of their own and excerpts
+with endings of their own so seldom share enough to be compared. Pairs that do are compared on the full sets, once; no
+bucket is capped and no link between members of a bucket is lost.
 
 Results for odd rows: without text or words the set is empty and linked with nothing; fewer than five words make
 one shingle of all words. Rows without a doc_id are linked with nothing and are kept. Rows that share a doc_id
@@ -30,9 +32,6 @@ are one document. Repeated rows give repeated result rows. An empty table gives
 
 from __future__ import annotations
 
-import math
-from functools import cache
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -50,11 +49,7 @@ FEW_IDS = 500_000  # ids of 8 bytes that are sent to every task; with more the j
 # (fewest shingles, most shingles, salted copies of each)
 CLASSES = ((1, 64, 64), (49, 512, 8), (385, None, 1))
 _U = np.uint64
-STEP = 1.03  # between classes of sizes
 SHARED = 4  # shingles of their prefixes that a pair has in common before it is compared
-SHOWN_ROWS = 256  # members whose keys are made at once
-SHOWN_MEMBERS = 1024  # members whose keys a task makes
-SHOWN = ("key", "side", "b", "root", "differ", "size")
 _SALTS = constants(21, 64)
 _FACTORS = constants(22, BINS) | _U(1)
 _EMPTY = _U(2**64 - 1)
@@ -237,66 +232,25 @@ def _split_buckets(placed: DataFrame, best: DataFrame, roots: DataFrame) -> Data
     return rows.join(settled(split), "key").filter("rep != centre").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
 
 
-@cache
-def _class_bounds() -> np.ndarray:
-    """The smallest size of each class."""
-    bounds = [0, 1]
-    while bounds[-1] < 1 << 40:
-        bounds.append(max(bounds[-1] + 1, math.ceil(bounds[-1] * STEP)))
-    return np.array(bounds)
-
-
-def _classes(sizes: np.ndarray | int) -> np.ndarray:
-    return np.searchsorted(_class_bounds(), sizes, side="right") - 1
-
-
-def _classed(batches):
-    for batch in batches:
-        yield pa.record_batch({
-            **{c: batch.column(c) for c in ("a", "root", "several")},
-            **{c: _classes(batch.column(c).to_numpy()) for c in ("differ", "nb")},
-        })
-
-
-def _prefix(own: np.ndarray, differ: int, size: int, root: int, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each kind of partner (rows: class of |D|, class of size, smallest and largest component, most shingles like
-    ``own``) the number of shingles of ``own`` to show it, and all of these. ``own`` are the shingles of D that members
-    of several components have, rarest first."""
-    bounds = _class_bounds()
-    d, n = kinds[:, 0], kinds[:, 1]
-    low, high, smallest, largest = bounds[d], bounds[d + 1] - 1, bounds[n], bounds[n + 1] - 1
-    need = np.maximum(1, -((size + largest - 7 * (differ + low)) // 14))
-    able = (need <= np.minimum(differ, high)) & (4 * largest >= 3 * size) & (4 * size >= 3 * smallest)
-    able &= (kinds[:, 2] != root) | (kinds[:, 3] != root)
-    # The others of D come first and are in no other component's.
-    able &= need <= np.minimum(len(own), kinds[:, 4])
-    shown = np.where(able, len(own) - need + np.minimum(need, SHARED), 0)
-    place = np.arange(shown.sum()) - np.repeat(np.cumsum(shown) - shown, shown)
-    return shown, own[place]
-
-
-def _shown(batches):
-    """The keys under which a member meets partners of each class."""
-    star, table = None, None
-    for whole in batches:
-        for at in range(0, whole.num_rows, SHOWN_ROWS):
-            batch, out = whole.slice(at, SHOWN_ROWS), []
-            ends, values = (x.to_numpy() for x in (batch.column("own").offsets, batch.column("own").values))
-            rows = (batch.column(c).to_numpy().tolist() for c in ("a", "b", "root", "differ", "nb"))
-            for i, (a, b, root, differ, size) in enumerate(zip(*rows)):
-                if a != star:
-                    star, table = a, np.array([list(k.values()) for k in batch.column("kinds")[i].as_py()])
-                shown, shingles = _prefix(values[ends[i] : ends[i + 1]], differ, size, root, table)
-                mine = int(_classes(differ)) << 20 | int(_classes(size))
-                theirs = np.repeat(table[:, 0] << 20 | table[:, 1], shown)
-                low, high = np.minimum(mine, theirs).astype(_U), np.maximum(mine, theirs).astype(_U)
-                key = mix(mix(mix(shingles.view(_U) ^ _U(a % 2**64)) ^ low) ^ high)
-                own = [np.full(len(key), value) for value in (b, root, differ, size)]
-                out.append((signed(key), np.sign(theirs - mine), *own))
-            yield pa.record_batch([np.concatenate(column) for column in zip(*out)], list(SHOWN))
-
-
-def _possible_pairs(apart: DataFrame, n_apart: int, documents: DataFrame) -> DataFrame:
+def _shown(members: DataFrame) -> DataFrame:
+    """Rows (a, shingle, b, root, nb, weight, room) of what members show in their star, from rows (a, b, own, root, differ,
+    nb); ``own`` are the shingles of D that members of several components have, rarest first. Partners may weigh up to
+    ``room`` less the own weight."""
+    weighed = members.withColumn("weight", 7 * F.col("differ") - F.col("nb"))
+    lightest = settled(weighed.groupBy("a").agg(F.min(F.struct("weight", "root")).alias("first")))
+    weighed = weighed.join(lightest, "a")
+    second = weighed.filter("root != first.root").groupBy("a").agg(F.min("weight").alias("second"))
+    weighed = weighed.join(settled(second), "a")
+    partner = F.when(F.col("root") == F.col("first.root"), F.col("second")).otherwise(F.col("first.weight"))
+    need = F.greatest(F.lit(1), F.ceil((F.col("weight") + partner) / 14))
+    size = F.size("own")
+    length = F.when(need <= size, size - need + F.least(need, F.lit(SHARED))).otherwise(0).cast("int")
+    shown = weighed.select("a", "b", "root", "nb", "weight", size.alias("_size"), F.posexplode(F.slice("own", F.lit(1), length)).alias("_at", "shingle"))
+    room = 14 * F.least(F.col("_size") - F.col("_at") + SHARED - 1, F.col("_size")).cast("bigint")
+    return shown.select("a", "shingle", "b", "root", "nb", "weight", room.alias("room"))
+
+
+def _possible_pairs(apart: DataFrame, documents: DataFrame) -> DataFrame:
     """Pairs (a, b) of members of one star, of different components, that may be alike."""
     rows = apart.select("a", "b", "root")
     shingles = settled(_with_texts(rows, documents).mapInArrow(_differences, "a bigint, b bigint, root bigint, shingle bigint"))
@@ -304,21 +258,16 @@ def _possible_pairs(apart: DataFrame, n_apart: int, documents: DataFrame) -> Dat
     own = shingles.join(settled(known.filter("r1 != r2").select("a", "shingle", "n")), ["a", "shingle"])
     own = own.groupBy("a", "b").agg(F.sort_array(F.collect_list(F.struct("n", "shingle")))["shingle"].alias("own"))
     sizes = apart.select("a", "b", "root", (F.col("na") + F.col("nb") - 2 * F.col("shared")).alias("differ"), "nb")
-    members = settled(own.join(sizes, ["a", "b"]))
-    kinds = members.select("a", "root", F.size("own").cast("bigint").alias("several"), "differ", "nb")
-    kinds = kinds.mapInArrow(_classed, "a bigint, root bigint, several bigint, differ bigint, nb bigint")
-    kinds = kinds.groupBy("a", "differ", "nb").agg(F.min("root").alias("r1"), F.max("root").alias("r2"), F.max("several").alias("several"))
-    kinds = settled(kinds.groupBy("a").agg(F.collect_list(F.struct("differ", "nb", "r1", "r2", "several")).alias("kinds")))
-    # A hot star's members are dealt out again: each task makes the keys of about as many members.
-    members = members.join(kinds, "a").select("a", "b", "root", "differ", "nb", "own", "kinds")
-    members = members.repartition(1 + n_apart // SHOWN_MEMBERS, "a", "b")
-    shown = settled(members.mapInArrow(_shown, ", ".join(f"{name} bigint" for name in SHOWN)))
-    several = shown.groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).filter("r1 != r2").select("key")
-    met = settled(shown.join(settled(several), "key"))
-    other = met.select("key", *[F.col(name).alias(f"_{name}") for name in SHOWN[1:]])
-    pairs = met.join(other, "key").filter("root != _root AND b < _b AND side = -_side")
-    need = F.ceil((7 * (F.col("differ") + F.col("_differ")) - F.col("size") - F.col("_size")) / 14)
-    pairs = pairs.groupBy(F.col("b").alias("a"), F.col("_b").alias("b")).agg(F.count(F.lit(1)).alias("n"), F.min(need).alias("need"))
+    shown = settled(_shown(settled(own.join(sizes, ["a", "b"]))))
+    several = shown.groupBy("a", "shingle").agg(F.min("root").alias("r1"), F.max("root").alias("r2"), F.min("weight").alias("lightest"))
+    several = settled(several.filter("r1 != r2").select("a", "shingle", "lightest"))
+    met = settled(shown.join(several, ["a", "shingle"]).filter("weight + lightest <= room").drop("lightest"))
+    wide = met.filter("2 * weight <= room")
+    other = met.select("a", "shingle", *[F.col(name).alias(f"_{name}") for name in ("b", "root", "nb", "weight", "room")])
+    pairs = wide.join(other, ["a", "shingle"]).filter("root != _root AND (b < _b OR 2 * _weight > _room)")
+    pairs = pairs.filter("weight + _weight <= least(room, _room) AND 4 * least(nb, _nb) >= 3 * greatest(nb, _nb)")
+    need = F.greatest(F.lit(1), F.ceil((F.col("weight") + F.col("_weight")) / 14))
+    pairs = pairs.groupBy(F.least("b", "_b").alias("a"), F.greatest("b", "_b").alias("b")).agg(F.count(F.lit(1)).alias("n"), F.min(need).alias("need"))
     return pairs.filter(F.col("n") >= F.least(F.col("need"), F.lit(SHARED))).select("a", "b")
 
 
@@ -340,7 +289,7 @@ def linked(classes: DataFrame, documents: DataFrame) -> DataFrame:
     n_apart = apart.count()
     if not n_apart:
         return roots
-    pairs = settled(_possible_pairs(in_parts(apart, n_apart), n_apart, documents))
+    pairs = settled(_possible_pairs(in_parts(apart, n_apart), documents))
     n_pairs = pairs.count()
     if not n_pairs:
         return roots

@@ -172,6 +172,31 @@ def test_pairs_of_a_group_grow_with_its_members(spark, monkeypatch, kind):
     assert sum(counts) < 2500, counts
 
 
+def test_members_show_no_more_than_their_differences(spark, monkeypatch):
+    """Copies of one text of many sizes, each with a share of its own of a common stock of words: what their members show
+    in a star is part of their differences to its centre, however many kinds of partners there are."""
+    draw, rows = random.Random(7), []
+    for i in range(240):
+        share, size = draw.uniform(0.03, 0.12), draw.randrange(230, 300)
+        rows.append((i, " ".join(f"b{j}or" if draw.random() < share else f"b{j}" for j in range(size))))
+    pairs, settled, made = minhash._possible_pairs, minhash.settled, []
+
+    def counted(df):
+        kept = settled(df)
+        made.append(kept.count())
+        return kept
+
+    def watched(*args):
+        with monkeypatch.context() as inside:
+            inside.setattr(minhash, "settled", counted)
+            return settled(pairs(*args))
+
+    monkeypatch.setattr(minhash, "_possible_pairs", watched)
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute.near_duplicates(rows)
+    differences, *others = made
+    assert max(others) < differences, made
+
 
 def test_substrings_on_odd_rows(odd_documents):
     rows = passages.op8_substring_dedup(odd_documents).collect()
