@@ -73,15 +73,14 @@ def benef_attributes(benef: DataFrame) -> DataFrame:
     return benef.groupBy("id_benef", *BENEF_ATTRIBUTES).agg(F.count(F.lit(1)).alias("_copies"))
 
 
-def _counted(slot_rows: DataFrame) -> DataFrame:
-    rows = F.col("_rows") * F.coalesce("_copies", F.lit(1))
-    return _labelled(slot_rows.withColumn("nb_de_personne_presente", rows))
+def _people() -> Column:
+    return F.col("_rows") * F.coalesce("_copies", F.lit(1))
 
 
 def benef_slots(rdv: DataFrame, benef: DataFrame) -> DataFrame:
     """Slots per beneficiary with status and follow-up: the counsellor's view."""
     joined = slots(rdv).join(benef_attributes(benef), "id_benef", "left")
-    return _counted(joined).select(*BENEF_SLOT_COLUMNS)
+    return _labelled(joined.withColumn("nb_de_personne_presente", _people())).select(*BENEF_SLOT_COLUMNS)
 
 
 def slots_per_day(known: DataFrame) -> DataFrame:
@@ -93,18 +92,21 @@ def slots_per_day(known: DataFrame) -> DataFrame:
 
 
 def is_known() -> Column:
-    """Real beneficiaries; id 0 and NULL are placeholders and may hold very many rows."""
-    return F.col("id_benef") != 0
+    """Real beneficiaries; id 0 and NULL are placeholders and may hold very many rows.
+
+    NULL is named, though it equals nothing: plans that differ in what Spark infers do not share their shuffles.
+    """
+    return F.col("id_benef").isNotNull() & (F.col("id_benef") != 0)
 
 
-def known_slots(rdv: DataFrame) -> DataFrame:
-    """Slots of real beneficiaries, with NULL-free day keys.
+def by_day(slot_rows: DataFrame) -> DataFrame:
+    """Slots with their NULL-free day keys.
 
     Slots without a start come before all days. They are ordered by their end first, so they are dealt by the day of
     their end; what has neither is one slot per set of its other columns.
     """
     undated = F.coalesce(F.floor(F.col("date_fin") / 86400), F.lit(-NO_DAY_SPAN))
-    return slots(rdv.filter(is_known())).withColumns(
+    return slot_rows.withColumns(
         {
             "_counsellor": F.coalesce(F.concat(F.lit("="), "referent"), F.lit("")),
             "_day": F.coalesce(F.floor(F.col("date_deb") / 86400), NO_DAY + undated),
@@ -115,9 +117,10 @@ def known_slots(rdv: DataFrame) -> DataFrame:
 def benef_pairs(benef: DataFrame) -> DataFrame:
     """Per beneficiary id: slot attributes beside each of its rows' end date, numbered by end date.
 
-    One row per id as long as ids are unique; the numbering keeps repeated ids right as well.
+    One row per id as long as ids are unique; the numbering keeps repeated ids right as well. Dealt by id once, for
+    grouping, join and numbering.
     """
-    known = benef.filter(is_known())
+    known = benef.filter(is_known()).repartition("id_benef")
     per_id = Window.partitionBy("id_benef")
     attributes = benef_attributes(known).withColumn("_variants", F.count(F.lit(1)).over(per_id))
     numbered = per_id.orderBy("date_fin_prest", *BENEF_ATTRIBUTES)
@@ -131,26 +134,26 @@ def numerous(rows: DataFrame) -> DataFrame:
     return rows.filter(is_known()).groupBy("id_benef").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > MANY).select("id_benef")
 
 
-def by_size(known: DataFrame, many: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The slots of most beneficiaries, and of those that ``many`` names."""
-    return tuple(known.join(F.broadcast(many), "id_benef", how) for how in ("left_anti", "left_semi"))
+def by_size(rows: DataFrame, many: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of most beneficiaries, and of those that ``many`` names."""
+    return tuple(rows.join(F.broadcast(many), "id_benef", how) for how in ("left_anti", "left_semi"))
 
 
-def ranked_together(known: DataFrame, facts: DataFrame) -> DataFrame:
-    """Slots as :func:`ranked_slots` gives them, each beneficiary's in one task: no more than ``MANY`` each.
+def ranked_together(rdv: DataFrame, facts: DataFrame) -> DataFrame:
+    """Slots as :func:`ranked_slots` gives them, each beneficiary's in one task: no more than ``MANY`` rows each.
 
-    The wide slot rows are shuffled once, by beneficiary, for ranks and facts; their order over days is that of the
+    The wide rows are shuffled once, by beneficiary, for grouping, ranks and facts; their order over days is that of the
     entry times. ``_slots`` counts a beneficiary's slots.
     """
     pair = Window.partitionBy("id_benef", "referent")
-    placed = known.repartition("id_benef")
+    placed = slots(rdv.repartition("id_benef"))
     placed = placed.withColumn("_place", F.row_number().over(pair.orderBy("date_deb", *TIE_BREAK)))
     placed = placed.withColumn("_total", F.count(F.lit(1)).over(pair))
     placed = placed.withColumn("_slots", F.count(F.lit(1)).over(Window.partitionBy("id_benef")))
     return _ranked(placed.join(facts, "id_benef", "left"), F.col("_place"))
 
 
-def ranked_slots(known: DataFrame, per_day: DataFrame, facts: DataFrame) -> DataFrame:
+def ranked_slots(rdv: DataFrame, facts: DataFrame) -> DataFrame:
     """Slots with their beneficiary facts, entry rank and exit rank.
 
     Ranks run per (counsellor, beneficiary). A rank is the place within the day plus the slots of
@@ -159,6 +162,9 @@ def ranked_slots(known: DataFrame, per_day: DataFrame, facts: DataFrame) -> Data
     the day totals, so the wide slot rows are shuffled once for ranks and facts together.
     Ties: equal entry times by the slot's other columns; the exit order is by end date, then entry.
     """
+    known = by_day(slots(rdv))
+    per_day = slots_per_day(known)
+    per_benef = per_day.groupBy("id_benef").agg(F.sum("_in_day").alias("_slots"))
     pair = Window.partitionBy("id_benef", "_counsellor")
     earlier = pair.orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
     days = per_day.withColumns(
@@ -166,7 +172,7 @@ def ranked_slots(known: DataFrame, per_day: DataFrame, facts: DataFrame) -> Data
             "_before": F.coalesce(F.sum("_in_day").over(earlier), F.lit(0)),
             "_total": F.sum("_in_day").over(pair),
         }
-    ).join(facts, "id_benef", "left")
+    ).join(per_benef.join(facts, "id_benef", "left"), "id_benef")
 
     in_day = Window.partitionBy(*DAY_KEYS).orderBy("date_deb", *TIE_BREAK)
     placed = known.withColumn("_place", F.row_number().over(in_day)).join(days.drop("_in_day"), DAY_KEYS)
@@ -174,20 +180,46 @@ def ranked_slots(known: DataFrame, per_day: DataFrame, facts: DataFrame) -> Data
 
 
 def _ranked(placed: DataFrame, place: Column) -> DataFrame:
-    """Times and ranks from a slot's place among its pair's slots and the beneficiary facts."""
+    """Ranks from a slot's place among its pair's slots and the beneficiary facts."""
     number, copies = F.coalesce("_pair", F.lit(1)), F.coalesce("_pairs", F.lit(1))
     exit_rank = (number - 1) * F.col("_total") + place
-    timed = placed.withColumns(
+    ranked = placed.withColumns(
         {
-            "tps_travail_prevu": _planned_minutes(),
-            "tps_travail_prevu_heure": _planned_minutes() / 60,
-            "tps_travail_reel_heure": _worked_minutes() / 60,
+            "nb_de_personne_presente": _people(),
             "rang_entree": (place - 1) * copies + number,
             "rang_sortie": F.when(F.col("date_fin_prest").isNotNull(), exit_rank),
-            "annee_mois_sort": month_number(seconds_as_date("date_deb")),
         }
     )
-    return _counted(timed)
+    return ranked.select(*KNOWN_COLUMNS)
+
+
+KNOWN_COLUMNS = [
+    *SLOT_KEYS, *BENEF_ATTRIBUTES, "nb_de_personne_presente", "rang_entree", "rang_sortie", "date_fin_prest", "_slots",
+    "_variants",
+]
+SPREAD = "_spread"  # whether a slot's beneficiary has more than ``MANY`` rows
+
+
+def known_slots(rdv: DataFrame, benef: DataFrame) -> DataFrame:
+    """Slots of real beneficiaries with their facts and ranks, in the compact form that :func:`timed` completes."""
+    most, many = by_size(rdv.filter(is_known()), numerous(rdv))
+    facts = benef_pairs(benef)
+    usual = ranked_together(most, facts).withColumn(SPREAD, F.lit(False))
+    return usual.unionAll(ranked_slots(many, facts).withColumn(SPREAD, F.lit(True)))
+
+
+def timed(known: DataFrame) -> DataFrame:
+    """Known slots with planned and worked time, labels and texts."""
+    return _labelled(
+        known.withColumns(
+            {
+                "tps_travail_prevu": _planned_minutes(),
+                "tps_travail_prevu_heure": _planned_minutes() / 60,
+                "tps_travail_reel_heure": _worked_minutes() / 60,
+                "annee_mois_sort": month_number(seconds_as_date("date_deb")),
+            }
+        )
+    )
 
 
 RANK_COLUMNS = [
@@ -196,10 +228,6 @@ RANK_COLUMNS = [
 ]
 
 
-def appointment_detail(known: DataFrame, rdv: DataFrame, benef: DataFrame) -> DataFrame:
+def appointment_detail(known: DataFrame) -> DataFrame:
     """The known slots with planned and worked time and both ranks."""
-    most, many = by_size(known, numerous(rdv))
-    facts = benef_pairs(benef)
-    spread = ranked_slots(many, slots_per_day(many), facts)
-    columns = [*BENEF_SLOT_COLUMNS, *RANK_COLUMNS]
-    return ranked_together(most, facts).select(*columns).unionAll(spread.select(*columns))
+    return timed(known).select(*BENEF_SLOT_COLUMNS, *RANK_COLUMNS)

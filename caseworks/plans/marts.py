@@ -11,10 +11,11 @@ from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from caseworks.plans import activity, appointments, attendance, bonus, revenue, staging
-from caseworks.session import remove_folder, shared_folder
+from caseworks.session import remove_folder, shared_folder, shuffles_removed
 from caseworks.sources import landing
 
 # Looks up a raw input by name; only the inputs a table needs are opened. Known names:
@@ -47,10 +48,14 @@ def _staged(build: Callable[..., DataFrame], *names: str) -> Step:
 
 # Steps that several tables read.
 SHARED: dict[str, Step] = {
-    "known_slots": _staged(appointments.known_slots, "rdv"),
+    "known_slots": _staged(appointments.known_slots, "rdv", "benef"),
     "bonuses": _staged(bonus.compiled_bonuses, "bonus_sheet", "benef"),
 }
 
+# Steps that are stored by a key, so that no reader has to shuffle them to join on it: the key, and the column that
+# says which rows are kept apart and read in any parts, as their key is too frequent for one task.
+STORED_BY = {"known_slots": ("id_benef", appointments.SPREAD)}
+
 
 def _prepared(source: Source, stored: dict[str, DataFrame] | None = None) -> Source:
     """Looks up prepared inputs, each opened once: stored steps as they are, other steps and raw tables as plans."""
@@ -78,9 +83,9 @@ MARTS: dict[str, Step] = {
     "mrt_presence": _staged(attendance.attendance, "sessions"),
     "mrt_prime": _staged(bonus.bonus_lines, "bonus_files", "benef"),
     "mrt_rdv": _staged(appointments.attendees_per_slot, "rdv", "benef"),
-    "mrt_rdv_detail": _staged(appointments.appointment_detail, "known_slots", "rdv", "benef"),
+    "mrt_rdv_detail": _staged(appointments.appointment_detail, "known_slots"),
     "mrt_referent_Ca": _staged(revenue.revenue_lines, "facture", "benef"),
-    "mrt_referent_rdv_ca": _staged(revenue.revenue_per_appointment, "known_slots", "rdv", "benef", "facture", "bonuses"),
+    "mrt_referent_rdv_ca": _staged(revenue.revenue_per_appointment, "known_slots", "benef", "facture", "bonuses"),
     "BDD_BU_SECURE": _staged(lambda table: table, "business_units"),
 }
 
@@ -94,6 +99,35 @@ INTERMEDIATE: dict[str, Step] = {
 }
 
 
+class Stored:
+    """A step's rows in the shared folder, until they are removed."""
+
+    def __init__(self, plan: DataFrame, step: str):
+        self.plan, self.step = plan, step
+        self.spark = plan.sparkSession
+        name = f"{step}_{uuid.uuid4().hex}"
+        self.folder, self.table = f"{shared_folder(self.spark)}/{name}", f"spark_catalog.default.{name}"
+
+    def write(self) -> DataFrame:
+        with shuffles_removed(self.spark):
+            writer = self.plan.write.option("compression", "zstd")
+            if self.step not in STORED_BY:
+                writer.parquet(self.folder)
+                return self.spark.read.schema(self.plan.schema).parquet(self.folder)
+            key, apart = STORED_BY[self.step]
+            # As many buckets as a shuffle has partitions: other rows are dealt alike when they meet these.
+            buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            writer = writer.format("parquet").option("path", self.folder).partitionBy(apart).bucketBy(buckets, key)
+            writer.sortBy(key).saveAsTable(self.table)
+            files = self.spark.read.schema(self.plan.schema).parquet(self.folder)
+            return self.spark.table(self.table).filter(~F.col(apart)).unionAll(files.filter(apart))
+
+    def remove(self) -> None:
+        if self.step in STORED_BY:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
+        remove_folder(self.spark, self.folder)
+
+
 def publish(source: Source, path: str, names: Iterable[str] = MARTS, keep: int = 0) -> None:
     """Write the named decision tables under ``path``, each taking the place of its former state in one step. A table
     whose plan fails keeps its former state. ``sources.tables.read`` reads them; ``keep`` former versions stay.
@@ -103,20 +137,18 @@ def publish(source: Source, path: str, names: Iterable[str] = MARTS, keep: int =
     names = list(dict.fromkeys(names))
     readers = {step: [n for n in names if step in MARTS[n].inputs] for step in SHARED}
     stored: dict[str, DataFrame] = {}
-    folders: dict[str, tuple[SparkSession, str]] = {}
+    kept: dict[str, Stored] = {}
     try:
         for name in names:
             for step in MARTS[name].inputs:
                 if len(readers.get(step, ())) > 1 and step not in stored:
-                    plan = _prepared(source, stored)(step)
-                    spark = plan.sparkSession
-                    folders[step] = spark, f"{shared_folder(spark)}/{step}-{uuid.uuid4().hex}"
-                    plan.write.parquet(folders[step][1])
-                    stored[step] = spark.read.schema(plan.schema).parquet(folders[step][1])
-            lookup = _prepared(source, stored)
-            landing.replace(MARTS[name].build(*map(lookup, MARTS[name].inputs)), f"{path}/{name}", keep=keep)
-            for step in [s for s in stored if readers[s][-1] == name]:
-                remove_folder(*folders.pop(step))
+                    kept[step] = Stored(_prepared(source, stored)(step), step)
+                    stored[step] = kept[step].write()
+            table = MARTS[name].build(*map(_prepared(source, stored), MARTS[name].inputs))
+            with shuffles_removed(table.sparkSession):
+                landing.replace(table, f"{path}/{name}", keep=keep)
+            for step in [s for s in stored if readers[s][-1] == name and s in kept]:
+                kept.pop(step).remove()
     finally:
-        for left in folders.values():
-            remove_folder(*left)
+        for left in kept.values():
+            left.remove()

@@ -93,26 +93,20 @@ def revenue_with_bonus(facture: DataFrame, benef: DataFrame, bonuses: DataFrame)
     )
 
 
-def revenue_per_appointment(
-    known: DataFrame, rdv: DataFrame, benef: DataFrame, facture: DataFrame, bonuses: DataFrame
-) -> DataFrame:
+def revenue_per_appointment(known: DataFrame, benef: DataFrame, facture: DataFrame, bonuses: DataFrame) -> DataFrame:
     """A beneficiary's revenue spread evenly over the known slots, with ranks and, on first slots, bonuses."""
-    revenue = _owner_totals(facture, benef.filter(apt.is_known())).groupBy("id_benef").agg(*_totals())
+    people = benef.filter(apt.is_known()).repartition("id_benef")
+    revenue = _owner_totals(facture, people).groupBy("id_benef").agg(*_totals())
     bonuses = bonuses.select("id_benef", "Montant_prime", "Date_primes")
-    pairs = apt.benef_pairs(benef)
-    most, many = apt.by_size(known, apt.numerous(rdv).unionAll(apt.numerous(bonuses)))
+    most, more = apt.by_size(known.filter(~F.col(apt.SPREAD)), apt.numerous(bonuses))
 
-    # Ids are never NULL here; most of them have their slots, facts and bonuses in one task.
-    ranked = apt.ranked_together(most, pairs.join(revenue, "id_benef", "left"))
-    together = ranked.join(bonuses, "id_benef", "left")
+    # Ids are never NULL here; most of them have their slots, revenue and bonuses in one task.
+    together = most.join(revenue, "id_benef", "left").join(bonuses, "id_benef", "left")
 
-    per_day = apt.slots_per_day(many)
-    per_benef = per_day.groupBy("id_benef").agg(F.sum("_in_day").alias("_slots"))
-    facts = per_benef.join(pairs, "id_benef", "left").join(revenue, "id_benef", "left")
-    # Bonuses join on the same day keys as the ranks: no further shuffle of the wide rows.
-    # Asking for the day's count, always positive, lets this branch reuse the exchange of per_day.
-    per_day_bonus = per_day.filter("_in_day > 0").select(*apt.DAY_KEYS).join(bonuses, "id_benef")
-    spread = apt.ranked_slots(many, per_day, facts).join(per_day_bonus, apt.DAY_KEYS, "left")
+    # Those with very many slots or bonuses are dealt by day, whatever they lie by: only days meet revenue and bonuses by id.
+    spread = apt.by_day(known.filter(apt.SPREAD).unionAll(more)).repartition(*apt.DAY_KEYS)
+    per_day = spread.select(*apt.DAY_KEYS).distinct().join(revenue, "id_benef", "left").join(bonuses, "id_benef", "left")
+    spread = spread.join(per_day, apt.DAY_KEYS, "left")
 
     slot_count = (F.col("_slots") * F.coalesce("_variants", F.lit(1))).cast("double")
     columns = [
@@ -125,4 +119,4 @@ def revenue_per_appointment(
         F.when(F.col("rang_entree") == 1, F.col("Montant_prime")).otherwise(0).alias("Montant_prime"),
         "Date_primes",
     ]
-    return together.select(*columns).unionAll(spread.select(*columns))
+    return apt.timed(together).select(*columns).unionAll(apt.timed(spread).select(*columns))

@@ -37,7 +37,8 @@ def timed_appointments(raw: DataFrame) -> DataFrame:
         "date_fin": clock_seconds("date_fin"),
         "typage": F.when(F.lower("typage").isin(*DIAGNOSTIC_KINDS), DIAGNOSTIC_LABEL).otherwise(F.col("typage")),
     }
-    return raw.select(*[changed.get(c, F.col(c)).alias(c) for c in RDV_COLUMNS])
+    # Columns that stay as they are get no name anew, so that plans that read this more than once have equal parts.
+    return raw.select(*[changed[c].alias(c) if c in changed else c for c in RDV_COLUMNS])
 
 
 def invoices(raw: DataFrame) -> DataFrame:

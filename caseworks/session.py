@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+CLEANUP_SETTING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def local_session(cores: str = "8", name: str = "caseworks", **settings: str) -> SparkSession:
@@ -47,3 +50,18 @@ def remove_folder(spark: SparkSession, folder: str) -> None:
     """Remove a folder that this package wrote, in whatever store it lies."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """What a query run in here has shuffled is removed at its end; else it stays until the driver happens to collect
+    its garbage, and the shuffles of queries that run one after the other add up."""
+    before = spark.conf.get(CLEANUP_SETTING, None)
+    spark.conf.set(CLEANUP_SETTING, True)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP_SETTING)
+        else:
+            spark.conf.set(CLEANUP_SETTING, before)

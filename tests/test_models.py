@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 import random
+import time
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import duckdb
 import pandas as pd
@@ -16,6 +18,7 @@ from pyspark.sql import functions as F
 from caseworks.plans import appointments, flags, marts
 from caseworks.plans.marts import INTERMEDIATE, MARTS, publish
 from caseworks.schemas import BENEF_COLUMNS, BONUS_LINE_COLUMNS, COMPILED_BONUS_COLUMNS, RDV_COLUMNS
+from caseworks.session import CLEANUP_SETTING
 from caseworks.sources.tables import read
 from caseworks.workload import domain, registry
 from caseworks.workload.mart_checks import mart_sql
@@ -295,3 +298,74 @@ def test_publish_removes_shared_steps_after_a_failure(world, spark, tmp_path, mo
         publish(broken.__getitem__, str(tmp_path / "marts"), ["mrt_rdv_detail", "mrt_referent_rdv_ca"])
     assert read(spark, f"{tmp_path}/marts/mrt_rdv_detail").count() > 0
     assert list(shared.iterdir()) == []
+
+
+def test_published_steps_are_shuffled_once(world, spark, tmp_path, monkeypatch):
+    """Readers of the stored slots do not shuffle the usual ones again, and read those of frequent ids in any parts."""
+    _, tables, _ = world
+    plans = {}
+    replace = marts.landing.replace
+
+    def planned(df, path, **more):
+        plans[path.rpartition("/")[2]] = df._jdf.queryExecution().executedPlan().toString()
+        return replace(df, path, **more)
+
+    monkeypatch.setattr(marts.landing, "replace", planned)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        publish(tables.__getitem__, str(tmp_path), ["mrt_rdv_detail", "mrt_referent_rdv_ca"])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "Exchange" not in plans["mrt_rdv_detail"]
+    scans = [line for line in plans["mrt_referent_rdv_ca"].splitlines() if "FileScan" in line and "known_slots_" in line]
+    usual = [s for s in scans if "NOT _spread" in s]
+    assert any("Bucketed: true" in s for s in usual)
+    assert len(scans) > len(usual) and not any("Bucketed: true" in s for s in scans if s not in usual)
+
+
+def test_table_alone_shuffles_the_usual_slots_once(world):
+    """Slots of ids with many bonuses are taken from the same shuffle."""
+    found = []
+
+    def walk(node):
+        if node.nodeName() == "Exchange" and node.child().nodeName() == "BroadcastHashJoin":
+            found.append(node)
+        kids = node.initialPlan().children() if node.nodeName() == "AdaptiveSparkPlan" else node.children()
+        for i in range(kids.length()):
+            walk(kids.apply(i))
+
+    walk(MARTS["mrt_referent_rdv_ca"](world[1].__getitem__)._jdf.queryExecution().executedPlan())
+    by_benef = [e for e in found if e.toString().startswith("Exchange hashpartitioning(id_benef") and "REPARTITION_BY_COL" in e.toString()]
+    assert len(by_benef) > 1
+    assert all(e.sameResult(by_benef[0]) for e in by_benef)
+
+
+@pytest.mark.parametrize("many", [0, 4])
+def test_published_tables_are_the_same_for_ids_spread_by_day(world, spark, tmp_path, monkeypatch, many):
+    repeated, tables, _ = world
+    names = ["mrt_rdv_detail", "mrt_referent_rdv_ca"]
+    usual = {n: MARTS[n](tables.__getitem__).drop(*(TIED if repeated else ())) for n in names}
+    want = {n: bag(df.columns, df.collect()) for n, df in usual.items()}
+    monkeypatch.setattr(appointments, "MANY", many)
+    publish(tables.__getitem__, str(tmp_path), names)
+    for name in names:
+        written = read(spark, f"{tmp_path}/{name}").select(*usual[name].columns)
+        assert bag(written.columns, written.collect()) == want[name]
+
+
+def test_publish_leaves_no_shuffle_files_tables_or_settings(world, spark, tmp_path):
+    _, tables, _ = world
+    folders = [str(d) for d in spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirs()]
+
+    def shuffled():
+        return {f for folder in folders for f in Path(folder).rglob("shuffle_*.data")}
+
+    before, setting = shuffled(), spark.conf.get(CLEANUP_SETTING, None)
+    publish(tables.__getitem__, str(tmp_path), ["mrt_rdv_detail", "mrt_referent_rdv_ca"])
+    until = time.time() + 10  # files are removed in the background
+    while shuffled() - before and time.time() < until:
+        time.sleep(0.1)
+    assert not shuffled() - before
+    assert spark.conf.get(CLEANUP_SETTING, None) == setting
+    assert not [t.name for t in spark.catalog.listTables("default") if t.name.startswith("known_slots_")]
